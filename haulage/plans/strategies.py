@@ -1,0 +1,44 @@
+"""Join strategies for derived lookup tables.
+
+Derived lookup tables (per-state means, consolidated geolocation) are joined
+back onto order-level data.  Broadcasting them avoids shuffling the order
+side, but only when their size has been measured: the table is first
+materialised with a reliable ``checkpoint()`` (written to the shared
+``spark.checkpoint.dir``, which also cuts the lineage so a lost executor does
+not re-run the aggregation), then counted.  At or under ``max_rows`` it is
+broadcast; above it the plan keeps a shuffle join, which adaptive execution
+can still split when a key is skewed.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from haulage.session import ensure_checkpoint_dir
+
+
+@dataclass
+class Lookup:
+    frame: DataFrame
+    rows: int
+    broadcast: bool
+
+
+def measured_lookup(df: DataFrame, max_rows: int) -> Lookup:
+    ensure_checkpoint_dir(df.sparkSession)
+    materialised = df.checkpoint(eager=True)
+    rows = materialised.count()
+    if rows <= max_rows:
+        return Lookup(F.broadcast(materialised), rows, True)
+    return Lookup(materialised, rows, False)
+
+
+def join_lookup(
+    big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = 1_000_000
+) -> DataFrame:
+    """``big JOIN small`` where ``small`` is a derived, usually tiny, table."""
+    lookup = measured_lookup(small, max_rows)
+    return big.join(lookup.frame, on=on, how=how)

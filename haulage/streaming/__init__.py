@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analytics this library rebuilds are batch jobs: there is no stream
+source, watermark, window or streaming state among them, so this package adds
+no streaming operators.  Incremental loads reuse the batch operators on the
+new files (``Pipeline`` with dynamic partition overwrite of silver months).
+"""

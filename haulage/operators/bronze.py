@@ -98,16 +98,21 @@ def enrich(
     ``strict`` matches geolocation on (zip, state), so an order gets at most one
     coordinate row.  ``compat`` matches on zip only, as the original pipeline
     does: a zip present in several states repeats the order once per state.
+
+    The geo condition uses customer columns only, so
+    ``(orders JOIN customers) LEFT JOIN geo == orders JOIN (customers LEFT JOIN geo)``.
+    Customers are enriched first (the measured geo table is broadcast to
+    them), and the order rows are shuffled once, by customer_id.
     """
     if mode not in ("strict", "compat"):
         raise ValueError(f"unknown mode {mode!r}")
-    joined = join_orders_customers(orders, customers)
+    cust = customers.withColumnRenamed("customer_zip_code_prefix", "zip_code")
     geo = geo_consolidated.withColumnRenamed("zip_code", "_geo_zip")
     cond = F.col("zip_code") == F.col("_geo_zip")
     if mode == "strict":
         cond = cond & (F.col("customer_state") == F.col("geolocation_state"))
-    out = join_lookup(joined, geo, on=cond, how="left", max_rows=rules.broadcast_max_rows)
-    return out.select(*BRONZE_COLUMNS)
+    cust_geo = join_lookup(cust, geo, on=cond, how="left", max_rows=rules.broadcast_max_rows).drop("_geo_zip")
+    return orders.join(cust_geo, on="customer_id", how="inner").select(*BRONZE_COLUMNS)
 
 
 def add_lineage(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

@@ -21,7 +21,7 @@ from haulage.operators import silver as S
 from haulage.operators.quality import gate, quality_checks
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS
-from haulage.sinks import write_gold, write_layer, write_partitioned
+from haulage.sinks import write_csv_export, write_gold, write_layer, write_partitioned
 from haulage.sources.profile import profile
 
 STEPS = ("ingest", "validate", "bronze", "silver", "gold")
@@ -125,7 +125,10 @@ class Pipeline:
         summary = G.executive_summary(silver, by_state, trend, self.rules)
         write_gold(summary, self.paths.gold("executive_summary"), csv=False)
         text = G.format_summary(self.spark.read.parquet(self.paths.gold("executive_summary")))
-        write_gold(text, self.paths.gold("executive_summary_text"), csv=self.gold_csv)
+        if self.gold_csv:
+            write_csv_export(text, self.paths.gold("executive_summary_text") + "_csv")
+        else:
+            write_layer(text, self.paths.gold("executive_summary_text"))
         return {"rows": None, "tables": [*tables, "executive_summary_text"]}
 
     # ---------------------------------------------------------------- driver

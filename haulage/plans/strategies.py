@@ -1,13 +1,18 @@
 """Join strategies for derived lookup tables.
 
 Derived lookup tables (per-state means, consolidated geolocation) are joined
-back onto order-level data.  Broadcasting them avoids shuffling the order
-side, but only when their size has been measured: the table is first
-materialised with a reliable ``checkpoint()`` (written to the shared
-``spark.checkpoint.dir``, which also cuts the lineage so a lost executor does
-not re-run the aggregation), then counted.  At or under ``max_rows`` it is
-broadcast; above it the plan keeps a shuffle join, which adaptive execution
-can still split when a key is skewed.
+back onto much larger tables.  Broadcasting them avoids shuffling the large
+side, but only when their size has been measured:
+
+* the lookup is computed once and at most ``max_rows + 1`` rows are fetched
+  (a bounded result, never a whole table);
+* at or under ``max_rows`` those rows become a small local relation that is
+  broadcast; it has no lineage left, so a lost executor never re-runs the
+  aggregation behind it;
+* above ``max_rows`` the lookup is materialised with a reliable
+  ``checkpoint()`` in the shared ``spark.checkpoint.dir`` (lineage cut there
+  as well) and joined with a shuffle join, which adaptive execution can still
+  split when a key is skewed.
 """
 
 from __future__ import annotations
@@ -23,21 +28,21 @@ from haulage.session import ensure_checkpoint_dir
 @dataclass
 class Lookup:
     frame: DataFrame
-    rows: int
+    rows: int | None
     broadcast: bool
 
 
 def measured_lookup(df: DataFrame, max_rows: int) -> Lookup:
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        local = df.sparkSession.createDataFrame(rows, df.schema)
+        return Lookup(F.broadcast(local), len(rows), True)
     ensure_checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    rows = materialised.count()
-    if rows <= max_rows:
-        return Lookup(F.broadcast(materialised), rows, True)
-    return Lookup(materialised, rows, False)
+    return Lookup(df.checkpoint(eager=True), None, False)
 
 
 def join_lookup(
-    big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = 1_000_000
+    big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = 100_000
 ) -> DataFrame:
     """``big JOIN small`` where ``small`` is a derived, usually tiny, table."""
     lookup = measured_lookup(small, max_rows)

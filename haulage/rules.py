@@ -63,7 +63,7 @@ class Rules:
     delivered_status: str = DELIVERED
     # Row bound under which a derived lookup table (state means, consolidated
     # geo) is broadcast; above it the join falls back to a shuffle join.
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -30,11 +30,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TS_TEXT = "yyyy-MM-dd HH:mm:ss"
+# Declared read schemas of the raw tables (only the columns the adapter uses):
+# reading with a schema skips footer-based inference and prunes the rest.
+RAW_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double",
+}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +50,8 @@ def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     not_delivered = (k % 40 == 0) | (k % 40 == 1)
 
     def text(t):
-        return F.date_format(t, TS_TEXT)
+        # Whole-second timestamp_ntz values cast to 'yyyy-MM-dd HH:mm:ss' text.
+        return t.cast("string")
 
     def plus_days(n):
         return F.timestamp_add("DAY", n.cast("int"), ts)
@@ -64,9 +72,9 @@ def orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customers_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers_frame(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    n = nation if nation is not None else _read(spark, sf_dir, "nation")
     key = F.col("c_custkey")
     return c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select(
         key.cast("string").alias("customer_id"),
@@ -77,11 +85,9 @@ def customers_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def geolocation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
-    )
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def geolocation_frame(spark: SparkSession, sf_dir: str, nation: DataFrame | None = None) -> DataFrame:
+    li = _read(spark, sf_dir, "lineitem")
+    n = nation if nation is not None else _read(spark, sf_dir, "nation")
     pk25 = F.col("l_partkey") % 25
     ok19 = F.col("l_orderkey") % 19
     shift = F.when((ok19 == 5) & (pk25 % 6 == 0) & (F.col("l_linenumber") == 1), 1).otherwise(0)
@@ -109,10 +115,11 @@ def geolocation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three sources (lazy) keyed like the source registry."""
+    nation = _read(spark, sf_dir, "nation")
     return {
         "orders": orders_frame(spark, sf_dir),
-        "customers": customers_frame(spark, sf_dir),
-        "geolocation": geolocation_frame(spark, sf_dir),
+        "customers": customers_frame(spark, sf_dir, nation),
+        "geolocation": geolocation_frame(spark, sf_dir, nation),
     }
 
 

@@ -23,8 +23,8 @@ def test_pipeline_end_to_end(spark, tmp_out):
     assert any(d.startswith("order_year=") for d in os.listdir(p.paths.silver))
     kpi = spark.read.parquet(p.paths.gold("kpi_delivery_by_state"))
     assert kpi.count() == 25
-    text = spark.read.parquet(p.paths.gold("executive_summary_text"))
-    assert text.count() == 10
+    text = spark.read.option("header", "true").csv(p.paths.gold("executive_summary_text") + "_csv")
+    assert text.count() == 10 and text.columns == ["metric", "value"]
     assert os.path.isdir(p.paths.gold("kpi_delivery_by_state") + "_csv")
     assert p.audit_frame().count() == 5
 

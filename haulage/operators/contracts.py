@@ -185,8 +185,10 @@ def join_report(left: DataFrame, right: DataFrame, contract: JoinContract | str)
 
 def _key_frames(left: DataFrame, right: DataFrame, contract: JoinContract | str):
     c = _contract(contract)
+    # Both sides are reduced to distinct keys first (partial aggregation), so a
+    # key holding a large share of either table is one row before the join.
     lk = left.select(F.col(c.left_key)).where(F.col(c.left_key).isNotNull()).distinct()
-    rk = right.select(F.col(c.right_key).alias(c.left_key))
+    rk = right.select(F.col(c.right_key).alias(c.left_key)).where(F.col(c.left_key).isNotNull()).distinct()
     return c, lk, rk
 
 
@@ -199,7 +201,7 @@ def matched_keys(left: DataFrame, right: DataFrame, contract: JoinContract | str
 def unmatched_keys(left: DataFrame, right: DataFrame, contract: JoinContract | str) -> DataFrame:
     """Distinct left keys without a partner on the right (key difference)."""
     c, lk, rk = _key_frames(left, right, contract)
-    return lk.join(rk.where(F.col(c.left_key).isNotNull()), on=c.left_key, how="left_anti")
+    return lk.join(rk, on=c.left_key, how="left_anti")
 
 
 def check_contract(left: DataFrame, right: DataFrame, contract: JoinContract | str) -> dict:
@@ -218,6 +220,24 @@ def require_contracts(pairs) -> list[dict]:
     return reports
 
 
+def harmonize_and_recheck(
+    left: DataFrame, right: DataFrame, contract: JoinContract | str, fill=None
+) -> tuple[DataFrame, DataFrame, dict]:
+    """Check a contract; if the key types block the join, convert both keys to
+    the contract's expected type and check again.
+
+    Returns ``(left, right, report)`` with the (possibly converted) frames and
+    the final report.
+    """
+    c = _contract(contract)
+    report = check_contract(left, right, c)
+    if report["can_join"] or c.left_key not in left.columns or c.right_key not in right.columns:
+        return left, right, report
+    left = harmonize(left, c.left_key, c.expected_type, fill=fill)
+    right = harmonize(right, c.right_key, c.expected_type, fill=fill)
+    return left, right, check_contract(left, right, c)
+
+
 def harmonize(df: DataFrame, column: str, target: str, fill=None) -> DataFrame:
     """Convert ``column`` to a target type family; returns a new DataFrame.
 

@@ -4,15 +4,15 @@ Derived lookup tables (per-state means, consolidated geolocation) are joined
 back onto much larger tables.  Broadcasting them avoids shuffling the large
 side, but only when their size has been measured:
 
-* the lookup is computed once and at most ``max_rows + 1`` rows are fetched
-  (a bounded result, never a whole table);
-* at or under ``max_rows`` those rows become a small local relation that is
-  broadcast; it has no lineage left, so a lost executor never re-runs the
-  aggregation behind it;
-* above ``max_rows`` the lookup is materialised with a reliable
-  ``checkpoint()`` in the shared ``spark.checkpoint.dir`` (lineage cut there
-  as well) and joined with a shuffle join, which adaptive execution can still
-  split when a key is skewed.
+* tiny lookups (at most ``local_rows``, e.g. one row per state): at most
+  ``local_rows + 1`` rows are fetched - a bounded result, never a whole
+  table - and become a small local relation that is broadcast.  It has no
+  lineage left, so a lost executor never re-runs the aggregation behind it;
+* larger lookups are materialised with a reliable ``checkpoint()`` in the
+  shared ``spark.checkpoint.dir`` (lineage cut there as well) and counted;
+  at or under ``max_rows`` the checkpoint is broadcast, above it the join
+  stays a shuffle join, which adaptive execution can still split when a key
+  is skewed.
 """
 
 from __future__ import annotations
@@ -32,13 +32,20 @@ class Lookup:
     broadcast: bool
 
 
-def measured_lookup(df: DataFrame, max_rows: int) -> Lookup:
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = df.sparkSession.createDataFrame(rows, df.schema)
-        return Lookup(F.broadcast(local), len(rows), True)
+LOCAL_ROWS = 10_000
+
+
+def measured_lookup(df: DataFrame, max_rows: int, local_rows: int = LOCAL_ROWS) -> Lookup:
+    probe = df.limit(min(local_rows, max_rows) + 1).collect()
+    if len(probe) <= min(local_rows, max_rows):
+        local = df.sparkSession.createDataFrame(probe, df.schema)
+        return Lookup(F.broadcast(local), len(probe), True)
     ensure_checkpoint_dir(df.sparkSession)
-    return Lookup(df.checkpoint(eager=True), None, False)
+    materialised = df.checkpoint(eager=True)
+    rows = materialised.count()
+    if rows <= max_rows:
+        return Lookup(F.broadcast(materialised), rows, True)
+    return Lookup(materialised, rows, False)
 
 
 def join_lookup(

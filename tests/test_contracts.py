@@ -170,3 +170,12 @@ def test_harmonize_does_not_mutate_input(spark):
 def test_harmonize_unknown_target_unchanged(spark):
     df = spark.createDataFrame([("1000",)], ["zip"])
     assert C.harmonize(df, "zip", "complex128") is df
+
+
+def test_harmonize_and_recheck_flow(spark):
+    left = spark.createDataFrame([("1000",), ("2000",), ("x",)], "customer_zip_code_prefix string")
+    right = spark.createDataFrame([(1000,), (3000,)], "geolocation_zip_code_prefix int")
+    l2, r2, report = C.harmonize_and_recheck(left, right, "customers_vs_geolocation")
+    assert report["can_join"] is True
+    assert report["left_unique_keys"] == 2 and report["matching_keys"] == 1
+    assert l2.schema["customer_zip_code_prefix"].dataType.typeName() == "long"

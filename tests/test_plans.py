@@ -64,3 +64,16 @@ def test_state_means_joined_by_broadcast(spark):
 
 def test_checkpoint_dir_from_session(spark):
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_lookup_tiers(spark):
+    from haulage.plans.strategies import measured_lookup
+
+    df = spark.range(50).withColumnRenamed("id", "k")
+    tiny = measured_lookup(df, max_rows=100, local_rows=60)
+    assert tiny.broadcast and tiny.rows == 50
+    mid = measured_lookup(df, max_rows=100, local_rows=10)
+    assert mid.broadcast and mid.rows == 50
+    big = measured_lookup(df, max_rows=20, local_rows=10)
+    assert not big.broadcast and big.rows == 50
+    assert big.frame.count() == 50

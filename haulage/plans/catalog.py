@@ -2,7 +2,7 @@
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` and reads the raw tables under
 ``sf_dir`` through the adapter, so its work grows with the data.  Floating
-means are rounded to ``MEAN_PLACES`` places in outputs (summation order
+means are shown on a 2**-20 binary grid in outputs (summation order
 differs between engines in the last bits).  Year parameters of the trend views fall inside
 the test tables' date range (1995-2001).
 """
@@ -32,16 +32,17 @@ MIN_ORDERS = 100
 LOOKUP_METRICS = ("total_orders", "on_time_orders")
 
 
-# Coordinate means are shown to 9 places.  A mean of two-decimal values is a
-# terminating decimal; at 6 places it lands exactly on a rounding tie whenever
-# the group size has a factor 32 (e.g. 96 or 160 rows), and engines break such
-# ties differently (decimal text vs binary value).  At 9 places a tie needs a
-# factor 256, while summation-order noise stays far below the last digit.
-MEAN_PLACES = 9
+# Coordinate means are shown on a binary grid of 2**-20 degrees (about 10 cm).
+# A mean of two-decimal coordinates is a terminating decimal, so any decimal
+# rounding lands exactly on a tie for some group sizes (a factor 32 at 6
+# places, 256 at 9 places), and engines break such ties differently.  On a
+# binary grid a tie needs 2**19 rows in one group, while the last-bit noise of
+# different summation orders stays far below the grid step.
+MEAN_GRID = float(2**20)
 
 
 def r6(c: str):
-    return F.round(F.col(c), MEAN_PLACES).alias(c)
+    return (F.round(F.col(c) * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID)).alias(c)
 
 
 def _src(spark, sf):

@@ -8,7 +8,7 @@ outputs (counts BIGINT, days/years/months/ranks INTEGER, rates DOUBLE).
 
 from __future__ import annotations
 
-from haulage.plans.catalog import LOOKUP_METRICS, MEAN_PLACES, MIN_ORDERS, RECENT_FROM_YEAR, TREND_YEARS
+from haulage.plans.catalog import LOOKUP_METRICS, MEAN_GRID, MIN_ORDERS, RECENT_FROM_YEAR, TREND_YEARS
 from haulage.rules import DEFAULT_RULES as R
 from haulage.schemas import (
     BRONZE_COLUMNS,
@@ -219,7 +219,8 @@ summary_text AS (
 
 
 def _r6(c: str, prefix: str = "") -> str:
-    return f"round({prefix}{c}, {MEAN_PLACES}) AS {c}"
+    grid = f"CAST({int(MEAN_GRID)} AS DOUBLE)"
+    return f"round({prefix}{c} * {grid}) / {grid} AS {c}"
 
 
 def _bronze_select(src: str) -> str:

@@ -87,20 +87,27 @@ def top_states(by_state: DataFrame, n: int = 5, slowest: bool = True, group: str
     return by_state.orderBy(order, F.col(group).asc_nulls_last()).limit(n)
 
 
-def monthly_trend(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """KPI 2: per (year, month), all statuses."""
+# Sort orders of the KPI tables (used for ordered presentation and CSV exports).
+STATE_ORDER = ("rank_slowest", "customer_state")
+TREND_ORDER = ("order_year", "order_month")
+SEVERITY_ORDER = ("avg_delay_days", "delay_severity")
+
+
+def monthly_trend(silver: DataFrame, rules: Rules = DEFAULT_RULES, ordered: bool = False) -> DataFrame:
+    """KPI 2: per (year, month), all statuses; chronological when ``ordered``.
+
+    Unordered by default: consumers that aggregate it further (peak month,
+    summary) then pay no range-partitioning exchange for a sort they discard.
+    """
     late = count_where(F.col(DELAY) > 0)
-    return (
-        silver.groupBy("order_year", "order_month")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.round(F.avg(DAYS), 1).alias("avg_delivery_days"),
-            pct(late, F.count("order_id")).alias("late_rate_pct"),
-            count_where(F.col("delivery_speed_category") == F.lit(rules.speed_steps[0][0])).alias("fast_orders"),
-            count_where(F.col("delivery_speed_category") == F.lit(rules.speed_over)).alias("very_slow_orders"),
-        )
-        .orderBy("order_year", "order_month")
+    kpi = silver.groupBy("order_year", "order_month").agg(
+        F.count("order_id").alias("total_orders"),
+        F.round(F.avg(DAYS), 1).alias("avg_delivery_days"),
+        pct(late, F.count("order_id")).alias("late_rate_pct"),
+        count_where(F.col("delivery_speed_category") == F.lit(rules.speed_steps[0][0])).alias("fast_orders"),
+        count_where(F.col("delivery_speed_category") == F.lit(rules.speed_over)).alias("very_slow_orders"),
     )
+    return kpi.orderBy(*TREND_ORDER) if ordered else kpi
 
 
 def monthly_trend_recent(trend: DataFrame, min_year: int) -> DataFrame:
@@ -114,28 +121,22 @@ def late_orders(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return late.withColumn("delay_severity", bucketize(DELAY, rules.severity_steps, rules.severity_over))
 
 
-def late_severity(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """KPI 3: late orders per severity, ordered by mean delay."""
-    return (
-        late_orders(silver, rules)
-        .groupBy("delay_severity")
-        .agg(
-            F.count("order_id").alias("num_orders"),
-            F.round(F.avg(DELAY), 1).alias("avg_delay_days"),
-            F.max(DELAY).alias("max_delay_days"),
-        )
-        .orderBy("avg_delay_days", "delay_severity")
+def late_severity(silver: DataFrame, rules: Rules = DEFAULT_RULES, ordered: bool = False) -> DataFrame:
+    """KPI 3: late orders per severity; ordered by mean delay when ``ordered``."""
+    kpi = late_orders(silver, rules).groupBy("delay_severity").agg(
+        F.count("order_id").alias("num_orders"),
+        F.round(F.avg(DELAY), 1).alias("avg_delay_days"),
+        F.max(DELAY).alias("max_delay_days"),
     )
+    return kpi.orderBy(*SEVERITY_ORDER) if ordered else kpi
 
 
-def late_by_state_severity(silver: DataFrame, rules: Rules = DEFAULT_RULES, group: str = "customer_state") -> DataFrame:
-    """Late orders per (state, severity)."""
-    return (
-        late_orders(silver, rules)
-        .groupBy(group, "delay_severity")
-        .agg(F.count("order_id").alias("late_orders"))
-        .orderBy(F.col("late_orders").desc(), group, "delay_severity")
-    )
+def late_by_state_severity(
+    silver: DataFrame, rules: Rules = DEFAULT_RULES, group: str = "customer_state", ordered: bool = False
+) -> DataFrame:
+    """Late orders per (state, severity); largest first when ``ordered``."""
+    kpi = late_orders(silver, rules).groupBy(group, "delay_severity").agg(F.count("order_id").alias("late_orders"))
+    return kpi.orderBy(F.col("late_orders").desc(), group, "delay_severity") if ordered else kpi
 
 
 def top_late_state_severity(by_state_severity: DataFrame, n: int = 10, group: str = "customer_state") -> DataFrame:

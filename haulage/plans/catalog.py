@@ -256,7 +256,7 @@ def top_fastest_states(spark, sf):
 
 
 def monthly_trend(spark, sf):
-    return _trend(spark, sf)
+    return G.monthly_trend(_silver(spark, sf), R, ordered=True)
 
 
 def monthly_trend_recent(spark, sf):
@@ -264,11 +264,11 @@ def monthly_trend_recent(spark, sf):
 
 
 def late_severity(spark, sf):
-    return G.late_severity(_silver(spark, sf), R)
+    return G.late_severity(_silver(spark, sf), R, ordered=True)
 
 
 def late_by_state_severity(spark, sf):
-    return G.late_by_state_severity(_silver(spark, sf), R)
+    return G.late_by_state_severity(_silver(spark, sf), R, ordered=True)
 
 
 def top_late_state_severity(spark, sf):

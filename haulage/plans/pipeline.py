@@ -118,8 +118,13 @@ class Pipeline:
         tables = G.build_gold(silver, self.rules)
         # KPI 1 and 2 are written first; the summary then reads them back
         # instead of recomputing both aggregations.
-        for name in ("kpi_delivery_by_state", "kpi_monthly_trend", "kpi_late_orders"):
-            write_gold(tables[name], self.paths.gold(name), csv=self.gold_csv)
+        orders = {
+            "kpi_delivery_by_state": G.STATE_ORDER,
+            "kpi_monthly_trend": G.TREND_ORDER,
+            "kpi_late_orders": G.SEVERITY_ORDER,
+        }
+        for name, sort_by in orders.items():
+            write_gold(tables[name], self.paths.gold(name), csv=self.gold_csv, sort_by=sort_by)
         by_state = self.spark.read.parquet(self.paths.gold("kpi_delivery_by_state"))
         trend = self.spark.read.parquet(self.paths.gold("kpi_monthly_trend"))
         summary = G.executive_summary(silver, by_state, trend, self.rules)

@@ -46,18 +46,25 @@ def build_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint directory the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) is a scratch directory created and installed.
+    (local tests) is a scratch directory created and installed.  On a Spark
+    Connect session the server's configuration applies and nothing is set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -50,16 +50,23 @@ def write_partitioned(
     )
 
 
-def write_csv_export(df: DataFrame, path: str) -> None:
-    """One CSV file with header (group-bounded tables only)."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+def write_csv_export(df: DataFrame, path: str, sort_by=()) -> None:
+    """One CSV file with header (group-bounded tables only), optionally sorted.
+
+    The single partition is sorted in place, so ordering the file costs no
+    range-partitioning exchange.
+    """
+    one = df.coalesce(1)
+    if sort_by:
+        one = one.sortWithinPartitions(*sort_by)
+    one.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_gold(df: DataFrame, path: str, csv: bool = True) -> None:
+def write_gold(df: DataFrame, path: str, csv: bool = True, sort_by=()) -> None:
     """Gold table: Parquet at ``path``; CSV export at ``path + '_csv'``."""
     write_layer(df, path)
     if csv:
-        write_csv_export(df.sparkSession.read.parquet(path), path + "_csv")
+        write_csv_export(df.sparkSession.read.parquet(path), path + "_csv", sort_by)
 
 
 def gated_write(

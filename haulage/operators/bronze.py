@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import count_where
-from haulage.plans.strategies import join_lookup
+from haulage.plans.strategies import hot_key_join, join_lookup
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import BRONZE_COLUMNS
 
@@ -112,7 +112,19 @@ def enrich(
     if mode == "strict":
         cond = cond & (F.col("customer_state") == F.col("geolocation_state"))
     cust_geo = join_lookup(cust, geo, on=cond, how="left", max_rows=rules.broadcast_max_rows).drop("_geo_zip")
-    return orders.join(cust_geo, on="customer_id", how="inner").select(*BRONZE_COLUMNS)
+    if rules.skew_hot_fraction:
+        joined = hot_key_join(
+            orders,
+            cust_geo,
+            "customer_id",
+            "inner",
+            hot_fraction=rules.skew_hot_fraction,
+            sample_fraction=rules.skew_sample_fraction,
+            max_rows=rules.broadcast_max_rows,
+        )
+    else:
+        joined = orders.join(cust_geo, on="customer_id", how="inner")
+    return joined.select(*BRONZE_COLUMNS)
 
 
 def add_lineage(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

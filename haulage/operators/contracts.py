@@ -156,8 +156,42 @@ def key_overlap(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     )
 
 
-def join_report(left: DataFrame, right: DataFrame, contract: JoinContract | str) -> DataFrame:
-    """Contract report (one row): can_join, issues, key statistics, match rate."""
+def approx_key_overlap(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, rsd: float = 0.01
+) -> DataFrame:
+    """Sketch-based key overlap (one row), for profiling very large tables.
+
+    Distinct counts come from HyperLogLog sketches, which aggregate map-side
+    and never shuffle keys; matching keys follow by inclusion-exclusion
+    (|L & R| = |L| + |R| - |L | R|), so they carry the sketches' error.
+    """
+    lk = left.select(F.col(left_key).alias("_k"), F.lit(True).alias("_l"))
+    rk = right.select(F.col(right_key).alias("_k"), F.lit(False).alias("_l"))
+    if lk.schema["_k"].dataType != rk.schema["_k"].dataType:
+        rk = rk.withColumn("_k", F.col("_k").cast(lk.schema["_k"].dataType))
+    both = lk.unionByName(rk).where(F.col("_k").isNotNull())
+    n_l = F.approx_count_distinct(F.when(F.col("_l"), F.col("_k")), rsd)
+    n_r = F.approx_count_distinct(F.when(~F.col("_l"), F.col("_k")), rsd)
+    n_u = F.approx_count_distinct(F.col("_k"), rsd)
+    stats = both.agg(n_l.alias("left_unique_keys"), n_r.alias("right_unique_keys"), n_u.alias("_union"))
+    matching = F.greatest(F.lit(0), F.col("left_unique_keys") + F.col("right_unique_keys") - F.col("_union"))
+    matching = F.least(matching, F.col("left_unique_keys"), F.col("right_unique_keys"))
+    return stats.select(
+        "left_unique_keys",
+        "right_unique_keys",
+        matching.alias("matching_keys"),
+        (F.col("left_unique_keys") - matching).alias("left_keys_no_match"),
+    )
+
+
+def join_report(
+    left: DataFrame, right: DataFrame, contract: JoinContract | str, exact: bool = True
+) -> DataFrame:
+    """Contract report (one row): can_join, issues, key statistics, match rate.
+
+    ``exact=False`` uses sketches (``approx_key_overlap``) instead of a grouped
+    pass over distinct keys.
+    """
     c = _contract(contract)
     can_join, issues, keys_present = contract_issues(left, right, c)
     if not keys_present:
@@ -165,7 +199,8 @@ def join_report(left: DataFrame, right: DataFrame, contract: JoinContract | str)
         return left.sparkSession.createDataFrame([row], REPORT_SCHEMA).withColumn(
             "match_rate_pct", F.lit(None).cast("double")
         )
-    stats = key_overlap(left, right, c.left_key, c.right_key)
+    overlap = key_overlap if exact else approx_key_overlap
+    stats = overlap(left, right, c.left_key, c.right_key)
     rate = F.try_divide(F.col("matching_keys").cast("double"), F.col("left_unique_keys").cast("double")) * F.lit(100.0)
     return stats.select(
         F.lit(c.name).alias("contract"),

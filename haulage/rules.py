@@ -64,6 +64,12 @@ class Rules:
     # Row bound under which a derived lookup table (state means, consolidated
     # geo) is broadcast; above it the join falls back to a shuffle join.
     broadcast_max_rows: int = 1_000_000
+    # When set, the orders x customers join isolates customer ids holding at
+    # least this share of orders (found on a ``skew_sample_fraction`` sample)
+    # and joins them through a broadcast; unset, adaptive execution's skew join
+    # splits hot partitions at runtime.
+    skew_hot_fraction: float | None = None
+    skew_sample_fraction: float = 0.01
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -78,3 +78,14 @@ def test_compat_counts_match_published_fixture_numbers(spark):
     assert sev == {"MINOR": 1276, "MODERATE": 1436, "SEVERE": 1069, "CRITICAL": 62}
     status = {r[0]: r[1] for r in bronze.groupBy("order_status").count().collect()}
     assert status == {"delivered": 14385, "shipped": 378, "canceled": 381}
+
+
+def test_enrich_with_explicit_hot_key_split_is_identical(spark):
+    from haulage.rules import Rules
+
+    src = source_frames(spark, SF)
+    cons = B.consolidate_geo(src["geolocation"])
+    plain = B.enrich(src["orders"], src["customers"], cons)
+    split = B.enrich(src["orders"], src["customers"], cons, rules=Rules(skew_hot_fraction=0.001, skew_sample_fraction=0.5))
+    cols = ["order_id", "customer_id", "zip_code", "geolocation_state", "lat", "lng"]
+    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, split.select(cols).collect()))

@@ -77,3 +77,30 @@ def test_lookup_tiers(spark):
     big = measured_lookup(df, max_rows=20, local_rows=10)
     assert not big.broadcast and big.rows == 50
     assert big.frame.count() == 50
+
+
+def test_hot_key_join_is_exact(spark):
+    from pyspark.sql import functions as F
+
+    from haulage.plans.strategies import hot_key_join, hot_keys
+
+    left = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v")
+    )
+    right = spark.range(450).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert 7 in hot_keys(left, "k", 0.05, 0.2)
+    for how in ("inner", "left"):
+        got = sorted(tuple(r) for r in hot_key_join(left, right, "k", how, 0.05, 0.2).select("k", "v", "w").collect())
+        want = sorted(tuple(r) for r in left.join(right, "k", how).select("k", "v", "w").collect())
+        assert got == want
+
+
+def test_approx_join_report_close_to_exact(spark):
+    from haulage.operators import contracts as C
+    from haulage.sources.testdata import source_frames
+
+    src = source_frames(spark, "/root/testdata/sf0.01")
+    exact = C.join_report(src["customers"], src["geolocation"], "customers_vs_geolocation").collect()[0]
+    approx = C.join_report(src["customers"], src["geolocation"], "customers_vs_geolocation", exact=False).collect()[0]
+    for col in ("left_unique_keys", "right_unique_keys", "matching_keys"):
+        assert abs(approx[col] - exact[col]) <= max(3, 0.05 * exact[col])

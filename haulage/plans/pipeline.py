@@ -23,6 +23,7 @@ from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS
 from haulage.sinks import write_csv_export, write_gold, write_layer, write_partitioned
 from haulage.sources.profile import profile
+from haulage.sources.readers import connect, count_quarantined, read_source_quarantine, require_paths
 
 STEPS = ("ingest", "validate", "bronze", "silver", "gold")
 # Which sources each step reads (a step checks only what it needs).
@@ -83,10 +84,47 @@ class Pipeline:
         self.gold_csv = gold_csv
         self.audit: list[StepAudit] = []
 
+    @classmethod
+    def from_csv(
+        cls,
+        spark: SparkSession,
+        paths: dict[str, str],
+        out_dir: str,
+        steps=STEPS,
+        null_value: str | None = None,
+        **kwargs,
+    ) -> "Pipeline":
+        """Pipeline over CSV sources.
+
+        Pre-flight checks only the files the requested steps read (a gold-only
+        run needs none); each source is opened through ``connect`` (declared
+        schema, header check, required columns).  Rows that do not fit the
+        schema are counted per source during ``ingest``.
+        """
+        steps = list(STEPS) if steps in ("all", None) else [steps] if isinstance(steps, str) else list(steps)
+        needed = sorted({n for s in steps for n in STEP_INPUTS.get(s, ())})
+        missing = [n for n in needed if n not in paths]
+        if missing:
+            raise FileNotFoundError(f"no path given for sources {missing}")
+        require_paths(spark, {n: paths[n] for n in needed})
+        sources = {n: connect(spark, n, paths[n], null_value=null_value) for n in needed}
+        pipe = cls(spark, sources, out_dir, **kwargs)
+        pipe.csv_paths = {n: paths[n] for n in needed}
+        pipe.null_value = null_value
+        return pipe
+
     # ------------------------------------------------------------------ steps
     def ingest(self) -> dict:
         rows = {r["source"]: (r["rows"], r["cols"]) for r in profile(self._need("ingest")).collect()}
-        return {"rows": sum(n for n, _ in rows.values()), "sources": rows}
+        detail = {"rows": sum(n for n, _ in rows.values()), "sources": rows}
+        csv_paths = getattr(self, "csv_paths", {})
+        if csv_paths:
+            quarantined = {}
+            for name, path in csv_paths.items():
+                _, bad = read_source_quarantine(self.spark, name, path, getattr(self, "null_value", None))
+                quarantined[name] = count_quarantined(bad)
+            detail["quarantined"] = quarantined
+        return detail
 
     def validate(self) -> dict:
         src = self._need("validate")

@@ -100,6 +100,20 @@ def read_source_quarantine(
     return good, bad
 
 
+def count_quarantined(bad: DataFrame) -> int:
+    """Number of quarantined rows.
+
+    The CSV parser only parses the columns a query needs, and a row is only
+    flagged corrupt when a parsed field fails, so the count references every
+    data column (through a hash the optimizer cannot drop).  A bare
+    ``count()`` would prune down to the corrupt-record column alone, which
+    Spark rejects.
+    """
+    data_cols = [c for c in bad.columns if c != CORRUPT]
+    row = bad.agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*data_cols)).alias("_all")).collect()[0]
+    return int(row["n"])
+
+
 def connect(
     spark: SparkSession,
     spec: SourceSpec | str,

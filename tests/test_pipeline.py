@@ -89,3 +89,24 @@ def test_enrich_with_explicit_hot_key_split_is_identical(spark):
     split = B.enrich(src["orders"], src["customers"], cons, rules=Rules(skew_hot_fraction=0.001, skew_sample_fraction=0.5))
     cols = ["order_id", "customer_id", "zip_code", "geolocation_state", "lat", "lng"]
     assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, split.select(cols).collect()))
+
+
+def test_pipeline_from_csv_sources(spark, tmp_out):
+    src = source_frames(spark, SF)
+    paths = {}
+    for name, df in src.items():
+        path = f"{tmp_out}/csv/{name}"
+        df.coalesce(1).write.option("header", "true").csv(path)
+        paths[name] = path
+    # A malformed line in the customers source is quarantined, not loaded.
+    header = ",".join(src["customers"].columns)
+    with open(paths["customers"] + "/late-delivery.csv", "w") as f:
+        f.write(header + "\nbroken_row_without_enough_fields\n")
+    p = Pipeline.from_csv(spark, paths, f"{tmp_out}/out")
+    audit = {a.step: a for a in p.run("all")}
+    assert audit["ingest"].detail["quarantined"] == {"customers": 1, "geolocation": 0, "orders": 0}
+    assert audit["bronze"].rows == 1500 and audit["silver"].rows == 1500
+    # A gold-only run needs no source files at all.
+    Pipeline.from_csv(spark, {}, f"{tmp_out}/out", steps="gold").run("gold")
+    with pytest.raises(FileNotFoundError):
+        Pipeline.from_csv(spark, {"orders": paths["orders"]}, f"{tmp_out}/out2", steps="bronze")

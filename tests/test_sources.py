@@ -71,7 +71,7 @@ def test_quarantine_corrupt_rows(spark, tmp_path):
     # Spark rejects queries that need only the corrupt-record column (a bare
     # count would), so quarantined rows are read whole.
     rows = bad.collect()
-    assert len(rows) == 3
+    assert len(rows) == 3 and RD.count_quarantined(bad) == 3
     assert all(r["_corrupt_record"] for r in rows)
 
 

@@ -88,7 +88,9 @@ def read_source_quarantine(
     does not parse as its type) keep their raw text in ``_corrupt_record``
     and go to the quarantine frame.  A filter that references only the
     corrupt-record column is rejected by Spark, so the split keeps the data
-    columns in the projection.
+    columns in the projection.  Corruption is detected on the columns a query
+    parses (Spark prunes CSV parsing), so count with ``count_quarantined``,
+    which parses them all.
     """
     s = _spec(spec)
     p = path or s.path

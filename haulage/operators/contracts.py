@@ -62,11 +62,12 @@ FINDINGS_SCHEMA = StructType(
 )
 
 
-def schema_findings(df: DataFrame, spec: SourceSpec | str) -> DataFrame:
+def schema_findings(df: DataFrame, spec: SourceSpec | str, with_null_counts: bool = False) -> DataFrame:
     """Column listing with a status per column: OK, MISSING, TYPE_WARNING, EXTRA.
 
-    Built from schema metadata only, so it has one row per column, not per
-    data row.
+    The listing comes from schema metadata (one row per column).  With
+    ``with_null_counts`` each present column also gets its NULL count from one
+    aggregation pass over the data (missing columns get NULL).
     """
     s = _spec(spec)
     name = s.name if s else str(spec)
@@ -88,7 +89,13 @@ def schema_findings(df: DataFrame, spec: SourceSpec | str) -> DataFrame:
             rows.append((name, col, None, None, True, hints.get(col), "MISSING"))
     if s is None:
         rows.append((name, "*", None, None, False, None, "UNKNOWN_SOURCE"))
-    return df.sparkSession.createDataFrame(rows, FINDINGS_SCHEMA)
+    findings = df.sparkSession.createDataFrame(rows, FINDINGS_SCHEMA)
+    if not with_null_counts or not df.columns:
+        return findings
+    from haulage.sources.profile import null_profile
+
+    counts = null_profile(df, name, only_positive=False).select("column_name", "null_count")
+    return findings.join(counts, on="column_name", how="left").select(*FINDINGS_SCHEMA.names, "null_count")
 
 
 REPORT_SCHEMA = StructType(

@@ -90,7 +90,8 @@ def null_profile(spark, sf):
 
 def schema_findings(spark, sf):
     src = _src(spark, sf)
-    return reduce(DataFrame.unionByName, [C.schema_findings(df, name) for name, df in src.items()])
+    parts = [C.schema_findings(df, name, with_null_counts=True).drop("nullable") for name, df in src.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def harmonize_types(spark, sf):

@@ -243,6 +243,37 @@ def _null_profile_sql() -> str:
     return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") t WHERE null_count > 0"
 
 
+# Spark type names of DuckDB value types, and coarse type families.
+_SPARK_TYPE = "CASE {t} WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' " \
+    "WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower({t}) END"
+_FAMILY = "CASE {t} WHEN 'string' THEN 'string' WHEN 'int' THEN 'integer' WHEN 'bigint' THEN 'integer' " \
+    "WHEN 'double' THEN 'float' WHEN 'object' THEN 'string' WHEN 'int64' THEN 'integer' " \
+    "WHEN 'float64' THEN 'float' ELSE {t} END"
+
+
+def _schema_findings_sql() -> str:
+    from haulage.schemas import SOURCE_SPECS
+
+    parts = []
+    for name, cte in (("orders", "src_orders"), ("customers", "src_customers"), ("geolocation", "src_geolocation")):
+        spec = SOURCE_SPECS[name]
+        for col in spec.required:
+            hint = spec.type_hints.get(col)
+            hint_sql = f"'{hint}'" if hint else "CAST(NULL AS VARCHAR)"
+            parts.append(
+                f"SELECT '{name}' AS source, '{col}' AS column_name, "
+                f"{_SPARK_TYPE.format(t=f'any_value(typeof({col}))')} AS data_type, true AS required, "
+                f"{hint_sql} AS expected_type, count(*) FILTER (WHERE {col} IS NULL) AS null_count FROM {cte}"
+            )
+    body = " UNION ALL ".join(parts)
+    fam_d = _FAMILY.format(t="data_type")
+    fam_e = _FAMILY.format(t="expected_type")
+    return f"""SELECT source, column_name, data_type, required, expected_type,
+       CASE WHEN expected_type IS NOT NULL AND {fam_d} <> {fam_e} THEN 'TYPE_WARNING' ELSE 'OK' END AS status,
+       null_count
+FROM ({body}) t"""
+
+
 def _join_report_sql(contract, left_cte: str, right_cte: str) -> tuple[str, str]:
     cte = f"""
 keys_l AS (SELECT DISTINCT {contract.left_key} AS k FROM {left_cte} WHERE {contract.left_key} IS NOT NULL),
@@ -317,6 +348,7 @@ UNION ALL SELECT 'customers', count(*), CAST({len(CUSTOMERS_SCHEMA.fields)} AS I
 UNION ALL SELECT 'geolocation', count(*), CAST({len(GEOLOCATION_SCHEMA.fields)} AS INTEGER) FROM src_geolocation"""
         ),
         "null_profile": _q(select=_null_profile_sql()),
+        "schema_findings": _q(select=_schema_findings_sql()),
         "harmonize_types": _q(
             select="""SELECT CAST(trunc(TRY_CAST(customer_id AS DOUBLE)) AS BIGINT) AS customer_id,
        CAST(customer_zip_code_prefix AS VARCHAR) AS customer_zip_code_prefix,

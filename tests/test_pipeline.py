@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -110,3 +111,19 @@ def test_pipeline_from_csv_sources(spark, tmp_out):
     Pipeline.from_csv(spark, {}, f"{tmp_out}/out", steps="gold").run("gold")
     with pytest.raises(FileNotFoundError):
         Pipeline.from_csv(spark, {"orders": paths["orders"]}, f"{tmp_out}/out2", steps="bronze")
+
+
+def test_command_line(spark, tmp_out, capsys):
+    from haulage.__main__ import main
+
+    src = source_frames(spark, SF)
+    args = []
+    for name, df in src.items():
+        path = f"{tmp_out}/csv/{name}"
+        df.coalesce(1).write.option("header", "true").csv(path)
+        args += [f"--{name}", path]
+    assert main(["--step", "bronze,silver", "--out", f"{tmp_out}/out", *args], spark=spark) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert [x["step"] for x in lines] == ["bronze", "silver"] and lines[0]["rows"] == 1500
+    assert main(["--step", "gold", "--out", f"{tmp_out}/out"], spark=spark) == 0
+    assert main(["--step", "bronze", "--out", f"{tmp_out}/out2", "--orders", "/nonexistent.csv"], spark=spark) == 1

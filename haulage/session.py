@@ -7,7 +7,6 @@ execution (runtime re-planning, partition coalescing, skew-join splitting).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -75,8 +74,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     local = tempfile.mkdtemp(prefix="haulage-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
-
-
-def scratch_dir(prefix: str = "haulage-") -> str:
-    """A fresh local scratch directory (tests and local bench runs only)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("HAULAGE_SCRATCH"))

@@ -85,6 +85,9 @@ class Pipeline:
         self.mode = mode
         self.gold_csv = gold_csv
         self.max_concurrent_jobs = max_concurrent_jobs
+        # Set by ``from_csv``: the CSV files behind ``sources`` (for quarantine counts).
+        self.csv_paths: dict[str, str] = {}
+        self.null_value: str | None = None
         self.audit: list[StepAudit] = []
 
     @classmethod
@@ -120,11 +123,10 @@ class Pipeline:
     def ingest(self) -> dict:
         rows = {r["source"]: (r["rows"], r["cols"]) for r in profile(self._need("ingest")).collect()}
         detail = {"rows": sum(n for n, _ in rows.values()), "sources": rows}
-        csv_paths = getattr(self, "csv_paths", {})
-        if csv_paths:
+        if self.csv_paths:
             quarantined = {}
-            for name, path in csv_paths.items():
-                _, bad = read_source_quarantine(self.spark, name, path, getattr(self, "null_value", None))
+            for name, path in self.csv_paths.items():
+                _, bad = read_source_quarantine(self.spark, name, path, self.null_value)
                 quarantined[name] = count_quarantined(bad)
             detail["quarantined"] = quarantined
         return detail

@@ -176,8 +176,8 @@ def null_reason(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Why the delivered date is missing: DATA_QUALITY_ISSUE / NOT_YET_DELIVERED."""
     missing = F.col("order_delivered_customer_date").isNull()
     reason = (
-        F.when(missing & (F.col("order_status") == F.lit(rules.delivered_status)), F.lit("DATA_QUALITY_ISSUE"))
-        .when(missing, F.lit("NOT_YET_DELIVERED"))
+        F.when(missing & (F.col("order_status") == F.lit(rules.delivered_status)), F.lit(rules.null_reason_data_quality))
+        .when(missing, F.lit(rules.null_reason_not_delivered))
         .otherwise(F.lit(None).cast("string"))
     )
     return df.withColumn("delivery_null_reason", reason)

@@ -116,8 +116,8 @@ clean_s AS (
 def _derive_select(src: str) -> str:
     return f"""SELECT *,
          CASE WHEN order_delivered_customer_date IS NULL AND order_status = '{R.delivered_status}'
-                   THEN 'DATA_QUALITY_ISSUE'
-              WHEN order_delivered_customer_date IS NULL THEN 'NOT_YET_DELIVERED' END AS delivery_null_reason,
+                   THEN '{R.null_reason_data_quality}'
+              WHEN order_delivered_customer_date IS NULL THEN '{R.null_reason_not_delivered}' END AS delivery_null_reason,
          CAST(date_diff('day', order_purchase_timestamp, order_delivered_customer_date) AS INTEGER)
               AS actual_delivery_days,
          CAST(date_diff('day', order_estimated_delivery_date, order_delivered_customer_date) AS INTEGER)

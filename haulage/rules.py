@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 #   timestamp text format     yyyy-MM-dd HH:mm:ss
 #   lineage tag               OLIST_BRONZE_v1
 #   delivered status value    delivered
+#   missing-delivery reasons  DATA_QUALITY_ISSUE (delivered status), NOT_YET_DELIVERED
 # ---------------------------------------------------------------------------
 LAT_MIN = -34.0
 LAT_MAX = 6.0
@@ -40,6 +41,8 @@ LATE_RATE_BAND_ELSE = "LOW"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LINEAGE_TAG = "OLIST_BRONZE_v1"
 DELIVERED = "delivered"
+NULL_REASON_DATA_QUALITY = "DATA_QUALITY_ISSUE"
+NULL_REASON_NOT_DELIVERED = "NOT_YET_DELIVERED"
 
 
 @dataclass(frozen=True)
@@ -61,6 +64,8 @@ class Rules:
     timestamp_formats: tuple = (TIMESTAMP_FORMAT,)
     lineage_tag: str = LINEAGE_TAG
     delivered_status: str = DELIVERED
+    null_reason_data_quality: str = NULL_REASON_DATA_QUALITY
+    null_reason_not_delivered: str = NULL_REASON_NOT_DELIVERED
     # Row bound under which a derived lookup table (state means, consolidated
     # geo) is broadcast; above it the join falls back to a shuffle join.
     broadcast_max_rows: int = 1_000_000

@@ -107,6 +107,18 @@ class JoinContract:
     description: str
 
 
+# ---------------------------------------------------------------------------
+# Source names, required columns (the declared schemas above),
+# type hints, contract names, key pairs and descriptions must equal the
+# original pipeline's source and join-contract definitions:
+#   orders       hints order_id, customer_id, order_status: object
+#   customers    hints customer_id, customer_unique_id: object; customer_zip_code_prefix: int64
+#   geolocation  hints geolocation_zip_code_prefix: int64; geolocation_lat, geolocation_lng: float64
+#   orders_vs_customers       customer_id = customer_id, expected object,
+#                             "ERP join CRM via customer_id"
+#   customers_vs_geolocation  customer_zip_code_prefix = geolocation_zip_code_prefix,
+#                             expected int64, "CRM join Logistics via zip code"
+# ---------------------------------------------------------------------------
 ORDERS_SPEC = SourceSpec(
     "orders",
     ORDERS_SCHEMA,

@@ -12,6 +12,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,8 +190,10 @@ class Pipeline:
             for act in actions:
                 act()
             return
+        # Worker threads inherit the caller's job group, description and
+        # scheduler pool, so cancelling or tracing the step covers their jobs.
         with ThreadPoolExecutor(max_workers=self.max_concurrent_jobs) as pool:
-            for fut in [pool.submit(act) for act in actions]:
+            for fut in [pool.submit(inheritable_thread_target(act)) for act in actions]:
                 fut.result()
 
     # ---------------------------------------------------------------- driver

@@ -28,6 +28,8 @@ def test_pipeline_end_to_end(spark, tmp_out):
     assert text.count() == 10 and text.columns == ["metric", "value"]
     assert os.path.isdir(p.paths.gold("kpi_delivery_by_state") + "_csv")
     assert p.audit_frame().count() == 5
+    ingest = audit[0].detail["sources"]
+    assert ingest["orders"]["rows"] == 1500 and ingest["orders"]["cols"] == 8 and ingest["orders"]["seconds"] >= 0
 
 
 def test_pipeline_single_step_needs_only_its_inputs(spark, tmp_out):

@@ -246,16 +246,18 @@ def unmatched_keys(left: DataFrame, right: DataFrame, contract: JoinContract | s
     return lk.join(rk, on=c.left_key, how="left_anti")
 
 
-def check_contract(left: DataFrame, right: DataFrame, contract: JoinContract | str) -> dict:
+def check_contract(
+    left: DataFrame, right: DataFrame, contract: JoinContract | str, exact: bool = True
+) -> dict:
     """Report as a dict (collects the one-row report); raises nothing."""
-    row = join_report(left, right, contract).collect()[0].asDict()
+    row = join_report(left, right, contract, exact=exact).collect()[0].asDict()
     row["issues"] = [i for i in row["issues"].split("; ") if i] if row["issues"] else []
     return row
 
 
-def require_contracts(pairs) -> list[dict]:
+def require_contracts(pairs, exact: bool = True) -> list[dict]:
     """Check each (left, right, contract); raise ``ContractError`` if any cannot join."""
-    reports = [check_contract(l, r, c) for l, r, c in pairs]
+    reports = [check_contract(l, r, c, exact=exact) for l, r, c in pairs]
     bad = [r for r in reports if not r["can_join"]]
     if bad:
         raise ContractError("; ".join(f"{r['contract']}: {', '.join(r['issues'])}" for r in bad))

@@ -78,6 +78,7 @@ class Pipeline:
         mode: str = "strict",
         gold_csv: bool = True,
         max_concurrent_jobs: int = 3,
+        exact_contracts: bool = True,
     ):
         self.spark = spark
         self.sources = sources or {}
@@ -86,6 +87,8 @@ class Pipeline:
         self.mode = mode
         self.gold_csv = gold_csv
         self.max_concurrent_jobs = max_concurrent_jobs
+        # False: key statistics from sketches (no key shuffle) for very large sources.
+        self.exact_contracts = exact_contracts
         # Set by ``from_csv``: the CSV files behind ``sources`` (for quarantine counts).
         self.csv_paths: dict[str, str] = {}
         self.null_value: str | None = None
@@ -143,7 +146,8 @@ class Pipeline:
             [
                 (src["orders"], src["customers"], ORDERS_VS_CUSTOMERS),
                 (src["customers"], src["geolocation"], CUSTOMERS_VS_GEOLOCATION),
-            ]
+            ],
+            exact=self.exact_contracts,
         )
         return {"rows": None, "reports": reports}
 

@@ -129,3 +129,10 @@ def test_command_line(spark, tmp_out, capsys):
     assert [x["step"] for x in lines] == ["bronze", "silver"] and lines[0]["rows"] == 1500
     assert main(["--step", "gold", "--out", f"{tmp_out}/out"], spark=spark) == 0
     assert main(["--step", "bronze", "--out", f"{tmp_out}/out2", "--orders", "/nonexistent.csv"], spark=spark) == 1
+
+
+def test_validate_with_sketches(spark, tmp_out):
+    audit = Pipeline(spark, source_frames(spark, SF), tmp_out, exact_contracts=False).run("validate")
+    reports = {r["contract"]: r for r in audit[0].detail["reports"]}
+    assert reports["orders_vs_customers"]["can_join"] is True
+    assert abs(reports["orders_vs_customers"]["left_unique_keys"] - 150) <= 3

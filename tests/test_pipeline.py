@@ -136,3 +136,25 @@ def test_validate_with_sketches(spark, tmp_out):
     reports = {r["contract"]: r for r in audit[0].detail["reports"]}
     assert reports["orders_vs_customers"]["can_join"] is True
     assert abs(reports["orders_vs_customers"]["left_unique_keys"] - 150) <= 3
+
+
+def test_compat_counts_match_fixture_numbers_sf01(spark):
+    """The same published counts at sf0.1 (bronze, coordinates, buckets, statuses)."""
+    from haulage.operators.gold import late_severity
+    from haulage.operators.marts import speed_distribution
+    from haulage.operators.silver import build_silver
+
+    src = source_frames(spark, "/root/testdata/sf0.1")
+    bronze = B.enrich(src["orders"], src["customers"], B.consolidate_geo(src["geolocation"]), mode="compat")
+    r = bronze.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("lat").isNull()).alias("missing"),
+        F.count_if((F.col("lat") < -34) | (F.col("lat") > 6)).alias("lat_out"),
+        F.count_if((F.col("lng") < -74) | (F.col("lng") > -28)).alias("lng_out"),
+    ).collect()[0]
+    assert (r["rows"], r["missing"], r["lat_out"], r["lng_out"]) == (151690, 7477, 429, 248)
+    silver = build_silver(bronze, mode="compat")
+    speed = {x["delivery_speed_category"]: x["orders"] for x in speed_distribution(silver).collect()}
+    assert speed == {"FAST": 14001, "NORMAL": 30089, "SLOW": 74270, "VERY_SLOW": 25434, "UNKNOWN": 7896}
+    sev = {x["delay_severity"]: x["num_orders"] for x in late_severity(silver).collect()}
+    assert sev == {"MINOR": 13365, "MODERATE": 14388, "SEVERE": 11126, "CRITICAL": 562}

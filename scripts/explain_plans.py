@@ -25,6 +25,32 @@ from haulage.schemas import ORDERS_VS_CUSTOMERS  # noqa: E402
 from haulage.session import build_session  # noqa: E402
 from haulage.sources.testdata import source_frames  # noqa: E402
 
+NOTES = {
+    "Geo consolidation (A1)": "Partial HashAggregate on (zip, state, city) runs before the first Exchange, so a hot "
+    "zip is folded map-side. The second stage works on that small intermediate; it is a SortAggregate because "
+    "min_by keeps a string in its buffer, and it is bounded by distinct (zip, state, city), not by rows.",
+    "Bronze enrichment (J1, J2)": "The measured geo lookup is a broadcast (Scan ExistingRDD = local relation, no "
+    "lineage) joined onto customers. At this size Spark also broadcasts one side of orders x customers by its "
+    "own size rule; at scale that join is a sort-merge join on customer_id whose hot keys adaptive execution "
+    "splits (or hot_key_join, opt-in).",
+    "Silver from bronze (P3-P12, J3)": "One BroadcastHashJoin with the per-state means; no Exchange touches the "
+    "order rows and no Window partitions them by state.",
+    "Quality checks (V8)": "All checks are one global aggregate: partial HashAggregate, SinglePartition exchange of "
+    "one row per task.",
+    "KPI 1 delivery by state (A5, W1) on partitioned silver": "PushedFilters carries order_status and ReadSchema "
+    "only the needed columns. Partial aggregate on (state, days); the per-state running window and the final "
+    "per-state aggregate share one exchange on state over the small histogram; the global rank sees one row "
+    "per state.",
+    "KPI 2 monthly trend (A6)": "One partial/final aggregate on (year, month); unordered (no range exchange).",
+    "KPI 3 late severity (A7)": "Filters pushed to the scan (delivered, delay_days > 0); one small aggregate.",
+    "Executive summary (A9)": "Three one-row aggregates stacked by Union and folded by max; no join of "
+    "single-row tables, no range exchange for the trend.",
+    "Key overlap report (J4)": "Both key columns are unioned and grouped once (partial aggregation first), then "
+    "one global aggregate; no key reaches the driver.",
+    "Silver month filter (partition pruning)": "PartitionFilters on order_year: only that year's directories are "
+    "listed and read.",
+}
+
 KEEP = ("PushedFilters", "PartitionFilters", "ReadSchema", "Join type", "Join condition", "Keys", "Arguments")
 
 
@@ -73,7 +99,8 @@ def main():
                 f"(tables at `{sf}`, local[8], adaptive execution on; plans shown before runtime re-planning).\n"
                 "See README *Scale design* for what each shape means at 100 TB.\n")
         for title, df in sections:
-            f.write(f"\n## {title}\n\n```\n{formatted(df)}\n```\n")
+            note = NOTES.get(title, "")
+            f.write(f"\n## {title}\n\n{note}\n\n```\n{formatted(df)}\n```\n")
     spark.stop()
 
 

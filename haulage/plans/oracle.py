@@ -184,6 +184,7 @@ summary_base AS (
          count(*) FILTER (WHERE order_status = '{R.delivered_status}') AS delivered_orders,
          round(count(*) FILTER (WHERE order_status = '{R.delivered_status}') / count(*) * 100, 1) AS delivered_pct,
          round(avg(actual_delivery_days), 1) AS avg_delivery_days,
+         avg(actual_delivery_days) AS mean_delivery_days,
          count(*) FILTER (WHERE delay_days > 0) AS late_orders,
          round(count(*) FILTER (WHERE delay_days > 0) / count(*) * 100, 1) AS late_pct,
          count(*) FILTER (WHERE delivery_speed_category = '{R.speed_steps[0][0]}') AS fast_orders,
@@ -205,11 +206,12 @@ summary_text AS (
   SELECT * FROM (VALUES
     ('total_orders', (SELECT format('{{:,}}', total_orders) FROM summary)),
     ('delivered_orders', (SELECT format('{{:,}}', delivered_orders) FROM summary)),
-    ('delivered_pct', (SELECT printf('%.1f%%', delivered_pct) FROM summary)),
-    ('avg_delivery_days', (SELECT printf('%.1f days', avg_delivery_days) FROM summary)),
+    ('delivered_pct', (SELECT printf('%.1f%%', delivered_orders / total_orders * 100) FROM summary)),
+    ('avg_delivery_days', (SELECT printf('%.1f days', mean_delivery_days) FROM summary)),
     ('late_orders', (SELECT format('{{:,}}', late_orders) FROM summary)),
-    ('late_pct', (SELECT printf('%.1f%%', late_pct) FROM summary)),
-    ('fast_orders', (SELECT format('{{:,}}', fast_orders) || ' (' || printf('%.1f%%', fast_pct) || ')' FROM summary)),
+    ('late_pct', (SELECT printf('%.1f%%', late_orders / total_orders * 100) FROM summary)),
+    ('fast_orders', (SELECT format('{{:,}}', fast_orders) || ' (' || printf('%.1f%%', fast_orders / total_orders * 100)
+                            || ')' FROM summary)),
     ('slowest_state', (SELECT slowest_state FROM summary)),
     ('fastest_state', (SELECT fastest_state FROM summary)),
     ('peak_month', (SELECT CAST(peak_year AS VARCHAR) || '-' || lpad(CAST(peak_month AS VARCHAR), 2, '0')

@@ -101,3 +101,15 @@ def test_marts(spark):
     )
     chart = M.trend_chart_data(trend, (2017, 2018)).collect()
     assert [(r["month_label"], r["is_peak"]) for r in chart] == [("2017-01", False), ("2018-01", True)]
+
+
+def test_summary_text_rounds_like_python_format(spark):
+    # 49 of 400 orders late = 12.25 %: a Python ".1f" format gives 12.2 (half-even
+    # on the binary value); the typed column keeps SQL rounding (12.3).
+    rows = [(str(i), "A", "delivered", 3, 1 if i < 49 else -1, 2017, 1, "FAST") for i in range(400)]
+    silver = _silver(spark, rows)
+    summary = G.executive_summary(silver, G.delivery_by_state(silver), G.monthly_trend(silver))
+    typed = summary.collect()[0]
+    text = {r["metric"]: r["value"] for r in G.format_summary(summary).collect()}
+    assert typed["late_pct"] == 12.3
+    assert text["late_pct"] == f"{49 / 400 * 100:.1f}%" == "12.2%"

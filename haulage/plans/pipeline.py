@@ -202,7 +202,7 @@ class Pipeline:
         # Worker threads inherit the caller's job group, description and
         # scheduler pool, so cancelling or tracing the step covers their jobs.
         with ThreadPoolExecutor(max_workers=self.max_concurrent_jobs) as pool:
-            for fut in [pool.submit(inheritable_thread_target(act)) for act in actions]:
+            for fut in [pool.submit(inheritable_thread_target(self.spark)(act)) for act in actions]:
                 fut.result()
 
     # ---------------------------------------------------------------- driver

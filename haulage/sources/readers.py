@@ -32,7 +32,7 @@ def _spec(spec: SourceSpec | str) -> SourceSpec:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Spark's own file listing (HDFS/S3 alike)."""
     try:
-        spark.read.text(path)
+        spark.read.text(path).schema  # noqa: B018 - forces analysis (Spark Connect is lazy)
     except AnalysisException as e:
         if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
             return False

@@ -158,3 +158,10 @@ def test_compat_counts_match_fixture_numbers_sf01(spark):
     assert speed == {"FAST": 14001, "NORMAL": 30089, "SLOW": 74270, "VERY_SLOW": 25434, "UNKNOWN": 7896}
     sev = {x["delay_severity"]: x["num_orders"] for x in late_severity(silver).collect()}
     assert sev == {"MINOR": 13365, "MODERATE": 14388, "SEVERE": 11126, "CRITICAL": 562}
+
+
+def test_compat_pipeline_passes_four_checks(spark, tmp_out):
+    audit = {a.step: a for a in Pipeline(spark, source_frames(spark, SF), tmp_out, mode="compat").run(["bronze", "silver"])}
+    checks = audit["silver"].detail["checks"]
+    assert [c[0] for c in checks] == ["order_id_not_null", "customer_id_not_null", "delivery_days_in_range", "lat_in_bounds"]
+    assert all(c[2] for c in checks) and audit["silver"].rows == 1513

@@ -145,24 +145,13 @@ def top_late_state_severity(by_state_severity: DataFrame, n: int = 10, group: st
     ).limit(n)
 
 
-def executive_summary(
-    silver: DataFrame,
-    by_state: DataFrame,
-    trend: DataFrame,
-    rules: Rules = DEFAULT_RULES,
-    group: str = "customer_state",
-) -> DataFrame:
-    """KPI 4, typed: one row.
-
-    Three one-row aggregates (silver totals, state extremes, peak month) are
-    stacked and folded with ``max`` rather than joined.  "Late" counts any
-    status here, as in the original summary.
-    """
+def summary_totals(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Silver-wide totals of the executive summary (one row, one pass)."""
     total = F.count(F.lit(1))
     delivered = count_where(F.col("order_status") == F.lit(rules.delivered_status))
     late = count_where(F.col(DELAY) > 0)
     fast = count_where(F.col("delivery_speed_category") == F.lit(rules.speed_steps[0][0]))
-    base = silver.agg(
+    return silver.agg(
         total.alias("total_orders"),
         delivered.alias("delivered_orders"),
         pct(delivered, total).alias("delivered_pct"),
@@ -173,9 +162,13 @@ def executive_summary(
         fast.alias("fast_orders"),
         pct(fast, total).alias("fast_pct"),
     )
+
+
+def summary_extremes(by_state: DataFrame, group: str = "customer_state") -> DataFrame:
+    """Slowest and fastest state by mean days (NULL means never win; ties by name)."""
     avg = F.col("avg_delivery_days")
     known = F.col(group).isNotNull() & avg.isNotNull()
-    states = by_state.agg(
+    return by_state.agg(
         F.min_by(F.col(group), F.when(known, F.struct((-avg).alias("a"), F.col(group).alias("s")))).alias(
             "slowest_state"
         ),
@@ -183,19 +176,45 @@ def executive_summary(
             "fastest_state"
         ),
     )
+
+
+def summary_peak(trend: DataFrame) -> DataFrame:
+    """Month with the most orders; ties go to the earliest month (one row)."""
     peak_key = F.when(
         F.col("total_orders").isNotNull(),
         F.struct((-F.col("total_orders")).alias("t"), F.col("order_year"), F.col("order_month")),
     )
-    peak = trend.agg(
+    return trend.agg(
         F.min_by("order_year", peak_key).alias("peak_year"),
         F.min_by("order_month", peak_key).alias("peak_month"),
         F.min_by("total_orders", peak_key).alias("peak_month_orders"),
     )
-    stacked = base.unionByName(states, allowMissingColumns=True).unionByName(peak, allowMissingColumns=True)
+
+
+def combine_summary(*parts: DataFrame) -> DataFrame:
+    """Stack one-row parts and fold them into one row (``max`` per column)."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+def executive_summary(
+    silver: DataFrame,
+    by_state: DataFrame,
+    trend: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    group: str = "customer_state",
+) -> DataFrame:
+    """KPI 4, typed: one row.
+
+    Three one-row aggregates (silver totals, state extremes, peak month) are
+    stacked and folded with ``max`` rather than joined.  "Late" counts any
+    status here, as in the original summary.
+    """
+    return combine_summary(summary_totals(silver, rules), summary_extremes(by_state, group), summary_peak(trend))
+
+
 SUMMARY_METRICS = (
     "total_orders",
     "delivered_orders",

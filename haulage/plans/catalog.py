@@ -41,7 +41,7 @@ LOOKUP_METRICS = ("total_orders", "on_time_orders")
 MEAN_GRID = float(2**20)
 
 
-def r6(c: str):
+def coord(c: str):
     return (F.round(F.col(c) * F.lit(MEAN_GRID)) / F.lit(MEAN_GRID)).alias(c)
 
 
@@ -76,7 +76,7 @@ def _typed_orders(spark, sf):
 
 
 def _geo_view(df: DataFrame, extra=()) -> DataFrame:
-    return df.select("order_id", "customer_state", *extra, r6("lat"), r6("lng"))
+    return df.select("order_id", "customer_state", *extra, coord("lat"), coord("lng"))
 
 
 # ---------------------------------------------------------------- sources
@@ -136,7 +136,7 @@ def null_rate_check(spark, sf):
 # ----------------------------------------------------------------- bronze
 def geo_consolidated(spark, sf):
     cons = B.consolidate_geo(_src(spark, sf)["geolocation"])
-    return cons.select("zip_code", "geolocation_state", r6("lat"), r6("lng"), "city")
+    return cons.select("zip_code", "geolocation_state", coord("lat"), coord("lng"), "city")
 
 
 def geo_dedup_report(spark, sf):
@@ -149,7 +149,7 @@ def orders_customers(spark, sf):
 
 
 def _bronze_view(df):
-    return df.select(*[r6(c) if c in ("lat", "lng") else c for c in BRONZE_COLUMNS])
+    return df.select(*[coord(c) if c in ("lat", "lng") else c for c in BRONZE_COLUMNS])
 
 
 def bronze_enriched(spark, sf):
@@ -166,7 +166,7 @@ def bronze_lineage(spark, sf):
 
 
 def bronze_sample(spark, sf):
-    b = _bronze(spark, sf).select("order_id", "customer_id", "order_status", "customer_state", r6("lat"), r6("lng"))
+    b = _bronze(spark, sf).select("order_id", "customer_id", "order_status", "customer_state", coord("lat"), coord("lng"))
     return b.orderBy("order_id").limit(20)
 
 
@@ -198,7 +198,7 @@ def null_reason(spark, sf):
 
 def geo_outliers(spark, sf):
     out = S.geo_outliers(_bronze(spark, sf), R)
-    return out.select("order_id", "customer_state", r6("lat"), r6("lng"), "city")
+    return out.select("order_id", "customer_state", coord("lat"), coord("lng"), "city")
 
 
 def fix_geo_outliers(spark, sf):

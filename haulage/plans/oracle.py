@@ -220,13 +220,13 @@ summary_text AS (
 )"""
 
 
-def _r6(c: str, prefix: str = "") -> str:
+def _coord(c: str, prefix: str = "") -> str:
     grid = f"CAST({int(MEAN_GRID)} AS DOUBLE)"
     return f"round({prefix}{c} * {grid}) / {grid} AS {c}"
 
 
 def _bronze_select(src: str) -> str:
-    cols = ", ".join(_r6(c) if c in ("lat", "lng") else c for c in BRONZE_COLUMNS)
+    cols = ", ".join(_coord(c) if c in ("lat", "lng") else c for c in BRONZE_COLUMNS)
     return f"SELECT {cols} FROM {src}"
 
 
@@ -306,7 +306,7 @@ WHERE {c.left_key} IS NOT NULL
 
 
 def _geo_sql(extra: str, src: str) -> str:
-    return f"SELECT order_id, customer_state, {extra}{_r6('lat')}, {_r6('lng')} FROM {src}"
+    return f"SELECT order_id, customer_state, {extra}{_coord('lat')}, {_coord('lng')} FROM {src}"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -379,7 +379,7 @@ FROM reports""",
 FROM nr""",
         ),
         "geo_consolidated": _q(
-            GEO_CONS, select=f"SELECT zip_code, geolocation_state, {_r6('lat')}, {_r6('lng')}, city FROM geo_cons"
+            GEO_CONS, select=f"SELECT zip_code, geolocation_state, {_coord('lat')}, {_coord('lng')}, city FROM geo_cons"
         ),
         "geo_dedup_report": _q(
             GEO_CONS,
@@ -401,7 +401,7 @@ FROM geo_cons""",
             GEO_CONS,
             OC,
             BRONZE_S,
-            select=f"""SELECT order_id, customer_id, order_status, customer_state, {_r6('lat')}, {_r6('lng')}
+            select=f"""SELECT order_id, customer_id, order_status, customer_state, {_coord('lat')}, {_coord('lng')}
 FROM bronze_s ORDER BY order_id LIMIT 20""",
         ),
         "geo_coverage": _q(
@@ -444,7 +444,7 @@ FROM per_order""",
             GEO_CONS,
             OC,
             BRONZE_S,
-            select=f"""SELECT order_id, customer_state, {_r6('lat')}, {_r6('lng')}, city
+            select=f"""SELECT order_id, customer_state, {_coord('lat')}, {_coord('lng')}, city
 FROM bronze_s WHERE coalesce({OOB}, false)""",
         ),
         "fix_geo_outliers": _q(

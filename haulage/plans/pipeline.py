@@ -209,8 +209,11 @@ class Pipeline:
             return
         # Worker threads inherit the caller's job group, description and
         # scheduler pool, so cancelling or tracing the step covers their jobs.
+        wrap = inheritable_thread_target(self.spark)
+        if not callable(wrap):  # pinned-thread mode off: nothing to inherit
+            wrap = lambda act: act
         with ThreadPoolExecutor(max_workers=self.max_concurrent_jobs) as pool:
-            for fut in [pool.submit(inheritable_thread_target(self.spark)(act)) for act in actions]:
+            for fut in [pool.submit(wrap(act)) for act in actions]:
                 fut.result()
 
     # ---------------------------------------------------------------- driver

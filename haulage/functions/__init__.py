@@ -8,9 +8,7 @@ from haulage.functions.columns import (
     out_of_bounds,
     in_bounds,
     pct,
-    safe_ratio,
     thousands,
-    percent_text,
     parse_timestamp,
 )
 
@@ -22,8 +20,6 @@ __all__ = [
     "out_of_bounds",
     "in_bounds",
     "pct",
-    "safe_ratio",
     "thousands",
-    "percent_text",
     "parse_timestamp",
 ]

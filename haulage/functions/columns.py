@@ -57,11 +57,6 @@ def count_where(predicate: Column) -> Column:
     return F.count_if(F.coalesce(predicate, F.lit(False)))
 
 
-def safe_ratio(num, den) -> Column:
-    """``num / den`` as double; NULL instead of a division-by-zero error."""
-    return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
-
-
 def pct(num, den, digits: int = 1) -> Column:
     """Percentage ``num / den * 100`` rounded to ``digits`` (HALF_UP)."""
     return F.round(F.try_divide(_col(num), _col(den)) * F.lit(100), digits)
@@ -105,11 +100,6 @@ def thousands(value) -> Column:
     return F.format_number(_col(value).cast("double"), 0)
 
 
-def percent_text(value, digits: int = 1) -> Column:
-    """'12.3%' text; NULL stays NULL."""
-    return F.concat(F.format_number(_col(value), digits), F.lit("%"))
-
-
 def parse_timestamp(value, formats: Sequence[str]) -> Column:
     """Parse text to timestamp with the first matching format; bad text -> NULL.
 

@@ -57,8 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint directory the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) is a scratch directory created and installed.  On a Spark
-    Connect session the server's configuration applies and nothing is set.
+    under a local master (tests) is a scratch directory created and installed;
+    on a cluster an unset directory is an error, because every executor would
+    write to its own disk.  On a Spark Connect session the server's
+    configuration applies and nothing is set.
     """
     try:
         sc = spark.sparkContext
@@ -71,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="haulage-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -41,10 +41,10 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_documented():
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == set(E.NO_ORACLE)
+    assert set(E.QUERIES) - set(sql) == set(E.NO_ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) & set(E.QUERIES)))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cur = duck.execute(E.oracle_sql()[name])

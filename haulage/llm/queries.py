@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import mixing, sharding
+from haulage.llm import language, lm, mixing, sharding
 from haulage.llm.common import read_table
 
 
@@ -17,6 +17,23 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _id_crc(col: str = "doc_id"):
+    return F.crc32(F.col(col).cast("string").cast("binary"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lm.score_documents(docs, held_out=_id_crc() % 7 == 2)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_id_crc() % 3 == 1, F.lit(False)))
+    model = language.train(docs.where(~F.col("held_out")))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -24,6 +41,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_sharding": op3_sharding,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_language_id": op7_language_id,
     "op10_mixing": op10_mixing,
 }
 

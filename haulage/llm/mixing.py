@@ -10,6 +10,7 @@ from haulage.llm.common import scratch_table, text_or_empty, word_count
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix"
+SALTS = 64
 
 
 def mix_key(id_col: str = "doc_id", text_col: str = "text", seed: str = SEED):
@@ -110,6 +111,14 @@ def source_cuts(
     return plans.join(cut, F.col("_s").eqNullSafe(F.col("_cs")), "left").drop("_cs")
 
 
+def join_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows with their source's cut.  The cut table is repeated per salt, so a hot source is spread over ``SALTS`` keys."""
+    salted = cuts.withColumn("_cut_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.hash("_key"), F.lit(SALTS))).join(
+        salted, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_salt") == F.col("_cut_salt"))
+    )
+
+
 def mix_sources(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -142,7 +151,7 @@ def mix_sources(
         .otherwise(F.lit(0))
     )
     return (
-        sized.join(cuts, F.col("_source").eqNullSafe(F.col("_s")))
+        join_cuts(sized, cuts)
         .withColumn("_last", last)
         .select(
             F.col("_id").alias("doc_id"),
@@ -183,8 +192,7 @@ def apply_mix(
     reached = F.coalesce((F.col("_key") <= F.col("_cut_key")), F.lit(False)).cast("int")
     copies = (F.col("_epochs") + reached).cast("int")
     return (
-        keyed.where("_has_words")
-        .join(cuts, F.col("_source").eqNullSafe(F.col("_s")))
+        join_cuts(keyed.where("_has_words"), cuts)
         .withColumn("_copies", copies)
         .where(F.col("_copies") > 0)
         .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_copies"))))

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import language, lm, mixing, sharding
+from haulage.llm import language, lm, mixing, neardup, sharding
 from haulage.llm.common import read_table
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, groups = neardup.near_duplicates(docs, words=4)
+    return groups.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     placed = sharding.shard_slots(docs, [1.0] * sharding.SHARDS)
@@ -40,6 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_sharding": op3_sharding,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,

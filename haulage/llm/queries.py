@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import language, lm, mixing, neardup, sharding
+from haulage.llm import decontam, language, lm, mixing, neardup, sharding
 from haulage.llm.common import read_table
 
 
@@ -42,6 +42,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontam.number_rows(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    pairs = decontam.contaminated_pairs(rows, read_table(spark, sf_dir, "benchmark"))
+    return pairs.join(rows.select("_rid", "doc_id"), "_rid").select(
+        "doc_id", "item_id", "item_tokens", "covered", "coverage", "longest", "tiles"
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -52,6 +60,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,
+    "op8_decontamination": op8_decontamination,
     "op10_mixing": op10_mixing,
 }
 

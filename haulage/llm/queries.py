@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import decontam, language, lm, mixing, neardup, sharding
+from haulage.llm import decontam, language, license, lm, mixing, neardup, sharding
 from haulage.llm.common import read_table
 
 
@@ -29,6 +29,10 @@ def _id_crc(col: str = "doc_id"):
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return lm.score_documents(docs, held_out=_id_crc() % 7 == 2)
@@ -58,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_sharding": op3_sharding,
+    "op5_license_scan": op5_license_scan,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,

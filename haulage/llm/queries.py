@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import decontam, language, license, lm, mixing, neardup, sharding
+from haulage.llm import ann, decontam, language, license, lm, mixing, neardup, sharding
 from haulage.llm.common import read_table
 
 
@@ -54,6 +54,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), is_query=F.col("id") % 20 == 0, k=20)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -66,6 +70,7 @@ QUERIES = {
     "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
+    "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
 }
 

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import ann, decontam, language, license, lm, mixing, neardup, sharding
+from haulage.llm import ann, decontam, extract, language, license, lm, mixing, neardup, sharding
 from haulage.llm.common import read_table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    labeller = extract.train_on(pages)
+    return extract.extract_text(pages.select("page_id", "url", "html"), labeller).drop("html")
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     _, groups = neardup.near_duplicates(docs, words=4)
@@ -64,6 +70,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_near_dedup": op2_near_dedup,
     "op3_sharding": op3_sharding,
     "op5_license_scan": op5_license_scan,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import ann, decontam, extract, language, license, lm, mixing, neardup, sharding
+from haulage.llm import ann, decontam, extract, language, license, lm, mixing, neardup, pii, sharding
 from haulage.llm.common import read_table
 
 
@@ -35,6 +35,25 @@ def _id_crc(col: str = "doc_id"):
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest are of the base spans; ``spans`` also holds what the tagger adds, ``n_added`` counts it."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.train_on(docs)).drop("text")
+
+    def joined(col: str):
+        place = F.transform(F.col(col), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(place, ",")
+
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as long) as n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("all").alias("spans"),
+        (F.size("all") - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -73,6 +92,7 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_near_dedup": op2_near_dedup,
     "op3_sharding": op3_sharding,
+    "op4_personal_data": op4_personal_data,
     "op5_license_scan": op5_license_scan,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,

@@ -1,0 +1,43 @@
+"""The corpus pipeline's stages, one after the other, against brute-force versions of each."""
+
+import re
+from collections import Counter
+
+import duckdb
+
+import corpus_pipeline
+from haulage.llm import mixing
+
+from test_selection import SF, _groups  # noqa: E402
+
+
+def test_stages_and_columns(spark, docs):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "source_mix", "sharding"]
+    empty = docs([])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, SF)
+        assert out.count() == 0 and out.columns[:5] == list(corpus_pipeline.COLUMNS), name
+
+
+def test_run_matches_stage_by_stage(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text, source FROM read_parquet('{SF}/documents.parquet')").fetchall()
+    items = duckdb.sql(f"SELECT text FROM read_parquet('{SF}/benchmark.parquet')").fetchall()
+    flat = lambda t: " " + " ".join(re.findall(r"\w+", t.lower())) + " "
+    kept = [r for r in rows if r[1] and re.search(r"[^\W\d_]", r[1])]
+    groups = _groups([(i, t) for i, t, _ in kept], 5)
+    kept = [r for r in kept if groups[r[0]][1] == r[0]]
+    kept = [r for r in kept if not any(flat(x) in flat(r[1]) for (x,) in items)]
+    out = corpus_pipeline.run(spark, SF).collect()
+    clean = spark.createDataFrame([(i, t, s) for i, t, s in kept], "doc_id long, text string, source string")
+    plan = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(clean).collect()}
+    assert Counter(r["doc_id"] for r in out) == Counter({i: c for i, c in plan.items() if c})
+    texts = {i: t for i, t, _ in rows}
+    assert all(r["text"] == texts[r["doc_id"]] and 0 <= r["shard"] < 24 for r in out)
+
+
+def test_stages_survive_odd_rows(spark, docs):
+    rows = [(None, None), (1, ""), (1, "12 34"), (2, "a b c", "en", None), (2, "a b c", "en", None), (3, "word " * 20_000, None, "s")]
+    df = docs(rows)
+    for _, stage in corpus_pipeline.STAGES:
+        df = stage(spark, df, SF)
+    assert {r["doc_id"] for r in df.collect()} <= {2, 3}

@@ -34,8 +34,7 @@ HIDDEN = 20
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of every kind
 TRAIN_DOCS = 1500  # documents that the model is trained on
 TRAIN_WINDOWS = 4000
-EPOCHS = 7
-BATCH = 96
+STEPS, BATCH = 280, 96
 SURE = 0.9  # least mean probability of an added span's characters
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -235,9 +234,9 @@ def train(texts: list[str], seed: int = 5) -> Tagger:
     windows = training_windows(texts, rng)
     weights = {**tagger.params, "moves": moves}
     adam = nn.Adam(weights, 0.02)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(windows))
-        for begin in range(0, len(order), BATCH):
+    if windows:
+        order = np.concatenate([rng.permutation(len(windows)) for _ in range(-(-STEPS * BATCH // len(windows)))])
+        for begin in range(0, STEPS * BATCH, BATCH):
             part = [windows[i] for i in order[begin : begin + BATCH]]
             x, lengths = _one_hot([c for c, _ in part])
             scores, cache = nn.forward(tagger.params, x, lengths, keep=True)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 ORDERS = 4  # the longest character n-gram
+MAX_LANGS = 256  # a model column each
 ROWS_PER_LANG = 4000  # labelled rows that a language is learned from
 WORDS_PER_LANG = 50_000  # capacity of the word table
 GRAMS_PER_LANG = 30_000  # capacity of each order's n-gram table
@@ -92,10 +93,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def labelled_sample(
     labelled: DataFrame, id_col: str, lang_col: str, rows_per_lang: int = ROWS_PER_LANG
 ) -> DataFrame:
-    """About ``rows_per_lang`` rows of each language, all of a smaller one, chosen by the hash of the id."""
-    counts = labelled.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_rows"))
+    """About ``rows_per_lang`` rows of each language, all of a smaller one, chosen by the hash of the id.
+
+    The ``MAX_LANGS`` languages with most rows are learned, so the counts that
+    are broadcast have a fixed largest size and texts are not shuffled.
+    """
+    counts = (
+        labelled.groupBy(F.col(lang_col).alias("_lang"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .orderBy(F.col("_rows").desc(), "_lang")
+        .limit(MAX_LANGS)
+    )
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("lid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return labelled.join(counts, F.col(lang_col) == F.col("_lang")).where(
+    return labelled.join(F.broadcast(counts), F.col(lang_col) == F.col("_lang")).where(
         draw * F.col("_rows") < F.lit(float(rows_per_lang))
     )
 

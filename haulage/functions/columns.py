@@ -100,12 +100,14 @@ def thousands(value) -> Column:
     return F.format_number(_col(value).cast("double"), 0)
 
 
-def parse_timestamp(value, formats: Sequence[str]) -> Column:
+def parse_timestamp(value, formats: Sequence[str], lenient: bool = False) -> Column:
     """Parse text to timestamp with the first matching format; bad text -> NULL.
 
     ``try_to_timestamp`` never raises, so malformed values (date-only text,
     junk, empty strings) become NULL under ANSI mode too.
     """
     v = _col(value)
+    if lenient:  # blanks around the text and fractions of a second do not matter
+        v = F.regexp_replace(F.trim(v), r"\.[0-9]+$", "")
     parsed = [F.try_to_timestamp(v, F.lit(fmt)) for fmt in formats]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)

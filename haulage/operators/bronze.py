@@ -7,10 +7,9 @@ Scale notes
   second stage is exact re-aggregation, and the most common city is chosen
   deterministically (largest count, then smallest name) instead of an
   arbitrary ``first``.
-* ``enrich`` joins orders to customers on customer_id (shuffle join; adaptive
-  execution splits a hot customer) and then to the consolidated geolocation,
-  which is measured and broadcast when small, so the joined order rows are not
-  shuffled a second time.
+* ``enrich`` joins the consolidated geolocation to the customers and the
+  result to the orders on customer_id.  How each join runs is Spark's choice by
+  byte size; adaptive execution splits a hot customer or zip.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import count_where
-from haulage.plans.strategies import hot_key_join, join_lookup
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import BRONZE_COLUMNS
 
@@ -91,7 +89,6 @@ def enrich(
     customers: DataFrame,
     geo_consolidated: DataFrame,
     mode: str = "strict",
-    rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
     """Bronze rows: orders x customers (inner) + consolidated geo (left).
 
@@ -101,8 +98,8 @@ def enrich(
 
     The geo condition uses customer columns only, so
     ``(orders JOIN customers) LEFT JOIN geo == orders JOIN (customers LEFT JOIN geo)``.
-    Customers are enriched first (the measured geo table is broadcast to
-    them), and the order rows are shuffled once, by customer_id.
+    Customers are enriched first, and the order rows are shuffled once, by
+    customer_id.  Lazy: no job runs here.
     """
     if mode not in ("strict", "compat"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -111,20 +108,8 @@ def enrich(
     cond = F.col("zip_code") == F.col("_geo_zip")
     if mode == "strict":
         cond = cond & (F.col("customer_state") == F.col("geolocation_state"))
-    cust_geo = join_lookup(cust, geo, on=cond, how="left", max_rows=rules.broadcast_max_rows).drop("_geo_zip")
-    if rules.skew_hot_fraction:
-        joined = hot_key_join(
-            orders,
-            cust_geo,
-            "customer_id",
-            "inner",
-            hot_fraction=rules.skew_hot_fraction,
-            sample_fraction=rules.skew_sample_fraction,
-            max_rows=rules.broadcast_max_rows,
-        )
-    else:
-        joined = orders.join(cust_geo, on="customer_id", how="inner")
-    return joined.select(*BRONZE_COLUMNS)
+    cust_geo = cust.join(geo, on=cond, how="left").drop("_geo_zip")
+    return orders.join(cust_geo, on="customer_id", how="inner").select(*BRONZE_COLUMNS)
 
 
 def add_lineage(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -161,7 +146,9 @@ def build_bronze(
     mode: str = "strict",
     rules: Rules = DEFAULT_RULES,
     lineage: bool = True,
+    geo_consolidated: DataFrame | None = None,
 ) -> DataFrame:
     """Sources -> consolidated geo -> enriched bronze (+ lineage columns)."""
-    bronze = enrich(orders, customers, consolidate_geo(geolocation), mode=mode, rules=rules)
+    geo = consolidate_geo(geolocation) if geo_consolidated is None else geo_consolidated
+    bronze = enrich(orders, customers, geo, mode=mode)
     return add_lineage(bronze, rules) if lineage else bronze

@@ -143,12 +143,32 @@ def contract_issues(left: DataFrame, right: DataFrame, contract: JoinContract |
     return can_join, issues, True
 
 
+def _same_family(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> bool:
+    families = {type_family(left.schema[left_key].dataType), type_family(right.schema[right_key].dataType)}
+    return len(families) == 1 or families == {"integer", "float"}  # numbers compare by value
+
+
+def _comparable(left: DataFrame, right: DataFrame, left_key: str, right_key: str):
+    """Both keys as columns of one type; across type families a (side, text) pair, so that none is equal."""
+    lcol, rcol = F.col(left_key), F.col(right_key)
+    if _same_family(left, right, left_key, right_key):
+        return lcol, rcol  # the union widens, it never narrows
+
+    def sided(col, side):
+        return F.when(col.isNotNull(), F.struct(F.lit(side).alias("side"), col.cast("string").alias("text")))
+
+    return sided(lcol, 0), sided(rcol, 1)
+
+
 def key_overlap(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """One row: distinct keys per side, matching keys, left-only keys (NULLs ignored)."""
-    lk = left.select(F.col(left_key).alias("_k"), F.lit(True).alias("_l"), F.lit(False).alias("_r"))
-    rk = right.select(F.col(right_key).alias("_k"), F.lit(False).alias("_l"), F.lit(True).alias("_r"))
-    if lk.schema["_k"].dataType != rk.schema["_k"].dataType:
-        rk = rk.withColumn("_k", F.col("_k").cast(lk.schema["_k"].dataType))
+    """One row: distinct keys per side, matching keys, left-only keys (NULLs ignored).
+
+    Keys of different type families never match (1000 is not "1000"), so
+    nothing is cast across families.
+    """
+    lcol, rcol = _comparable(left, right, left_key, right_key)
+    lk = left.select(lcol.alias("_k"), F.lit(True).alias("_l"), F.lit(False).alias("_r"))
+    rk = right.select(rcol.alias("_k"), F.lit(False).alias("_l"), F.lit(True).alias("_r"))
     per_key = (
         lk.unionByName(rk)
         .where(F.col("_k").isNotNull())
@@ -172,10 +192,9 @@ def approx_key_overlap(
     and never shuffle keys; matching keys follow by inclusion-exclusion
     (|L & R| = |L| + |R| - |L | R|), so they carry the sketches' error.
     """
-    lk = left.select(F.col(left_key).alias("_k"), F.lit(True).alias("_l"))
-    rk = right.select(F.col(right_key).alias("_k"), F.lit(False).alias("_l"))
-    if lk.schema["_k"].dataType != rk.schema["_k"].dataType:
-        rk = rk.withColumn("_k", F.col("_k").cast(lk.schema["_k"].dataType))
+    lcol, rcol = _comparable(left, right, left_key, right_key)
+    lk = left.select(lcol.alias("_k"), F.lit(True).alias("_l"))
+    rk = right.select(rcol.alias("_k"), F.lit(False).alias("_l"))
     both = lk.unionByName(rk).where(F.col("_k").isNotNull())
     n_l = F.approx_count_distinct(F.when(F.col("_l"), F.col("_k")), rsd)
     n_r = F.approx_count_distinct(F.when(~F.col("_l"), F.col("_k")), rsd)
@@ -197,7 +216,7 @@ def join_report(
     """Contract report (one row): can_join, issues, key statistics, match rate.
 
     ``exact=False`` uses sketches (``approx_key_overlap``) instead of a grouped
-    pass over distinct keys.
+    pass over distinct keys, and adds a column ``estimated`` that says so.
     """
     c = _contract(contract)
     can_join, issues, keys_present = contract_issues(left, right, c)
@@ -209,6 +228,7 @@ def join_report(
     overlap = key_overlap if exact else approx_key_overlap
     stats = overlap(left, right, c.left_key, c.right_key)
     rate = F.try_divide(F.col("matching_keys").cast("double"), F.col("left_unique_keys").cast("double")) * F.lit(100.0)
+    marks = [] if exact else [F.lit(True).alias("estimated")]
     return stats.select(
         F.lit(c.name).alias("contract"),
         F.lit(c.description).alias("description"),
@@ -222,6 +242,7 @@ def join_report(
         .otherwise(F.concat(F.format_number(rate, 1), F.lit("%")))
         .alias("match_rate"),
         rate.alias("match_rate_pct"),
+        *marks,
     )
 
 
@@ -231,19 +252,19 @@ def _key_frames(left: DataFrame, right: DataFrame, contract: JoinContract | str)
     # key holding a large share of either table is one row before the join.
     lk = left.select(F.col(c.left_key)).where(F.col(c.left_key).isNotNull()).distinct()
     rk = right.select(F.col(c.right_key).alias(c.left_key)).where(F.col(c.left_key).isNotNull()).distinct()
-    return c, lk, rk
+    return c, lk, rk if _same_family(left, right, c.left_key, c.right_key) else None
 
 
 def matched_keys(left: DataFrame, right: DataFrame, contract: JoinContract | str) -> DataFrame:
     """Distinct left keys that have a partner on the right (key intersection)."""
     c, lk, rk = _key_frames(left, right, contract)
-    return lk.join(rk, on=c.left_key, how="left_semi")
+    return lk.limit(0) if rk is None else lk.join(rk, on=c.left_key, how="left_semi")
 
 
 def unmatched_keys(left: DataFrame, right: DataFrame, contract: JoinContract | str) -> DataFrame:
     """Distinct left keys without a partner on the right (key difference)."""
     c, lk, rk = _key_frames(left, right, contract)
-    return lk.join(rk, on=c.left_key, how="left_anti")
+    return lk if rk is None else lk.join(rk, on=c.left_key, how="left_anti")
 
 
 def check_contract(
@@ -285,7 +306,8 @@ def harmonize_and_recheck(
 def harmonize(df: DataFrame, column: str, target: str, fill=None) -> DataFrame:
     """Convert ``column`` to a target type family; returns a new DataFrame.
 
-    ``int64``: numeric parse (non-numeric -> NULL), fractions truncated;
+    ``int64``: numeric parse (non-numeric -> NULL), fractions truncated; whole
+    numbers keep all 64 bits (they do not pass through a double);
     ``object``: text; ``float64``: numeric parse.  ``fill`` replaces NULLs after
     conversion (``fill=0`` reproduces the original NULL -> 0 behaviour).
     Other targets leave the column unchanged.
@@ -296,7 +318,9 @@ def harmonize(df: DataFrame, column: str, target: str, fill=None) -> DataFrame:
         if src in ("byte", "short", "integer", "long"):
             out = c.cast("bigint")
         else:
-            out = c.try_cast("double").try_cast("bigint")
+            as_double = c.try_cast("double").try_cast("bigint")
+            whole = c.rlike(r"^\s*[+-]?[0-9]+\s*$")
+            out = F.when(whole, c.try_cast("bigint")).otherwise(as_double) if src == "string" else as_double
     elif target == "object":
         out = c.cast("string")
     elif target == "float64":

@@ -1,7 +1,8 @@
 """Gold layer: KPI tables over silver.
 
-``delivery_by_state`` computes everything from one partial aggregation keyed
-by (state, delivery days).  That intermediate has at most
+All KPIs are computed from one count of silver by the columns they look at
+(``order_cube``), so silver is read once for all of them.
+``delivery_by_state`` works on a histogram keyed by (state, delivery days).  That intermediate has at most
 states x distinct-day-values rows, however many orders there are, so the
 exact median (the lower median, which is what an approximate-percentile sketch
 returns on small groups and what ``quantile_disc`` returns) comes from a
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulage.functions import bucketize, count_where, pct
+from haulage.functions import bucketize, pct
 from haulage.rules import DEFAULT_RULES, Rules
 
 DAYS = "actual_delivery_days"
@@ -26,56 +27,82 @@ def _delivered(silver: DataFrame, rules: Rules) -> DataFrame:
     return silver.filter(F.col("order_status") == F.lit(rules.delivered_status))
 
 
+CUBE_KEYS = ("customer_state", "order_status", "order_year", "order_month", DAYS, DELAY, "delivery_speed_category")
+
+
+def order_cube(silver: DataFrame) -> DataFrame:
+    """Silver counted by all that the KPIs look at: ``CUBE_KEYS``, ``_rows`` and ``_orders`` (non-NULL order ids).
+
+    Every KPI below takes silver or this cube.  One pass over silver (partial
+    aggregation, few columns) then serves all of them.
+    """
+    return silver.groupBy(*CUBE_KEYS).agg(F.count(F.lit(1)).alias("_rows"), F.count("order_id").alias("_orders"))
+
+
+def _cube(silver: DataFrame) -> DataFrame:
+    return silver if "_rows" in silver.columns else order_cube(silver)
+
+
+def _rows_where(condition):
+    return F.coalesce(F.sum(F.when(condition, F.col("_rows"))), F.lit(0))
+
+
+def _orders():
+    return F.coalesce(F.sum("_orders"), F.lit(0))
+
+
+def _mean(col: str):
+    known = F.sum(F.when(F.col(col).isNotNull(), F.col("_rows")))
+    return F.try_divide(F.sum(F.col(col) * F.col("_rows")), known)
+
+
 def delivery_by_state(
     silver: DataFrame,
     rules: Rules = DEFAULT_RULES,
     group: str = "customer_state",
     median: str = "exact",
 ) -> DataFrame:
-    """KPI 1 (delivered orders only), one row per state, ranked slowest first."""
-    d = _delivered(silver, rules)
+    """KPI 1 (delivered orders only), one row per state, ranked slowest first.
+
+    ``median="approx"`` takes ``percentile_approx`` over the silver rows
+    instead of the exact lower median over the histogram; all other measures
+    are the same.
+    """
+    if median not in ("exact", "approx"):
+        raise ValueError(f"unknown median {median!r}")
+    if median == "approx" and "_rows" in silver.columns:
+        raise ValueError("the approximate median needs silver rows, not their counts")
+    hist = _delivered(_cube(silver), rules).groupBy(group, DAYS).agg(
+        F.sum("_orders").alias("_orders"),
+        F.sum("_rows").alias("_rows"),
+        F.sum(F.col(DELAY) * F.col("_rows")).alias("_s_delay"),
+        F.sum(F.when(F.col(DELAY).isNotNull(), F.col("_rows")).otherwise(0)).alias("_c_delay"),
+        _rows_where(F.col(DELAY) > 0).alias("_late"),
+    )
+    known = F.when(F.col(DAYS).isNotNull(), F.col("_rows")).otherwise(F.lit(0))
+    by_state = Window.partitionBy(group)
+    running = by_state.orderBy(F.col(DAYS).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumns(
+        {"_known": known, "_cum": F.sum(known).over(running), "_tot": F.sum(known).over(by_state)}
+    )
+    at_median = F.col(DAYS).isNotNull() & (F.col("_cum") * 2 >= F.col("_tot"))
+    kpi = hist.groupBy(group).agg(
+        F.sum("_orders").alias("total_orders"),
+        F.round(F.try_divide(F.sum(F.col(DAYS) * F.col("_known")), F.sum("_known")), 1).alias("avg_delivery_days"),
+        F.round(F.try_divide(F.sum("_s_delay"), F.sum("_c_delay")), 1).alias("avg_delay_days"),
+        F.sum("_late").alias("late_orders"),
+        pct(F.sum("_late"), F.sum("_orders")).alias("late_rate_pct"),
+        F.min(F.when(at_median, F.col(DAYS))).alias("median_delivery_days"),
+    )
     if median == "approx":
-        kpi = d.groupBy(group).agg(
-            F.count("order_id").alias("total_orders"),
-            F.round(F.avg(DAYS), 1).alias("avg_delivery_days"),
-            F.round(F.avg(DELAY), 1).alias("avg_delay_days"),
-            count_where(F.col(DELAY) > 0).alias("late_orders"),
-            pct(count_where(F.col(DELAY) > 0), F.count("order_id")).alias("late_rate_pct"),
-            F.percentile_approx(DAYS, 0.5).cast("int").alias("median_delivery_days"),
-        )
-    elif median == "exact":
-        hist = d.groupBy(group, DAYS).agg(
-            F.count("order_id").alias("_orders"),
-            F.count(F.lit(1)).alias("_rows"),
-            F.sum(DELAY).alias("_s_delay"),
-            F.count(DELAY).alias("_c_delay"),
-            count_where(F.col(DELAY) > 0).alias("_late"),
+        approx = _delivered(silver, rules).groupBy(F.col(group).alias("_group")).agg(
+            F.percentile_approx(DAYS, 0.5).cast("int").alias("_median")
         )
-        known = F.when(F.col(DAYS).isNotNull(), F.col("_rows")).otherwise(F.lit(0))
-        by_state = Window.partitionBy(group)
-        running = by_state.orderBy(F.col(DAYS).asc_nulls_first()).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
+        kpi = (
+            kpi.join(approx, F.col(group).eqNullSafe(F.col("_group")))
+            .withColumn("median_delivery_days", F.col("_median"))
+            .drop("_group", "_median")
         )
-        hist = hist.withColumns(
-            {
-                "_known": known,
-                "_cum": F.sum(known).over(running),
-                "_tot": F.sum(known).over(by_state),
-            }
-        )
-        at_median = F.col(DAYS).isNotNull() & (F.col("_cum") * 2 >= F.col("_tot"))
-        kpi = hist.groupBy(group).agg(
-            F.sum("_orders").alias("total_orders"),
-            F.round(F.try_divide(F.sum(F.col(DAYS) * F.col("_known")), F.sum("_known")), 1).alias(
-                "avg_delivery_days"
-            ),
-            F.round(F.try_divide(F.sum("_s_delay"), F.sum("_c_delay")), 1).alias("avg_delay_days"),
-            F.sum("_late").alias("late_orders"),
-            pct(F.sum("_late"), F.sum("_orders")).alias("late_rate_pct"),
-            F.min(F.when(at_median, F.col(DAYS))).alias("median_delivery_days"),
-        )
-    else:
-        raise ValueError(f"unknown median {median!r}")
     rank = F.rank().over(Window.orderBy(F.col("avg_delivery_days").desc_nulls_last()))
     return kpi.withColumn("rank_slowest", rank)
 
@@ -99,13 +126,13 @@ def monthly_trend(silver: DataFrame, rules: Rules = DEFAULT_RULES, ordered: bool
     Unordered by default: consumers that aggregate it further (peak month,
     summary) then pay no range-partitioning exchange for a sort they discard.
     """
-    late = count_where(F.col(DELAY) > 0)
-    kpi = silver.groupBy("order_year", "order_month").agg(
-        F.count("order_id").alias("total_orders"),
-        F.round(F.avg(DAYS), 1).alias("avg_delivery_days"),
-        pct(late, F.count("order_id")).alias("late_rate_pct"),
-        count_where(F.col("delivery_speed_category") == F.lit(rules.speed_steps[0][0])).alias("fast_orders"),
-        count_where(F.col("delivery_speed_category") == F.lit(rules.speed_over)).alias("very_slow_orders"),
+    speed = F.col("delivery_speed_category")
+    kpi = _cube(silver).groupBy("order_year", "order_month").agg(
+        _orders().alias("total_orders"),
+        F.round(_mean(DAYS), 1).alias("avg_delivery_days"),
+        pct(_rows_where(F.col(DELAY) > 0), _orders()).alias("late_rate_pct"),
+        _rows_where(speed == F.lit(rules.speed_steps[0][0])).alias("fast_orders"),
+        _rows_where(speed == F.lit(rules.speed_over)).alias("very_slow_orders"),
     )
     return kpi.orderBy(*TREND_ORDER) if ordered else kpi
 
@@ -123,9 +150,9 @@ def late_orders(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 def late_severity(silver: DataFrame, rules: Rules = DEFAULT_RULES, ordered: bool = False) -> DataFrame:
     """KPI 3: late orders per severity; ordered by mean delay when ``ordered``."""
-    kpi = late_orders(silver, rules).groupBy("delay_severity").agg(
-        F.count("order_id").alias("num_orders"),
-        F.round(F.avg(DELAY), 1).alias("avg_delay_days"),
+    kpi = late_orders(_cube(silver), rules).groupBy("delay_severity").agg(
+        _orders().alias("num_orders"),
+        F.round(_mean(DELAY), 1).alias("avg_delay_days"),
         F.max(DELAY).alias("max_delay_days"),
     )
     return kpi.orderBy(*SEVERITY_ORDER) if ordered else kpi
@@ -135,7 +162,7 @@ def late_by_state_severity(
     silver: DataFrame, rules: Rules = DEFAULT_RULES, group: str = "customer_state", ordered: bool = False
 ) -> DataFrame:
     """Late orders per (state, severity); largest first when ``ordered``."""
-    kpi = late_orders(silver, rules).groupBy(group, "delay_severity").agg(F.count("order_id").alias("late_orders"))
+    kpi = late_orders(_cube(silver), rules).groupBy(group, "delay_severity").agg(_orders().alias("late_orders"))
     return kpi.orderBy(F.col("late_orders").desc(), group, "delay_severity") if ordered else kpi
 
 
@@ -147,16 +174,16 @@ def top_late_state_severity(by_state_severity: DataFrame, n: int = 10, group: st
 
 def summary_totals(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Silver-wide totals of the executive summary (one row, one pass)."""
-    total = F.count(F.lit(1))
-    delivered = count_where(F.col("order_status") == F.lit(rules.delivered_status))
-    late = count_where(F.col(DELAY) > 0)
-    fast = count_where(F.col("delivery_speed_category") == F.lit(rules.speed_steps[0][0]))
-    return silver.agg(
+    total = F.coalesce(F.sum("_rows"), F.lit(0))
+    delivered = _rows_where(F.col("order_status") == F.lit(rules.delivered_status))
+    late = _rows_where(F.col(DELAY) > 0)
+    fast = _rows_where(F.col("delivery_speed_category") == F.lit(rules.speed_steps[0][0]))
+    return _cube(silver).agg(
         total.alias("total_orders"),
         delivered.alias("delivered_orders"),
         pct(delivered, total).alias("delivered_pct"),
-        F.round(F.avg(DAYS), 1).alias("avg_delivery_days"),
-        F.avg(DAYS).alias("mean_delivery_days"),
+        F.round(_mean(DAYS), 1).alias("avg_delivery_days"),
+        _mean(DAYS).alias("mean_delivery_days"),
         late.alias("late_orders"),
         pct(late, total).alias("late_pct"),
         fast.alias("fast_orders"),
@@ -265,13 +292,12 @@ def format_summary(summary: DataFrame) -> DataFrame:
 
 
 def build_gold(silver: DataFrame, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
+    """The three KPI tables over silver or its ``order_cube``."""
     by_state = delivery_by_state(silver, rules)
     trend = monthly_trend(silver, rules)
     severity = late_severity(silver, rules)
-    summary = executive_summary(silver, by_state, trend, rules)
     return {
         "kpi_delivery_by_state": by_state,
         "kpi_monthly_trend": trend,
         "kpi_late_orders": severity,
-        "executive_summary": summary,
     }

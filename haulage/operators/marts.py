@@ -81,13 +81,14 @@ def default_state_selection(by_state: DataFrame, n: int = 5) -> DataFrame:
 def state_scorecard(by_state: DataFrame, states: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """Selected states' display columns, slowest first.
 
-    ``states`` may be a list (small, user-chosen), a one-column DataFrame
-    (semi-joined) or ``None`` for the default selection.
+    ``states`` may be a list (small, user-chosen) or a one-column DataFrame
+    (semi-joined, e.g. ``default_state_selection``); with ``None`` or an empty
+    list nothing is selected and all states are shown.
     """
-    if states is None:
-        states = default_state_selection(by_state)
     if isinstance(states, DataFrame):
         rows = by_state.join(states.select(GROUP), on=GROUP, how="left_semi")
+    elif not states:
+        rows = by_state
     else:
         rows = by_state.filter(F.col(GROUP).isin(list(states)))
     return rows.select(

@@ -16,9 +16,12 @@ Two modes where the original pipeline's results are questionable:
     the *new* lat, using a mean over in-bounds rows of the filled data.
 
 Per-state means are grouped aggregates (partial aggregation, so a state
-holding a third of all orders is folded map-side) joined back through a
-measured broadcast, never a ``Window.partitionBy(state)`` that would put a
-whole state into one task.
+holding a third of all orders is folded map-side), never a
+``Window.partitionBy(state)`` that would put a whole state into one task.  The
+operators take them as an argument: a caller that has them as a table
+(``state_means`` over the columns that it needs, written once) gets a plan that
+reads the orders once and starts no job.  Without it they are planned lazily
+from the same rows.
 """
 
 from __future__ import annotations
@@ -29,44 +32,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import bucketize, count_where, in_bounds, out_of_bounds, parse_timestamp
-from haulage.plans.strategies import join_lookup
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import TIMESTAMP_COLUMNS
 
 
+def _formats(rules: Rules, mode: str) -> tuple:
+    return rules.timestamp_formats + (rules.lenient_timestamp_formats if mode == "compat" else ())
+
+
 def fix_timestamps(
     df: DataFrame,
     columns: Sequence[str] = TIMESTAMP_COLUMNS,
     rules: Rules = DEFAULT_RULES,
+    mode: str = "strict",
 ) -> DataFrame:
-    """Text -> timestamp for each column; unparseable text becomes NULL."""
+    """Text -> timestamp for each column; unparseable text becomes NULL.
+
+    ``compat`` also reads what the original's lenient parser reads: blanks
+    around the text, single digits and fractions of a second (cut off).
+    """
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: parse_timestamp(c, rules.timestamp_formats) for c in present})
+    return df.withColumns({c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in present})
 
 
 def timestamp_parse_failures(
-    raw: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS, rules: Rules = DEFAULT_RULES
+    raw: DataFrame,
+    columns: Sequence[str] = TIMESTAMP_COLUMNS,
+    rules: Rules = DEFAULT_RULES,
+    mode: str = "strict",
 ) -> DataFrame:
     """Per column: values that were present as text but failed to parse."""
     present = [c for c in columns if c in raw.columns]
-    agg = raw.agg(
-        *[
-            count_where(F.col(c).isNotNull() & parse_timestamp(c, rules.timestamp_formats).isNull()).alias(c)
-            for c in present
-        ]
-    )
+    parsed = {c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in present}
+    agg = raw.agg(*[count_where(F.col(c).isNotNull() & parsed[c].isNull()).alias(c) for c in present])
     return agg.unpivot([], present, "column_name", "parse_failures")
 
 
-def _state_means(df: DataFrame, keep, group: str, lat: str, lng: str) -> DataFrame:
+def state_means(
+    df: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    group: str = "customer_state",
+    in_bounds_only: bool = True,
+    lat: str = "lat",
+    lng: str = "lng",
+) -> DataFrame:
+    """Mean coordinates per state, over the rows with a complete pair in bounds or over all rows."""
+    kept = df.filter(in_bounds(lat, lng, rules)) if in_bounds_only else df
     return (
-        df.filter(keep)
+        kept
         .groupBy(group)
         .agg(F.avg(lat).alias("_m_lat"), F.avg(lng).alias("_m_lng"))
         .filter(F.col(group).isNotNull())
     )
 
 
+def _with_means(df, means, rules, group, in_bounds_only, lat, lng) -> DataFrame:
+    if means is None:
+        means = state_means(df, rules, group, in_bounds_only, lat, lng)
+    return df.join(means, on=group, how="left")
+
+
 def impute_geo(
     df: DataFrame,
     rules: Rules = DEFAULT_RULES,
@@ -74,12 +99,12 @@ def impute_geo(
     mode: str = "strict",
     lat: str = "lat",
     lng: str = "lng",
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Fill missing coordinates with the per-state mean; add ``geo_imputed``."""
     la, ln = F.col(lat), F.col(lng)
     if mode == "strict":
-        means = _state_means(df, in_bounds(lat, lng, rules), group, lat, lng)
-        j = join_lookup(df, means, on=group, how="left", max_rows=rules.broadcast_max_rows)
+        j = _with_means(df, means, rules, group, True, lat, lng)
         return j.withColumns(
             {
                 "geo_imputed": F.coalesce(la.isNull() & F.col("_m_lat").isNotNull(), F.lit(False)),
@@ -88,8 +113,7 @@ def impute_geo(
             }
         ).drop("_m_lat", "_m_lng")
     if mode == "compat":
-        means = _state_means(df, F.lit(True), group, lat, lng)
-        j = join_lookup(df, means, on=group, how="left", max_rows=rules.broadcast_max_rows)
+        j = _with_means(df, means, rules, group, False, lat, lng)
         filled = j.withColumns(
             {lat: F.coalesce(la, F.col("_m_lat")), lng: F.coalesce(ln, F.col("_m_lng"))}
         )
@@ -105,10 +129,10 @@ def fix_geo_outliers(
     mode: str = "strict",
     lat: str = "lat",
     lng: str = "lng",
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Replace out-of-bounds coordinates with the clean per-state mean."""
-    means = _state_means(df, in_bounds(lat, lng, rules), group, lat, lng)
-    j = join_lookup(df, means, on=group, how="left", max_rows=rules.broadcast_max_rows)
+    j = _with_means(df, means, rules, group, True, lat, lng)
     if mode == "strict":
         bad = F.coalesce(out_of_bounds(lat, lng, rules), F.lit(False))
         return (
@@ -140,11 +164,11 @@ def clean_geo(
     group: str = "customer_state",
     lat: str = "lat",
     lng: str = "lng",
+    means: DataFrame | None = None,
 ) -> DataFrame:
     """Strict imputation and repair together, from one clean mean per state."""
     la, ln = F.col(lat), F.col(lng)
-    means = _state_means(df, in_bounds(lat, lng, rules), group, lat, lng)
-    j = join_lookup(df, means, on=group, how="left", max_rows=rules.broadcast_max_rows)
+    j = _with_means(df, means, rules, group, True, lat, lng)
     bad = F.coalesce(out_of_bounds(lat, lng, rules), F.lit(False))
     return (
         j.withColumns(
@@ -202,15 +226,31 @@ def derive(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return df.withColumn("delivery_speed_category", speed_category("actual_delivery_days", rules))
 
 
-def build_silver(bronze: DataFrame, rules: Rules = DEFAULT_RULES, mode: str = "strict") -> DataFrame:
-    """Bronze -> silver (not yet gated; see ``haulage.operators.quality``)."""
-    typed = fix_timestamps(bronze, rules=rules)
+def repair_means(
+    bronze: DataFrame, fill_means: DataFrame, rules: Rules = DEFAULT_RULES, group: str = "customer_state"
+) -> DataFrame:
+    """The compat repair's means: in-bounds rows after the fill from ``fill_means``."""
+    return state_means(impute_geo(bronze, rules, group, mode="compat", means=fill_means), rules, group)
+
+
+def build_silver(
+    bronze: DataFrame,
+    rules: Rules = DEFAULT_RULES,
+    mode: str = "strict",
+    means: DataFrame | None = None,
+    repair: DataFrame | None = None,
+) -> DataFrame:
+    """Bronze -> silver (not yet gated; see ``haulage.operators.quality``).
+
+    ``means`` (and ``repair`` in compat mode) are the per-state means as
+    tables; see the module's notes.
+    """
+    typed = fix_timestamps(bronze, rules=rules, mode=mode)
     if mode == "strict":
-        cleaned = null_reason(clean_geo(typed, rules), rules)
+        cleaned = null_reason(clean_geo(typed, rules, means=means), rules)
     elif mode == "compat":
-        cleaned = fix_geo_outliers(
-            null_reason(impute_geo(typed, rules, mode="compat"), rules), rules, mode="compat"
-        )
+        filled = null_reason(impute_geo(typed, rules, mode="compat", means=means), rules)
+        cleaned = fix_geo_outliers(filled, rules, mode="compat", means=repair)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return derive(cleaned, rules)

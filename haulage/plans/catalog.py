@@ -21,6 +21,7 @@ from haulage.operators import gold as G
 from haulage.operators import marts as M
 from haulage.operators import quality as Q
 from haulage.operators import silver as S
+from haulage.plans.materialise import materialise
 from haulage.rules import DEFAULT_RULES as R
 from haulage.schemas import BRONZE_COLUMNS, CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, TIMESTAMP_COLUMNS
 from haulage.sources import profile as P
@@ -29,6 +30,7 @@ from haulage.sources.testdata import source_frames
 TREND_YEARS = (2000, 2001)
 RECENT_FROM_YEAR = 2000
 MIN_ORDERS = 100
+SCORECARD_STATES = ("NATION_3", "NATION_12", "NATION_20")
 LOOKUP_METRICS = ("total_orders", "on_time_orders")
 
 
@@ -49,26 +51,40 @@ def _src(spark, sf):
     return source_frames(spark, sf)
 
 
+# Derived lookups (consolidated geolocation, per-state means) are written once
+# and read back, so each query's plan holds the orders x customers join once
+# and Spark picks every join from the tables' sizes.
 def _bronze(spark, sf, mode="strict"):
     src = _src(spark, sf)
-    return B.enrich(src["orders"], src["customers"], B.consolidate_geo(src["geolocation"]), mode=mode, rules=R)
+    geo = materialise(B.consolidate_geo(src["geolocation"]), "geo")
+    return B.enrich(src["orders"], src["customers"], geo, mode=mode)
+
+
+def _means(bronze, mode="strict"):
+    return materialise(S.state_means(bronze, R, in_bounds_only=mode == "strict"), "state-means")
+
+
+def _silver_of(bronze, mode="strict"):
+    means = _means(bronze, mode)
+    repair = materialise(S.repair_means(bronze, means, R), "repair-means") if mode == "compat" else None
+    return S.build_silver(bronze, R, mode=mode, means=means, repair=repair)
 
 
 def _silver(spark, sf, mode="strict"):
-    return S.build_silver(_bronze(spark, sf, mode), R, mode=mode)
+    return _silver_of(_bronze(spark, sf, mode), mode)
 
 
-def _by_state(spark, sf):
-    return G.delivery_by_state(_silver(spark, sf), R)
+def _by_state(spark, sf, mode="strict", median="exact"):
+    return G.delivery_by_state(_silver(spark, sf, mode), R, median=median)
 
 
-def _trend(spark, sf):
-    return G.monthly_trend(_silver(spark, sf), R)
+def _trend(spark, sf, mode="strict"):
+    return G.monthly_trend(_silver(spark, sf, mode), R)
 
 
-def _summary(spark, sf):
-    silver = _silver(spark, sf)
-    return G.executive_summary(silver, G.delivery_by_state(silver, R), G.monthly_trend(silver, R), R)
+def _summary(spark, sf, mode="strict"):
+    cube = materialise(G.order_cube(_silver(spark, sf, mode)), "order-cube")
+    return G.executive_summary(cube, G.delivery_by_state(cube, R), G.monthly_trend(cube, R), R)
 
 
 def _typed_orders(spark, sf):
@@ -100,7 +116,12 @@ def harmonize_types(spark, sf):
     c = C.harmonize(c, "customer_zip_code_prefix", "object")
     c = C.harmonize(c, "customer_unique_id", "float64")
     c = C.harmonize(c, "unique_id_as_int", "int64", fill=0)
-    return c.select("customer_id", "customer_zip_code_prefix", "customer_unique_id", "unique_id_as_int")
+    # Beyond 2**53, where a double would merge neighbours.
+    big = F.concat(F.lit("900719925"), F.lpad(F.regexp_replace("customer_id", "[^0-9]", ""), 7, "0"), F.lit("93"))
+    c = C.harmonize(c.withColumn("big_number", big), "big_number", "int64")
+    return c.select(
+        "customer_id", "customer_zip_code_prefix", "customer_unique_id", "unique_id_as_int", "big_number"
+    )
 
 
 # -------------------------------------------------------------- contracts
@@ -114,6 +135,15 @@ def join_contract_customers_geo(spark, sf):
     return C.join_report(src["customers"], src["geolocation"], CUSTOMERS_VS_GEOLOCATION)
 
 
+def join_contract_mismatch(spark, sf):
+    """Contracts that cannot be met: keys of different types, and a missing key."""
+    src = _src(spark, sf)
+    numbers = src["customers"].withColumn("customer_id", F.col("customer_zip_code_prefix").cast("bigint"))
+    return C.join_report(src["orders"], numbers, ORDERS_VS_CUSTOMERS).unionByName(
+        C.join_report(src["orders"], src["customers"].drop("customer_id"), ORDERS_VS_CUSTOMERS)
+    )
+
+
 def matched_keys(spark, sf):
     src = _src(spark, sf)
     return C.matched_keys(src["customers"], src["geolocation"], CUSTOMERS_VS_GEOLOCATION)
@@ -184,11 +214,13 @@ def fix_timestamps(spark, sf):
 
 
 def impute_geo(spark, sf):
-    return _geo_view(S.impute_geo(_bronze(spark, sf), R, mode="strict"), ["geo_imputed"])
+    bronze = _bronze(spark, sf)
+    return _geo_view(S.impute_geo(bronze, R, mode="strict", means=_means(bronze)), ["geo_imputed"])
 
 
 def impute_geo_compat(spark, sf):
-    out = S.impute_geo(_bronze(spark, sf, "compat"), R, mode="compat")
+    bronze = _bronze(spark, sf, "compat")
+    out = S.impute_geo(bronze, R, mode="compat", means=_means(bronze, "compat"))
     return _geo_view(out, ["geolocation_state", "geo_imputed"])
 
 
@@ -202,12 +234,16 @@ def geo_outliers(spark, sf):
 
 
 def fix_geo_outliers(spark, sf):
-    return _geo_view(S.fix_geo_outliers(_bronze(spark, sf), R, mode="strict"), ["geo_repaired"])
+    bronze = _bronze(spark, sf)
+    return _geo_view(S.fix_geo_outliers(bronze, R, mode="strict", means=_means(bronze)), ["geo_repaired"])
 
 
 def fix_geo_outliers_compat(spark, sf):
-    imputed = S.impute_geo(_bronze(spark, sf, "compat"), R, mode="compat")
-    out = S.fix_geo_outliers(imputed, R, mode="compat")
+    bronze = _bronze(spark, sf, "compat")
+    means = _means(bronze, "compat")
+    imputed = S.impute_geo(bronze, R, mode="compat", means=means)
+    repair = materialise(S.repair_means(bronze, means, R), "repair-means")
+    out = S.fix_geo_outliers(imputed, R, mode="compat", means=repair)
     return _geo_view(out, ["geolocation_state", "geo_imputed"])
 
 
@@ -223,18 +259,44 @@ def speed_bucket(spark, sf):
 
 def cleaning_report(spark, sf):
     bronze = _bronze(spark, sf)
-    return S.cleaning_report(bronze, S.build_silver(bronze, R), R)
+    return S.cleaning_report(bronze, _silver_of(bronze), R)
 
 
 def row_preservation(spark, sf):
     bronze = _bronze(spark, sf)
-    return S.row_preservation(bronze, S.build_silver(bronze, R))
+    return S.row_preservation(bronze, _silver_of(bronze))
+
+
+def _silver_view(df):
+    return df.select(*[coord(c) if c in ("lat", "lng") else F.col(c) for c in sorted(df.columns)])
+
+
+def silver_orders(spark, sf):
+    return _silver_view(_silver(spark, sf))
+
+
+def silver_orders_compat(spark, sf):
+    return _silver_view(_silver(spark, sf, "compat"))
 
 
 def quality_checks(spark, sf):
     return Q.quality_checks(_silver(spark, sf), R)
 
 
+def failing_checks(spark, sf):
+    """The checks over rows that fail them: coordinates moved out of bounds, days beyond the limit, statuses lost."""
+    silver = _silver(spark, sf)
+    broken = silver.withColumns(
+        {
+            "lat": F.col("lat") + F.lit(100.0),
+            "lng": F.col("lng") + F.lit(100.0),
+            "actual_delivery_days": F.col("actual_delivery_days") + F.lit(400),
+            "order_id": F.when(F.col("order_status") == "delivered", F.col("order_id")),
+        }
+    )
+    return Q.quality_checks(broken, R)
+
+
 def silver_stats(spark, sf):
     return M.silver_stats(_silver(spark, sf), R)
 
@@ -288,6 +350,27 @@ def summary_metric(spark, sf):
     return M.summary_metric(G.format_summary(_summary(spark, sf)), LOOKUP_METRICS)
 
 
+def delivery_by_state_compat(spark, sf):
+    return _by_state(spark, sf, "compat")
+
+
+def delivery_by_state_approx(spark, sf):
+    """The approximate median: exact here, as every state has fewer distinct values than the sketch's accuracy."""
+    return _by_state(spark, sf, median="approx")
+
+
+def monthly_trend_compat(spark, sf):
+    return _trend(spark, sf, "compat")
+
+
+def late_severity_compat(spark, sf):
+    return G.late_severity(_silver(spark, sf, "compat"), R)
+
+
+def executive_summary_compat(spark, sf):
+    return _summary(spark, sf, "compat")
+
+
 # ------------------------------------------------------------------ marts
 def peak_month(spark, sf):
     return M.peak_month(_trend(spark, sf))
@@ -305,6 +388,10 @@ def state_scorecard(spark, sf):
     return M.state_scorecard(_by_state(spark, sf))
 
 
+def state_scorecard_selected(spark, sf):
+    return M.state_scorecard(_by_state(spark, sf), SCORECARD_STATES)
+
+
 def state_list(spark, sf):
     return M.state_list(_by_state(spark, sf))
 
@@ -366,5 +453,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         state_scorecard,
         state_list,
         late_summary,
+        silver_orders,
+        silver_orders_compat,
+        delivery_by_state_compat,
+        delivery_by_state_approx,
+        monthly_trend_compat,
+        late_severity_compat,
+        executive_summary_compat,
+        state_scorecard_selected,
+        join_contract_mismatch,
+        failing_checks,
     )
 }

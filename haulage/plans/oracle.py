@@ -8,8 +8,9 @@ outputs (counts BIGINT, days/years/months/ranks INTEGER, rates DOUBLE).
 
 from __future__ import annotations
 
-from haulage.plans.catalog import LOOKUP_METRICS, MEAN_GRID, MIN_ORDERS, RECENT_FROM_YEAR, TREND_YEARS
-from haulage.rules import DEFAULT_RULES as R
+from types import SimpleNamespace
+
+from haulage.plans.catalog import LOOKUP_METRICS, MEAN_GRID, MIN_ORDERS, RECENT_FROM_YEAR, SCORECARD_STATES, TREND_YEARS
 from haulage.schemas import (
     BRONZE_COLUMNS,
     CUSTOMERS_SCHEMA,
@@ -21,6 +22,28 @@ from haulage.schemas import (
 )
 from haulage.sources.testdata import ADAPTER_SQL
 
+# Fixed values, written out here so that a wrong constant in the code under test shows.
+R = SimpleNamespace(
+    lat_min=-34.0,
+    lat_max=6.0,
+    lng_min=-74.0,
+    lng_max=-28.0,
+    speed_steps=(("FAST", 7), ("NORMAL", 14), ("SLOW", 30)),
+    speed_over="VERY_SLOW",
+    speed_unknown="UNKNOWN",
+    severity_steps=(("MINOR", 3), ("MODERATE", 7), ("SEVERE", 14)),
+    severity_over="CRITICAL",
+    max_null_rate_pct=5.0,
+    min_match_rate_pct=95.0,
+    max_delivery_days=365,
+    late_rate_bands=(("HIGH", 15.0), ("MEDIUM", 8.0)),
+    late_rate_band_else="LOW",
+    lineage_tag="OLIST_BRONZE_v1",
+    delivered_status="delivered",
+    null_reason_data_quality="DATA_QUALITY_ISSUE",
+    null_reason_not_delivered="NOT_YET_DELIVERED",
+)
+
 TS = "%Y-%m-%d %H:%M:%S"
 D = "CAST({} AS DOUBLE)".format
 
@@ -101,15 +124,13 @@ mean_s AS (
 )"""
 
 CLEAN_S = f"""
+marked_s AS (SELECT *, coalesce({OOB}, false) AS geo_repaired FROM typed_s),
 clean_s AS (
   SELECT t.* EXCLUDE (lat, lng),
-         CASE WHEN coalesce({OOB.replace('lat', 't.lat').replace('lng', 't.lng')}, false) THEN m.m_lat
-              ELSE coalesce(t.lat, m.m_lat) END AS lat,
-         CASE WHEN coalesce({OOB.replace('lat', 't.lat').replace('lng', 't.lng')}, false) THEN m.m_lng
-              ELSE coalesce(t.lng, m.m_lng) END AS lng,
-         coalesce(t.lat IS NULL AND m.m_lat IS NOT NULL, false) AS geo_imputed,
-         coalesce({OOB.replace('lat', 't.lat').replace('lng', 't.lng')}, false) AS geo_repaired
-  FROM typed_s t LEFT JOIN mean_s m ON t.customer_state = m.customer_state
+         CASE WHEN t.geo_repaired THEN m.m_lat ELSE coalesce(t.lat, m.m_lat) END AS lat,
+         CASE WHEN t.geo_repaired THEN m.m_lng ELSE coalesce(t.lng, m.m_lng) END AS lng,
+         coalesce(t.lat IS NULL AND m.m_lat IS NOT NULL, false) AS geo_imputed
+  FROM marked_s t LEFT JOIN mean_s m ON t.customer_state = m.customer_state
 )"""
 
 
@@ -230,6 +251,10 @@ def _bronze_select(src: str) -> str:
     return f"SELECT {cols} FROM {src}"
 
 
+def _silver_select(src: str) -> str:
+    return f"SELECT * REPLACE ({_coord('lat')}, {_coord('lng')}) FROM {src}"
+
+
 def _null_profile_sql() -> str:
     parts = []
     for name, cte, schema in (
@@ -343,6 +368,19 @@ fixed_lat_c AS (
 fixed_c AS (
   SELECT * EXCLUDE (lng, m_lng), CASE WHEN {OOB} THEN m_lng ELSE lng END AS lng FROM fixed_lat_c
 )"""
+    compat_silver = (
+        GEO_CONS,
+        OC,
+        BRONZE_C,
+        compat_impute,
+        compat_fix,
+        _typed("typed_fixed_c", "fixed_c"),
+        f"""
+silver0 AS ({_derive_select("typed_fixed_c")}),
+silver AS (SELECT *, {_speed('actual_delivery_days')} AS delivery_speed_category FROM silver0)""",
+    )
+    scorecard = """SELECT customer_state AS state, total_orders AS orders, avg_delivery_days AS avg_days,
+       late_rate_pct AS late_pct, median_delivery_days AS median_days"""
     q = {
         "source_profile": _q(
             select=f"""SELECT 'orders' AS source, count(*) AS rows, CAST({len(ORDERS_SCHEMA.fields)} AS INTEGER) AS cols FROM src_orders
@@ -355,7 +393,8 @@ UNION ALL SELECT 'geolocation', count(*), CAST({len(GEOLOCATION_SCHEMA.fields)}
             select="""SELECT CAST(trunc(TRY_CAST(customer_id AS DOUBLE)) AS BIGINT) AS customer_id,
        CAST(customer_zip_code_prefix AS VARCHAR) AS customer_zip_code_prefix,
        TRY_CAST(customer_unique_id AS DOUBLE) AS customer_unique_id,
-       coalesce(CAST(trunc(TRY_CAST(customer_unique_id AS DOUBLE)) AS BIGINT), CAST(0 AS BIGINT)) AS unique_id_as_int
+       coalesce(CAST(trunc(TRY_CAST(customer_unique_id AS DOUBLE)) AS BIGINT), CAST(0 AS BIGINT)) AS unique_id_as_int,
+       CAST('900719925' || lpad(regexp_replace(customer_id, '[^0-9]', '', 'g'), 7, '0') || '93' AS BIGINT) AS big_number
 FROM src_customers"""
         ),
         "join_contract_orders_customers": _q(oc_cte, select=oc_sel),
@@ -591,12 +630,42 @@ FROM lr ORDER BY late_rate_pct, customer_state""",
         "state_scorecard": _q(
             *SILVER_CTES,
             KPI_STATE,
-            """sel AS (SELECT DISTINCT customer_state FROM kpi_state WHERE customer_state IS NOT NULL
-        ORDER BY customer_state LIMIT 5)""",
-            select="""SELECT customer_state AS state, total_orders AS orders, avg_delivery_days AS avg_days,
-       late_rate_pct AS late_pct, median_delivery_days AS median_days
-FROM kpi_state WHERE customer_state IN (SELECT customer_state FROM sel)
-ORDER BY avg_days DESC NULLS LAST, state""",
+            select=scorecard + " FROM kpi_state ORDER BY avg_days DESC NULLS LAST, state",
+        ),
+        "state_scorecard_selected": _q(
+            *SILVER_CTES,
+            KPI_STATE,
+            select=scorecard + f" FROM kpi_state WHERE customer_state IN {SCORECARD_STATES!r} ORDER BY avg_days DESC, state",
+        ),
+        "silver_orders": _q(*SILVER_CTES, select=_silver_select("silver")),
+        "silver_orders_compat": _q(*compat_silver, select=_silver_select("silver")),
+        "delivery_by_state_compat": _q(*compat_silver, KPI_STATE, select="SELECT * FROM kpi_state"),
+        "delivery_by_state_approx": _q(*SILVER_CTES, KPI_STATE, select="SELECT * FROM kpi_state"),
+        "monthly_trend_compat": _q(*compat_silver, KPI_TREND, select="SELECT * FROM kpi_trend"),
+        "late_severity_compat": _q(*compat_silver, LATE, select="SELECT * FROM kpi_late"),
+        "executive_summary_compat": _q(*compat_silver, KPI_STATE, KPI_TREND, SUMMARY, select="SELECT * FROM summary"),
+        "join_contract_mismatch": _q(
+            select=f"""SELECT '{ORDERS_VS_CUSTOMERS.name}' AS contract, '{ORDERS_VS_CUSTOMERS.description}' AS description,
+       false AS can_join,
+       'key type mismatch: left ''customer_id'' is string, right ''customer_id'' is bigint' AS issues,
+       (SELECT count(DISTINCT customer_id) FROM src_orders) AS left_unique_keys,
+       (SELECT count(DISTINCT customer_zip_code_prefix) FROM src_customers) AS right_unique_keys,
+       CAST(0 AS BIGINT) AS matching_keys, (SELECT count(DISTINCT customer_id) FROM src_orders) AS left_keys_no_match,
+       '0.0%' AS match_rate, CAST(0 AS DOUBLE) AS match_rate_pct
+UNION ALL SELECT '{ORDERS_VS_CUSTOMERS.name}', '{ORDERS_VS_CUSTOMERS.description}', false,
+       'right table lacks join key ''customer_id''', NULL, NULL, NULL, NULL, NULL, NULL"""
+        ),
+        "failing_checks": _q(
+            *SILVER_CTES,
+            select=f"""SELECT check_name, violations, violations = 0 AS passed FROM (
+  SELECT 'order_id_not_null' AS check_name,
+         count(*) FILTER (WHERE order_status IS DISTINCT FROM 'delivered' OR order_id IS NULL) AS violations FROM silver
+  UNION ALL SELECT 'customer_id_not_null', count(*) FILTER (WHERE customer_id IS NULL) FROM silver
+  UNION ALL SELECT 'delivery_days_in_range', count(*) FILTER (WHERE actual_delivery_days IS NOT NULL
+        AND (actual_delivery_days + 400 < 0 OR actual_delivery_days + 400 > 365)) FROM silver
+  UNION ALL SELECT 'lat_in_bounds', count(*) FILTER (WHERE lat IS NOT NULL AND (lat + 100 < -34 OR lat + 100 > 6)) FROM silver
+  UNION ALL SELECT 'lng_in_bounds', count(*) FILTER (WHERE lng IS NOT NULL
+        AND (lng + 100 < -74 OR lng + 100 > -28)) FROM silver) t""",
         ),
         "state_list": _q(
             *SILVER_CTES,

@@ -20,12 +20,12 @@ from haulage.operators import bronze as B
 from haulage.operators import contracts as C
 from haulage.operators import gold as G
 from haulage.operators import silver as S
-from haulage.operators.quality import gate, quality_checks
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS
-from haulage.sinks import write_csv_export, write_gold, write_layer, write_partitioned
+from haulage.sinks import gated_write, write_csv_export, write_gold, write_layer
 from haulage.sources.profile import profile
-from haulage.sources.readers import connect, count_quarantined, read_source_quarantine, require_paths
+from haulage.plans.materialise import materialise
+from haulage.sources.readers import Connection, connect_checked, require_paths
 
 STEPS = ("ingest", "validate", "bronze", "silver", "gold")
 # Which sources each step reads (a step checks only what it needs).
@@ -58,6 +58,9 @@ class LayerPaths:
     def silver(self) -> str:
         return f"{self.base}/silver/orders_cleaned"
 
+    def quarantine(self, source: str) -> str:
+        return f"{self.base}/quarantine/{source}"
+
     def gold(self, name: str) -> str:
         return f"{self.base}/gold/{name}"
 
@@ -89,9 +92,8 @@ class Pipeline:
         self.max_concurrent_jobs = max_concurrent_jobs
         # False: key statistics from sketches (no key shuffle) for very large sources.
         self.exact_contracts = exact_contracts
-        # Set by ``from_csv``: the CSV files behind ``sources`` (for quarantine counts).
-        self.csv_paths: dict[str, str] = {}
-        self.null_value: str | None = None
+        # Set by ``from_csv``: the checked connections behind ``sources``.
+        self.connections: dict[str, Connection] = {}
         self.audit: list[StepAudit] = []
 
     @classmethod
@@ -109,7 +111,8 @@ class Pipeline:
         Pre-flight checks only the files the requested steps read (a gold-only
         run needs none); each source is opened through ``connect`` (declared
         schema, header check, required columns).  Rows that do not fit the
-        schema are counted per source during ``ingest``.
+        schema are not loaded; ``ingest`` writes them to the quarantine folder
+        and counts them per source.
         """
         steps = list(STEPS) if steps in ("all", None) else [steps] if isinstance(steps, str) else list(steps)
         needed = sorted({n for s in steps for n in STEP_INPUTS.get(s, ())})
@@ -117,10 +120,9 @@ class Pipeline:
         if missing:
             raise FileNotFoundError(f"no path given for sources {missing}")
         require_paths(spark, {n: paths[n] for n in needed})
-        sources = {n: connect(spark, n, paths[n], null_value=null_value) for n in needed}
-        pipe = cls(spark, sources, out_dir, **kwargs)
-        pipe.csv_paths = {n: paths[n] for n in needed}
-        pipe.null_value = null_value
+        connections = {n: connect_checked(spark, n, paths[n], null_value=null_value) for n in needed}
+        pipe = cls(spark, {n: c.rows for n, c in connections.items()}, out_dir, **kwargs)
+        pipe.connections = connections
         return pipe
 
     # ------------------------------------------------------------------ steps
@@ -132,12 +134,15 @@ class Pipeline:
             n = profile({name: df}).collect()[0]
             sources[name] = {"rows": n["rows"], "cols": n["cols"], "seconds": round(time.perf_counter() - t0, 3)}
         detail = {"rows": sum(v["rows"] for v in sources.values()), "sources": sources}
-        if self.csv_paths:
-            quarantined = {}
-            for name, path in self.csv_paths.items():
-                _, bad = read_source_quarantine(self.spark, name, path, self.null_value)
-                quarantined[name] = count_quarantined(bad)
-            detail["quarantined"] = quarantined
+        if self.connections:
+            detail["quarantined"], detail["warnings"] = {}, {}
+            for name, connection in self.connections.items():
+                obs = Observation(f"quarantine {name}")
+                write_layer(
+                    connection.quarantine.observe(obs, F.count(F.lit(1)).alias("rows")), self.paths.quarantine(name)
+                )
+                detail["quarantined"][name] = obs.get["rows"]
+                detail["warnings"][name] = connection.warnings()
         return detail
 
     def validate(self) -> dict:
@@ -153,31 +158,44 @@ class Pipeline:
 
     def bronze(self) -> dict:
         src = self._need("bronze")
-        df = B.build_bronze(src["orders"], src["customers"], src["geolocation"], self.mode, self.rules)
+        geo = materialise(B.consolidate_geo(src["geolocation"]), "geo")
+        df = B.build_bronze(
+            src["orders"], src["customers"], src["geolocation"], self.mode, self.rules, geo_consolidated=geo
+        )
         obs = Observation("bronze")
         write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.paths.bronze)
         return {"rows": obs.get["rows"]}
 
     def silver(self) -> dict:
         bronze = self.spark.read.parquet(self.paths.bronze)
-        silver = S.build_silver(bronze, self.rules, self.mode)
-        checks = gate(quality_checks(silver, self.rules, strict=self.mode == "strict"))
+        strict = self.mode == "strict"
+        means = materialise(S.state_means(bronze, self.rules, in_bounds_only=strict), "state-means")
+        repair = None if strict else materialise(S.repair_means(bronze, means, self.rules), "repair-means")
+        silver = S.build_silver(bronze, self.rules, self.mode, means, repair)
         obs = Observation("silver")
-        write_partitioned(silver.observe(obs, F.count(F.lit(1)).alias("rows")), self.paths.silver)
-        return {"rows": obs.get["rows"], "checks": checks}
+        checks = gated_write(
+            silver.observe(obs, F.count(F.lit(1)).alias("rows")), self.paths.silver, self.rules, strict=strict, checked=silver
+        )
+        failures = S.timestamp_parse_failures(bronze, rules=self.rules, mode=self.mode).collect()  # a row per column
+        return {
+            "rows": obs.get["rows"],
+            "checks": checks,
+            "timestamp_parse_failures": {r["column_name"]: r["parse_failures"] for r in failures},
+        }
 
     def gold(self) -> dict:
-        silver = self.spark.read.parquet(self.paths.silver)
-        tables = G.build_gold(silver, self.rules)
+        # Silver is read once, for the counts that all KPIs are computed from.
+        cube = materialise(G.order_cube(self.spark.read.parquet(self.paths.silver)), "order-cube")
+        tables = G.build_gold(cube, self.rules)
         orders = {
             "kpi_delivery_by_state": G.STATE_ORDER,
             "kpi_monthly_trend": G.TREND_ORDER,
             "kpi_late_orders": G.SEVERITY_ORDER,
         }
         # The three KPI tables and the summary totals are independent jobs over
-        # silver; they are submitted together so their (often narrow) stages
+        # the cube; they are submitted together so their (often narrow) stages
         # share the cores.  The totals are one row.
-        totals_df = G.summary_totals(silver, self.rules)
+        totals_df = G.summary_totals(cube, self.rules)
         totals: list = []
         self._concurrently(
             [
@@ -200,7 +218,7 @@ class Pipeline:
             write_csv_export(text, self.paths.gold("executive_summary_text") + "_csv")
         else:
             write_layer(text, self.paths.gold("executive_summary_text"))
-        return {"rows": None, "tables": [*tables, "executive_summary_text"]}
+        return {"rows": None, "tables": [*tables, "executive_summary", "executive_summary_text"]}
 
     def _concurrently(self, actions) -> None:
         if self.max_concurrent_jobs <= 1:

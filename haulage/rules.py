@@ -39,6 +39,7 @@ MAX_DELIVERY_DAYS = 365
 LATE_RATE_BANDS = (("HIGH", 15.0), ("MEDIUM", 8.0))
 LATE_RATE_BAND_ELSE = "LOW"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+LENIENT_TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d H:m:s.SSS")
 LINEAGE_TAG = "OLIST_BRONZE_v1"
 DELIVERED = "delivered"
 NULL_REASON_DATA_QUALITY = "DATA_QUALITY_ISSUE"
@@ -66,15 +67,8 @@ class Rules:
     delivered_status: str = DELIVERED
     null_reason_data_quality: str = NULL_REASON_DATA_QUALITY
     null_reason_not_delivered: str = NULL_REASON_NOT_DELIVERED
-    # Row bound under which a derived lookup table (state means, consolidated
-    # geo) is broadcast; above it the join falls back to a shuffle join.
-    broadcast_max_rows: int = 1_000_000
-    # When set, the orders x customers join isolates customer ids holding at
-    # least this share of orders (found on a ``skew_sample_fraction`` sample)
-    # and joins them through a broadcast; unset, adaptive execution's skew join
-    # splits hot partitions at runtime.
-    skew_hot_fraction: float | None = None
-    skew_sample_fraction: float = 0.01
+    # Other ways in which the original's lenient parser reads a timestamp (compat mode).
+    lenient_timestamp_formats: tuple = LENIENT_TIMESTAMP_FORMATS
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -75,8 +75,13 @@ def gated_write(
     rules: Rules = DEFAULT_RULES,
     strict: bool = True,
     overwrite: str = "static",
+    checked: DataFrame | None = None,
 ) -> list[tuple[str, int, bool]]:
-    """Quality gate, then partitioned write.  Returns the check results."""
-    results = gate(quality_checks(silver, rules, strict=strict))
+    """Quality gate, then partitioned write.  Returns the check results.
+
+    ``checked`` is the frame that the gate looks at, if ``silver`` itself
+    carries an observation that only the write should feed.
+    """
+    results = gate(quality_checks(silver if checked is None else checked, rules, strict=strict))
     write_partitioned(silver, path, overwrite=overwrite)
     return results

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -97,7 +99,10 @@ def read_source_quarantine(
     schema = StructType(list(s.schema.fields) + [StructField(CORRUPT, StringType(), True)])
     df = _csv_reader(spark, schema, null_value, True).csv(p)
     cols = [f.name for f in s.schema.fields]
-    good = df.filter(F.col(CORRUPT).isNull()).select(*cols)
+    # A query that reads few columns parses few: a row counts as whole only if all its columns were parsed,
+    # so the filter looks at every one of them (the comparison holds for every hash).
+    whole = F.col(CORRUPT).isNull() & (F.xxhash64(*cols) >= F.lit(-(2**63)))
+    good = df.filter(whole).select(*cols)
     bad = df.filter(F.col(CORRUPT).isNotNull()).select(*cols, CORRUPT)
     return good, bad
 
@@ -116,16 +121,58 @@ def count_quarantined(bad: DataFrame) -> int:
     return int(row["n"])
 
 
+@dataclass
+class Connection:
+    """A checked source: rows that fit its schema, rows that do not, and the columns that hold unfitting values."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+    unfit: DataFrame  # per column: text values that are not of the declared type
+
+    def warnings(self) -> list[str]:
+        """One line per column with values of another type (a job; one row per column comes back)."""
+        return [
+            f"{r['column_name']}: {r['unfit_values']} values are not of type {r['data_type']}"
+            for r in self.unfit.where("unfit_values > 0").orderBy("column_name").collect()
+        ]
+
+
+def unfit_values(text_rows: DataFrame, spec: SourceSpec | str) -> DataFrame:
+    """Per typed column: values that are present as text but cannot be read as the declared type."""
+    s = _spec(spec)
+    typed = [f for f in s.schema.fields if not isinstance(f.dataType, StringType) and f.name in text_rows.columns]
+    kind = "column_name string, data_type string, unfit_values bigint"
+    if not typed:
+        return text_rows.sparkSession.createDataFrame([], kind)
+    agg = text_rows.agg(
+        *[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in typed]
+    )
+    names = F.create_map(*[x for f in typed for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
+    rows = agg.unpivot([], [f.name for f in typed], "column_name", "unfit_values")
+    return rows.select("column_name", names[F.col("column_name")].alias("data_type"), "unfit_values")
+
+
 def connect(
     spark: SparkSession,
     spec: SourceSpec | str,
     path: str | None = None,
     null_value: str | None = None,
 ) -> DataFrame:
+    """Checked connection to a source: the rows that fit its schema (see ``connect_checked``)."""
+    return connect_checked(spark, spec, path, null_value).rows
+
+
+def connect_checked(
+    spark: SparkSession,
+    spec: SourceSpec | str,
+    path: str | None = None,
+    null_value: str | None = None,
+) -> Connection:
     """Checked connection to a source.
 
     Missing path -> ``FileNotFoundError``; header that lacks a required column
-    -> ``ValueError``; otherwise the typed DataFrame.
+    -> ``ValueError``; otherwise a ``Connection``.  Malformed rows are in its
+    quarantine and not among its rows.
     """
     from haulage.operators.contracts import validate_schema
 
@@ -138,11 +185,11 @@ def connect(
     if not result.valid:
         raise ValueError(f"source {s.name!r} failed schema validation: {result.errors}")
     try:
-        df = read_source(spark, s, p, null_value=null_value)
-        df.schema  # noqa: B018 - resolve the relation now so header errors surface here
+        good, bad = read_source_quarantine(spark, s, p, null_value=null_value)
+        good.schema  # noqa: B018 - resolve the relation now so header errors surface here
     except AnalysisException as e:  # pragma: no cover - header problems
         raise ValueError(f"source {s.name!r} could not be read: {e}") from e
-    return df
+    return Connection(good, bad, unfit_values(header, s))
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:

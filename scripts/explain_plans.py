@@ -29,10 +29,9 @@ NOTES = {
     "Geo consolidation (A1)": "Partial HashAggregate on (zip, state, city) runs before the first Exchange, so a hot "
     "zip is folded map-side. The second stage works on that small intermediate; it is a SortAggregate because "
     "min_by keeps a string in its buffer, and it is bounded by distinct (zip, state, city), not by rows.",
-    "Bronze enrichment (J1, J2)": "The measured geo lookup is a broadcast (Scan ExistingRDD = local relation, no "
-    "lineage) joined onto customers. At this size Spark also broadcasts one side of orders x customers by its "
+    "Bronze enrichment (J1, J2)": "The consolidated geo table is joined onto customers. At this size Spark also broadcasts one side of orders x customers by its "
     "own size rule; at scale that join is a sort-merge join on customer_id whose hot keys adaptive execution "
-    "splits (or hot_key_join, opt-in).",
+    "splits.",
     "Silver from bronze (P3-P12, J3)": "One BroadcastHashJoin with the per-state means; no Exchange touches the "
     "order rows and no Window partitions them by state.",
     "Quality checks (V8)": "All checks are one global aggregate: partial HashAggregate, SinglePartition exchange of "

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulage.operators import contracts as C
+from haulage.schemas import JoinContract
 
 ORDER_COLS = [
     "order_id",
@@ -179,3 +180,28 @@ def test_harmonize_and_recheck_flow(spark):
     assert report["can_join"] is True
     assert report["left_unique_keys"] == 2 and report["matching_keys"] == 1
     assert l2.schema["customer_zip_code_prefix"].dataType.typeName() == "long"
+
+
+def test_keys_of_different_types_never_match(spark):
+    left = spark.createDataFrame([(1000,), (2000,)], "zip int")
+    for texts, numeric in ((["1000", "x"], False), (["1000", "2000"], True)):
+        right = spark.createDataFrame([(t,) for t in texts], "zip string")
+        contract = JoinContract("mixed", "zip", "zip", "int64", "mixed types")
+        report = C.check_contract(left, right, contract)
+        assert report["can_join"] is False and report["matching_keys"] == 0 and report["left_keys_no_match"] == 2
+        assert report["match_rate"] == "0.0%"
+        with pytest.raises(C.ContractError):
+            C.require_contracts([(left, right, contract)])
+        assert C.matched_keys(left, right, contract).count() == 0
+        assert C.unmatched_keys(left, right, contract).count() == 2
+        assert C.check_contract(left, right, contract, exact=False)["estimated"] is True
+        l2, r2, again = C.harmonize_and_recheck(left, right, contract)
+        assert again["can_join"] and again["matching_keys"] == (2 if numeric else 1)
+    as_double = spark.createDataFrame([(1000.0,)], "zip double")
+    assert C.key_overlap(left, as_double, "zip", "zip").first()["matching_keys"] == 1
+
+
+def test_harmonize_keeps_all_64_bits(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("12.7",), ("junk",), (None,)], "v string")
+    assert [r[0] for r in C.harmonize(df, "v", "int64").collect()] == [9007199254740993, 12, None, None]
+    assert [r[0] for r in C.harmonize(df, "v", "int64", fill=0).collect()] == [9007199254740993, 12, 0, 0]

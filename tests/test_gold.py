@@ -113,3 +113,14 @@ def test_summary_text_rounds_like_python_format(spark):
     text = {r["metric"]: r["value"] for r in G.format_summary(summary).collect()}
     assert typed["late_pct"] == 12.3
     assert text["late_pct"] == f"{49 / 400 * 100:.1f}%" == "12.2%"
+
+
+def test_scorecard_without_a_selection_shows_all(spark):
+    rows = [(f"S{i}", 1, float(i), 0.0, 0, 0.0, i, 1) for i in range(9)]
+    by_state = spark.createDataFrame(
+        rows,
+        "customer_state string, total_orders bigint, avg_delivery_days double, avg_delay_days double, "
+        "late_orders bigint, late_rate_pct double, median_delivery_days int, rank_slowest int",
+    )
+    assert M.state_scorecard(by_state).count() == M.state_scorecard(by_state, []).count() == 9
+    assert M.state_scorecard(by_state, M.default_state_selection(by_state)).count() == 5

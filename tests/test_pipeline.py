@@ -83,17 +83,6 @@ def test_compat_counts_match_published_fixture_numbers(spark):
     assert status == {"delivered": 14385, "shipped": 378, "canceled": 381}
 
 
-def test_enrich_with_explicit_hot_key_split_is_identical(spark):
-    from haulage.rules import Rules
-
-    src = source_frames(spark, SF)
-    cons = B.consolidate_geo(src["geolocation"])
-    plain = B.enrich(src["orders"], src["customers"], cons)
-    split = B.enrich(src["orders"], src["customers"], cons, rules=Rules(skew_hot_fraction=0.001, skew_sample_fraction=0.5))
-    cols = ["order_id", "customer_id", "zip_code", "geolocation_state", "lat", "lng"]
-    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, split.select(cols).collect()))
-
-
 def test_pipeline_from_csv_sources(spark, tmp_out):
     src = source_frames(spark, SF)
     paths = {}
@@ -101,14 +90,25 @@ def test_pipeline_from_csv_sources(spark, tmp_out):
         path = f"{tmp_out}/csv/{name}"
         df.coalesce(1).write.option("header", "true").csv(path)
         paths[name] = path
-    # A malformed line in the customers source is quarantined, not loaded.
-    header = ",".join(src["customers"].columns)
-    with open(paths["customers"] + "/late-delivery.csv", "w") as f:
-        f.write(header + "\nbroken_row_without_enough_fields\n")
+    # Malformed lines are quarantined, not loaded, even if their customer exists.
+    known = src["orders"].first()["customer_id"]
+    for name, lines in {
+        "customers": ["broken_row_without_enough_fields"],
+        "orders": [f"short-order,{known},delivered"],
+        "geolocation": ["1,not_a_float,2.0,city,STATE"],
+    }.items():
+        with open(paths[name] + "/late-delivery.csv", "w") as f:
+            f.write("\n".join([",".join(src[name].columns), *lines, ""]))
     p = Pipeline.from_csv(spark, paths, f"{tmp_out}/out")
     audit = {a.step: a for a in p.run("all")}
-    assert audit["ingest"].detail["quarantined"] == {"customers": 1, "geolocation": 0, "orders": 0}
+    assert audit["ingest"].detail["quarantined"] == {"customers": 1, "geolocation": 1, "orders": 1}
+    assert any("geolocation_lat" in w for w in audit["ingest"].detail["warnings"]["geolocation"])
     assert audit["bronze"].rows == 1500 and audit["silver"].rows == 1500
+    bronze = spark.read.parquet(p.paths.bronze)
+    assert bronze.where("order_id = 'short-order'").isEmpty()
+    kept = spark.read.parquet(p.paths.quarantine("orders")).collect()
+    assert [r["_corrupt_record"] for r in kept] == [f"short-order,{known},delivered"]
+    assert set(audit["silver"].detail["timestamp_parse_failures"].values()) == {0}
     # A gold-only run needs no source files at all.
     Pipeline.from_csv(spark, {}, f"{tmp_out}/out", steps="gold").run("gold")
     with pytest.raises(FileNotFoundError):
@@ -165,3 +165,49 @@ def test_compat_pipeline_passes_four_checks(spark, tmp_out):
     checks = audit["silver"].detail["checks"]
     assert [c[0] for c in checks] == ["order_id_not_null", "customer_id_not_null", "delivery_days_in_range", "lat_in_bounds"]
     assert all(c[2] for c in checks) and audit["silver"].rows == 1513
+
+
+@pytest.mark.parametrize("mode", ["strict", "compat"])
+def test_written_layers_match_the_oracle(spark, tmp_out, mode):
+    """Bronze, silver and every gold table as written, in Parquet and CSV, against DuckDB over the raw tables."""
+    import duckdb
+
+    from haulage.plans.catalog import coord
+    from haulage.plans.oracle import oracle_sql
+    from haulage.schemas import BRONZE_COLUMNS
+    from test_catalog import _rows
+
+    con = duckdb.connect()
+    for t in ("orders", "customer", "nation", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    p = Pipeline(spark, source_frames(spark, SF), tmp_out, mode=mode)
+    p.run(["bronze", "silver", "gold"])
+    tail = "" if mode == "strict" else "_compat"
+    sql = oracle_sql()
+
+    def grid(df):
+        return df.select(*[coord(c) if c in ("lat", "lng") else F.col(c) for c in df.columns])
+
+    def same(df, name):
+        cur = con.execute(sql[name])
+        names = [d[0] for d in cur.description]
+        assert _rows(names, [tuple(r) for r in df.select(*names).collect()]) == _rows(names, cur.fetchall()), name
+
+    bronze = spark.read.parquet(p.paths.bronze)
+    assert bronze.where("data_source is null or ingestion_timestamp is null").isEmpty()
+    same(grid(bronze.select(*BRONZE_COLUMNS)), "bronze_enriched_strict" if mode == "strict" else "bronze_enriched")
+    lineage = [c for c in bronze.columns if c not in BRONZE_COLUMNS]
+    same(grid(spark.read.parquet(p.paths.silver).drop(*lineage)), "silver_orders" + tail)
+    for table, name in {
+        "kpi_delivery_by_state": "delivery_by_state",
+        "kpi_monthly_trend": "monthly_trend",
+        "kpi_late_orders": "late_severity",
+        "executive_summary": "executive_summary",
+    }.items():
+        df = spark.read.parquet(p.paths.gold(table))
+        same(df, name + tail)
+        if table != "executive_summary":
+            same(spark.read.schema(df.schema).option("header", "true").csv(p.paths.gold(table) + "_csv"), name + tail)
+    if mode == "strict":
+        text = spark.read.option("header", "true").csv(p.paths.gold("executive_summary_text") + "_csv")
+        same(text, "executive_summary_text")

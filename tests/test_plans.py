@@ -1,5 +1,8 @@
 """Plan-shape checks: pushdown, pruning, no Python UDFs, broadcast lookups."""
 
+import re
+import uuid
+
 import contextlib
 import io
 import re
@@ -66,33 +69,66 @@ def test_checkpoint_dir_from_session(spark):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_lookup_tiers(spark):
-    from haulage.plans.strategies import measured_lookup
+def _jobs(spark, action):
+    """Number of Spark jobs that ``action`` starts."""
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_operators_start_no_job(spark):
+    from haulage.operators import bronze as B
+    from haulage.operators import gold as G
+    from haulage.operators import silver as S
+    from haulage.sources.testdata import source_frames
+
+    src = source_frames(spark, "/root/testdata/sf0.001")
+    geo = B.consolidate_geo(src["geolocation"])
+    means = spark.createDataFrame([("NATION_1", 1.0, 2.0)], "customer_state string, _m_lat double, _m_lng double")
 
-    df = spark.range(50).withColumnRenamed("id", "k")
-    tiny = measured_lookup(df, max_rows=100, local_rows=60)
-    assert tiny.broadcast and tiny.rows == 50
-    mid = measured_lookup(df, max_rows=100, local_rows=10)
-    assert mid.broadcast and mid.rows == 50
-    big = measured_lookup(df, max_rows=20, local_rows=10)
-    assert not big.broadcast and big.rows == 50
-    assert big.frame.count() == 50
+    def build():
+        bronze = B.enrich(src["orders"], src["customers"], geo)
+        S.clean_geo(bronze, means=means)
+        S.build_silver(bronze, mode="compat")
+        G.delivery_by_state(S.build_silver(bronze, means=means))
 
+    assert _jobs(spark, build) == 0
+    assert _jobs(spark, lambda: means.count()) > 0
 
-def test_hot_key_join_is_exact(spark):
+
+def test_flagship_reads_the_orders_once(spark):
+    from haulage.plans.catalog import QUERIES
+
+    plan = QUERIES["delivery_by_state"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"o_orderkey#\d+L? ?[,%]|o_orderkey#\d+L?.*parquet", plan)) >= 1
+    assert plan.count("customer_id#") > 0 and len(re.findall(r"Join Inner", plan)) == 1
+
+
+def test_large_geolocation_keeps_its_rows(spark):
+    """20,000 consolidated zip groups, more than any row tier of a lookup."""
     from pyspark.sql import functions as F
 
-    from haulage.plans.strategies import hot_key_join, hot_keys
+    from haulage.operators import bronze as B
+    from haulage.operators import silver as S
+    from haulage.sources.testdata import source_frames
 
-    left = spark.range(20000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v")
+    src = source_frames(spark, "/root/testdata/sf0.001")
+    zips = spark.range(20_000).withColumnRenamed("id", "z")
+    geo = zips.select(
+        F.col("z").cast("int").alias("geolocation_zip_code_prefix"),
+        (F.lit(-30.0) + F.col("z") / 1000).alias("geolocation_lat"),
+        (F.lit(-60.0) + F.col("z") / 1000).alias("geolocation_lng"),
+        F.lit("c").alias("geolocation_city"),
+        F.lit("S").alias("geolocation_state"),
     )
-    right = spark.range(450).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    assert 7 in hot_keys(left, "k", 0.05, 0.2)
-    for how in ("inner", "left"):
-        got = sorted(tuple(r) for r in hot_key_join(left, right, "k", how, 0.05, 0.2).select("k", "v", "w").collect())
-        want = sorted(tuple(r) for r in left.join(right, "k", how).select("k", "v", "w").collect())
-        assert got == want
+    bronze = B.enrich(src["orders"], src["customers"], B.consolidate_geo(geo), mode="compat")
+    rows = bronze.agg(F.count("*"), F.count("lat"), F.max(F.abs(F.col("lat") + 30 - F.col("zip_code") / 1000))).first()
+    assert rows[0] == rows[1] == 1500 and rows[2] < 1e-9
+    assert S.build_silver(bronze, mode="compat").where("lat is null").count() == 0
 
 
 def test_approx_join_report_close_to_exact(spark):

@@ -127,3 +127,32 @@ def test_gold_csv_export_readable(spark, tmp_path):
     write_gold(df, str(tmp_path / "kpi"))
     back = RD.read_gold_csv(spark, str(tmp_path / "kpi_csv"), df.schema)
     assert back.collect()[0]["avg_delivery_days"] == 8.7
+
+
+def test_lenient_timestamps_in_compat(spark):
+    vals = ["2017-1-2 3:04:05", "2017-10-02 10:56:33.000", " 2017-10-02 10:56:33", "2017-10-02", "junk", None]
+    df = spark.createDataFrame([(v,) for v in vals], "order_purchase_timestamp string")
+    strict = [r[0] for r in fix_timestamps(df).collect()]
+    assert strict == [None] * 6
+    lenient = [r[0] and r[0].isoformat() for r in fix_timestamps(df, mode="compat").collect()]
+    assert lenient == ["2017-01-02T03:04:05", "2017-10-02T10:56:33", "2017-10-02T10:56:33", None, None, None]
+    assert timestamp_parse_failures(df, mode="compat").collect()[0]["parse_failures"] == 2
+
+
+def test_connect_keeps_only_whole_rows(spark, tmp_path):
+    p = _write(tmp_path, "geo.csv", "id,z,lat\na,1,1.5\nb,2\nc,3,not_a_float\n")
+    c = RD.connect_checked(spark, GEO_SPEC, p)
+    assert c.rows.count() == 1 and c.rows.select("id").collect()[0]["id"] == "a"
+    assert sorted(r["id"] for r in c.quarantine.collect()) == ["b", "c"]
+    assert c.warnings() == ["lat: 1 values are not of type double"]
+
+
+def test_cluster_needs_a_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from haulage.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(session)

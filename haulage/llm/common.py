@@ -29,6 +29,22 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def first_by_hash(df: DataFrame, id_col: str, value_col: str, limit: int) -> list:
+    """The values of about ``limit`` rows, those that come first by the hash of their id; a model's training sample.
+
+    The hashes alone are ordered first, so tasks send a few bytes a row to the
+    driver, and then only the chosen rows are read.  Rows that tie at the last
+    hash come in the order of their values; no more than ``limit`` come back.
+    """
+    rows = df.where(F.col(value_col).isNotNull())
+    drawn = F.xxhash64(F.col(id_col).cast("string"))
+    last = rows.select(drawn.alias("_h")).orderBy("_h").limit(limit).agg(F.max("_h")).first()[0]
+    if last is None:
+        return []
+    chosen = rows.select(drawn.alias("_h"), F.col(value_col).alias("_value")).where(F.col("_h") <= last)
+    return [r["_value"] for r in chosen.orderBy("_h", F.md5("_value")).limit(limit).collect()]
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.llm import nn
+from haulage.llm.common import first_by_hash
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns.
@@ -33,6 +34,7 @@ WINDOW, STRIDE = 96, 48
 HIDDEN = 20
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of every kind
 TRAIN_DOCS = 1500  # documents that the model is trained on
+TRAIN_CHARS = 20_000  # longest training document; all documents are searched whole
 TRAIN_WINDOWS = 4000
 STEPS, BATCH = 280, 96
 SURE = 0.9  # least mean probability of an added span's characters
@@ -303,14 +305,8 @@ def joined(spans: list[Span]) -> str:
 
 def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TRAIN_DOCS) -> Tagger:
     """The tagger, trained on the ``limit`` documents with a digit or ``@`` that come first by the hash of their id."""
-    rows = (
-        docs.where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) < 20_000))
-        .select(F.xxhash64(F.col(id_col).cast("string")).alias("_h"), F.col(text_col).alias("_text"))
-        .orderBy("_h", F.md5("_text"))
-        .limit(limit)
-        .collect()
-    )
-    return train([r["_text"] for r in rows])
+    usable = docs.where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) < TRAIN_CHARS))
+    return train(first_by_hash(usable, id_col, text_col, limit))
 
 
 def find_personal_data(docs: DataFrame, tagger: Tagger, text_col: str = "text", sure: float = SURE) -> DataFrame:

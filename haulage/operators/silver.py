@@ -55,6 +55,12 @@ def fix_timestamps(
     return df.withColumns({c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in present})
 
 
+def parse_failure_counts(columns: Sequence[str], rules: Rules = DEFAULT_RULES, mode: str = "strict") -> list:
+    """One aggregate per column, for ``agg`` or ``observe`` over the raw rows."""
+    parsed = {c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in columns}
+    return [count_where(F.col(c).isNotNull() & parsed[c].isNull()).alias(c) for c in columns]
+
+
 def timestamp_parse_failures(
     raw: DataFrame,
     columns: Sequence[str] = TIMESTAMP_COLUMNS,
@@ -63,8 +69,7 @@ def timestamp_parse_failures(
 ) -> DataFrame:
     """Per column: values that were present as text but failed to parse."""
     present = [c for c in columns if c in raw.columns]
-    parsed = {c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in present}
-    agg = raw.agg(*[count_where(F.col(c).isNotNull() & parsed[c].isNull()).alias(c) for c in present])
+    agg = raw.agg(*parse_failure_counts(present, rules, mode))
     return agg.unpivot([], present, "column_name", "parse_failures")
 
 

@@ -21,7 +21,7 @@ from haulage.operators import contracts as C
 from haulage.operators import gold as G
 from haulage.operators import silver as S
 from haulage.rules import DEFAULT_RULES, Rules
-from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS
+from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, TIMESTAMP_COLUMNS
 from haulage.sinks import gated_write, write_csv_export, write_gold, write_layer
 from haulage.sources.profile import profile
 from haulage.plans.materialise import materialise
@@ -171,17 +171,18 @@ class Pipeline:
         strict = self.mode == "strict"
         means = materialise(S.state_means(bronze, self.rules, in_bounds_only=strict), "state-means")
         repair = None if strict else materialise(S.repair_means(bronze, means, self.rules), "repair-means")
-        silver = S.build_silver(bronze, self.rules, self.mode, means, repair)
-        obs = Observation("silver")
+        # Rows and unparsed timestamps are counted while silver is written; the gate looks at the same plan unobserved.
+        obs, raw = Observation("silver"), Observation("timestamps")
+        counted = bronze.observe(raw, *S.parse_failure_counts(TIMESTAMP_COLUMNS, self.rules, self.mode))
+        silver = S.build_silver(counted, self.rules, self.mode, means, repair)
         checks = gated_write(
-            silver.observe(obs, F.count(F.lit(1)).alias("rows")), self.paths.silver, self.rules, strict=strict, checked=silver
+            silver.observe(obs, F.count(F.lit(1)).alias("rows")),
+            self.paths.silver,
+            self.rules,
+            strict=strict,
+            checked=S.build_silver(bronze, self.rules, self.mode, means, repair),
         )
-        failures = S.timestamp_parse_failures(bronze, rules=self.rules, mode=self.mode).collect()  # a row per column
-        return {
-            "rows": obs.get["rows"],
-            "checks": checks,
-            "timestamp_parse_failures": {r["column_name"]: r["parse_failures"] for r in failures},
-        }
+        return {"rows": obs.get["rows"], "checks": checks, "timestamp_parse_failures": dict(raw.get)}
 
     def gold(self) -> dict:
         # Silver is read once, for the counts that all KPIs are computed from.

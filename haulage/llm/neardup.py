@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulage.llm.common import scratch_table
@@ -225,9 +225,9 @@ def near_duplicates(
 
     Candidate pairs: in every band bucket each class is tested against the
     bucket's first class; after components of those links, classes that share
-    a bucket but are still apart are tested against each other.  So a bucket of
-    near copies costs one test per member, and no pair of different sets that
-    meets in a bucket is left out.
+    a bucket but are still apart meet again by their rare shingles (``_sharing_rare``).
+    So a bucket of near copies costs one test per member, and no pair of
+    similar sets that meets in a bucket is left out.
 
     Defined cases: a null, empty or blank text has an empty set and is linked
     with nothing; with fewer than ``words`` words the whole sequence is the one
@@ -259,18 +259,9 @@ def near_duplicates(
         "key", "cls", "n_shingles", F.coalesce("label", "cls").alias("label")
     )
     split = placed.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi")
-    open_rows = scratch_table(placed.join(split.select("key"), "key", "left_semi"), "open")
-    other = open_rows.select("key", *[F.col(c).alias(f"{c}2") for c in ("cls", "n_shingles", "label")])
-    apart = (
-        open_rows.join(other, "key")
-        .where(
-            (F.col("cls") < F.col("cls2"))
-            & (F.col("label") != F.col("label2"))
-            & (F.lit(100) * F.least("n_shingles", "n_shingles2") >= F.lit(percent) * F.greatest("n_shingles", "n_shingles2"))
-        )
-        .select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-        .distinct()
-        .join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    unsettled = placed.join(split.select("key"), "key", "left_semi").select("cls", "label").distinct()
+    apart = scratch_table(
+        _sharing_rare(unsettled, narrow, words, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "apart"
     )
     late = scratch_table(_links(apart, sets, narrow, words, percent, miss), "late")
     if not late.isEmpty():
@@ -295,6 +286,70 @@ def near_duplicates(
     return rows, groups
 
 
+def _shingle_rows(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher(size)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                sets = [hasher(t.as_py()).view(np.int64) for t in part.column(2)]
+                counts = [len(x) for x in sets]
+                row = pa.array(np.repeat(np.arange(part.num_rows), counts))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(row),
+                        part.column(1).take(row),
+                        pa.array(np.repeat(counts, counts), pa.int64()),
+                        pa.array(np.concatenate(sets) if sets else [], pa.int64()),
+                    ],
+                    names=["cls", "label", "size", "shingle"],
+                )
+
+    return run
+
+
+def _sharing_rare(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of classes with different labels (``cls, label``) that could still be similar enough.
+
+    Exact by the prefix rule: with every set in the same order, rarest shingle
+    first, two sets of n and m that are similar enough share a shingle among
+    the first n - ceil(s n) + 1 and m - ceil(s m) + 1, and at the first one
+    that they share, what is left of both must hold the rest of the overlap.
+    Classes of one bucket that differ from each other in shingles of their own
+    thus form no pairs, however many they are.
+    """
+    rows = scratch_table(
+        classes.join(texts, F.col("cls") == F.col("rid"))
+        .select("cls", "label", "text")
+        .mapInArrow(_shingle_rows(words), "cls long, label long, size long, shingle long"),
+        "unsettled",
+    )
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    rarest = Window.partitionBy("cls").orderBy("df", "shingle")
+    prefix = scratch_table(
+        rows.join(common, "shingle")
+        .withColumn("at", F.row_number().over(rarest))
+        .where((F.col("at") <= F.col("size") - F.expr(f"({percent} * size + 99) div 100") + 1) & (F.col("df") > 1))
+        .drop("df"),
+        "prefix",
+    )
+    other = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("cls", "label", "size", "at")])
+    sizes = F.col("size") + F.col("size2")
+    left = F.lit(1) + F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+    return (
+        prefix.join(
+            other,
+            (prefix["shingle"] == other["shingle"])
+            & (F.col("cls") < F.col("cls2"))
+            & (F.col("label") != F.col("label2"))
+            & (F.lit(100) * F.least("size", "size2") >= F.lit(percent) * F.greatest("size", "size2"))
+            & (left * (100 + percent) >= F.lit(percent) * sizes),
+        )
+        .select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
+        .distinct()
+    )
+
+
 def _sized(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose set sizes allow the similarity."""
     size = sets.select(F.col("cls"), "n_shingles")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,3 +157,39 @@ def scan_licenses(
             F.min("at").cast("long").alias("first_word"),
         )
     )
+
+
+def oracle_sql(templates=TEMPLATES, containment: float = CONTAINMENT) -> str:
+    """The same windows searched without signatures: every window around a template shingle is measured."""
+    sets = {}
+    for name, text in templates:
+        found = re.findall(r"[^\W_]+", text.lower())
+        sets[name] = sorted({" ".join(found[i : i + WORDS]) for i in range(len(found) - WORDS + 1)})
+    alike = families(sets, containment)
+    rows = ", ".join(
+        f"('{name}', {next(c for c in SIZES if len(own) <= c)}, '{alike[name]}', {len(own)}, '{shingle}')"
+        for name, own in sets.items()
+        for shingle in own
+    )
+    return f"""
+WITH t AS (SELECT * FROM (VALUES {rows}) AS v(license, size, family, total, shingle)),
+d AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+') IF x <> ''] AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(range(0, len(w) - {WORDS - 1})) AS pos,
+         unnest([array_to_string(w[i:i + {WORDS - 1}], ' ') FOR i IN range(1, len(w) - {WORDS - 2})]) AS shingle
+  FROM d WHERE len(w) >= {WORDS}),
+h AS (
+  SELECT s.doc_id, t.*, s.pos,
+         unnest(range(greatest(0, (pos - size * 3 // 2 + size // 2) // (size // 2)), pos // (size // 2) + 1)) * (size // 2) AS begin_at
+  FROM s JOIN t ON s.shingle = t.shingle),
+w AS (
+  SELECT doc_id, license, size, family, begin_at, count(DISTINCT shingle) / total AS held
+  FROM h WHERE pos >= begin_at AND pos < begin_at + size * 3 // 2 GROUP BY doc_id, license, size, family, begin_at, total),
+b AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, size, begin_at, family ORDER BY held DESC, license DESC) AS place
+  FROM w WHERE held >= {containment})
+SELECT doc_id, license, max(held) AS containment, count(DISTINCT begin_at) AS windows, min(begin_at)::BIGINT AS first_word
+FROM b WHERE place = 1 GROUP BY doc_id, license
+"""

@@ -384,3 +384,31 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows, groups = near_duplicates(docs, id_col, text_col, **options)
     kept = groups.where("keeper").select("_rid")
     return rows.join(kept, "_rid", "left_semi").drop("_rid")
+
+
+def oracle_sql(words: int = 4, percent: int = PERCENT) -> str:
+    """The groups by all-pairs set intersection and transitive closure, for small tables."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                                                '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + {words - 1}], ' ') FOR i IN range(1, len(w) - {words} + 2)] END) AS shingle
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= {percent} * (x.n + y.n - shared)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least.component_id, d.doc_id = least.component_id AS kept
+FROM d JOIN least ON least.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -102,5 +102,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_near_dedup": neardup.oracle_sql(),
+    "op5_license_scan": license.oracle_sql(),
     "op10_mixing": mixing.ORACLE,
 }

@@ -117,15 +117,19 @@ def _item_seeds(shortest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = _Tokens()
         for batch in batches:
-            items, sizes, lens, seeds = [], [], [], []
+            items, sizes, lens, seeds, places = [], [], [], [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = hashed(text)
                 k = min(shortest, len(ids))
-                for h in np.unique(rolling(ids, k)).view(np.int64) if k else ():
-                    items.append(item), sizes.append(len(ids)), lens.append(k), seeds.append(int(h))
+                own, counts = np.unique(rolling(ids, k) if k else ids, return_counts=True)
+                items += [item] * len(own)
+                sizes += [len(ids)] * len(own)
+                lens += [k] * len(own)
+                seeds += own.view(np.int64).tolist()
+                places += counts.tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lens, pa.int32()), pa.array(seeds, pa.int64())],
-                names=["item", "item_tokens", "len", "seed"],
+                [pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(lens, pa.int32()), pa.array(seeds, pa.int64()), pa.array(places, pa.int64())],
+                names=["item", "item_tokens", "len", "seed", "places"],
             )
 
     return run
@@ -199,8 +203,8 @@ def contaminated_pairs(
     Seeds are windows of ``shortest`` tokens.  Those of the benchmark set bits
     in a filter of fixed size that is broadcast; a document's seeds that pass
     the filter are joined exactly.  A pair goes on to tiling only if its shared
-    seeds could cover enough (each covers at most ``shortest`` tokens), which
-    drops no pair that tiling would accept.
+    seeds could cover enough (each of a seed's places in the item covers at most
+    ``shortest`` tokens), which drops no pair that tiling would accept.
 
     Defined cases: null and empty texts and items without a token match
     nothing; repeated items and documents are judged row by row; an empty
@@ -215,7 +219,7 @@ def contaminated_pairs(
     )
     seeds = scratch_table(
         items.select("item", "item_text").mapInArrow(
-            _item_seeds(shortest), "item long, item_tokens long, len int, seed long"
+            _item_seeds(shortest), "item long, item_tokens long, len int, seed long, places long"
         ),
         "item-seeds",
     )
@@ -229,7 +233,7 @@ def contaminated_pairs(
     shared = (
         found.join(seeds, ["len", "seed"])
         .groupBy("rid", "item")
-        .agg(F.count(F.lit(1)).alias("shared"), F.first("item_tokens").alias("item_tokens"))
+        .agg(F.sum("places").alias("shared"), F.first("item_tokens").alias("item_tokens"))
         .where(F.col("shared") * F.lit(shortest) >= F.lit(cover) * F.col("item_tokens"))
     )
     pairs = scratch_table(shared.select("rid", "item", "item_tokens"), "tile-pairs")

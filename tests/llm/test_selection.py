@@ -126,12 +126,13 @@ def test_decontamination_catches_reordered_passages(spark, docs):
         (5, " ".join(item[i] for i in range(0, 40, 2))),  # its words, no passage
         (6, None), (7, ""), (8, "yes, it is so"), (8, "yes, it is so"), (None, " ".join(item)),
         (9, filler(4000) + " " + " ".join(item)),
+        (12, filler(30) + " na" * 40),
     ]
-    bench = spark.createDataFrame([(10, " ".join(item)), (11, None), (12, ""), (13, "It is SO")], "item_id long, text string")
+    bench = spark.createDataFrame([(10, " ".join(item)), (11, None), (12, ""), (13, "It is SO"), (14, "na " * 40)], "item_id long, text string")
     numbered = decontam.number_rows(docs(rows))
     pairs = decontam.contaminated_pairs(numbered, bench).join(numbered.select("_rid", "doc_id"), "_rid")
     got = Counter((r["doc_id"], r["item_id"]) for r in pairs.collect())
-    assert got == Counter({(2, 10): 1, (3, 10): 1, (9, 10): 1, (None, 10): 1, (8, 13): 2})
+    assert got == Counter({(2, 10): 1, (3, 10): 1, (9, 10): 1, (None, 10): 1, (8, 13): 2, (12, 14): 1})
     kept = decontam.decontaminate(docs(rows), bench)
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 6, 7]
     assert decontam.decontaminate(docs(rows), bench.limit(0)).count() == len(rows)

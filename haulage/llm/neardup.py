@@ -23,6 +23,7 @@ from haulage.llm.common import scratch_table
 WORDS = 5  # words in a shingle
 PERCENT = 80  # least Jaccard similarity, in hundredths
 BANDS, ROWS = 48, 6  # a pair at 0.8 shares no band with probability (1 - 0.8**6)**48 = 5e-7
+# Signatures keep a byte of each value: chance agreement only raises the matches, so no link is dropped for it.
 BATCH = 32  # signature values compared between two looks at the posterior
 MISS = 1e-6  # posterior probability of a link below which a pair is dropped
 WORD_CACHE = 500_000
@@ -119,7 +120,7 @@ def _sign(size: int):
                     names.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                     values = minhash(found)
                     bands.append(band_keys(values).view(np.int64))
-                    signatures.append(values.astype(np.uint16).tobytes())
+                    signatures.append(values.astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -142,7 +143,7 @@ def _prune(percent: int, miss: float):
             for begin in range(0, batch.num_rows, 4096):
                 part = batch.slice(begin, 4096)
                 left, right = (
-                    np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint16).reshape(-1, HASHES) for i in (2, 3)
+                    np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3)
                 )
                 alive, matches = np.arange(part.num_rows), np.zeros(part.num_rows, int)
                 for n, least in looks:
@@ -255,8 +256,11 @@ def near_duplicates(
     links = scratch_table(_links(tried, sets, narrow, words, percent, miss), "links")
     labels = components(links)
 
-    placed = meeting.join(labels, F.col("cls") == F.col("node"), "left").select(
-        "key", "cls", "n_shingles", F.coalesce("label", "cls").alias("label")
+    # A hub has met all of its bucket, so only the others can have missed each other.
+    placed = (
+        meeting.where("cls <> hub")
+        .join(labels, F.col("cls") == F.col("node"), "left")
+        .select("key", "cls", F.coalesce("label", "cls").alias("label"))
     )
     split = placed.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi")
     unsettled = placed.join(split.select("key"), "key", "left_semi").select("cls", "label").distinct()

@@ -317,8 +317,10 @@ def _sharing_rare(classes: DataFrame, texts: DataFrame, words: int, percent: int
 
     Exact by the prefix rule: with every set in the same order, rarest shingle
     first, two sets of n and m that are similar enough share a shingle among
-    the first n - ceil(s n) + 1 and m - ceil(s m) + 1, and at the first one
-    that they share, what is left of both must hold the rest of the overlap.
+    the first n - ceil(s n) + 1 and m - ceil(s m) + 1.  Whatever else they
+    share lies behind the head of the set whose head ends first, so the shared
+    part of the heads and the longer tail together must reach the overlap.  A
+    pair is made once, at the first shingle that the heads share.
     Classes of one bucket that differ from each other in shingles of their own
     thus form no pairs, however many they are.
     """
@@ -334,20 +336,24 @@ def _sharing_rare(classes: DataFrame, texts: DataFrame, words: int, percent: int
         rows.join(common, "shingle")
         .withColumn("at", F.row_number().over(rarest))
         .where((F.col("at") <= F.col("size") - F.expr(f"({percent} * size + 99) div 100") + 1) & (F.col("df") > 1))
-        .drop("df"),
+        .groupBy("cls", "label", "size")
+        .agg(F.array_sort(F.collect_list("shingle")).alias("head"))
+        .withColumn("shingle", F.explode("head")),
         "prefix",
     )
-    other = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("cls", "label", "size", "at")])
+    other = prefix.select(*[F.col(c).alias(f"{c}2") for c in ("shingle", "cls", "label", "size", "head")])
     sizes = F.col("size") + F.col("size2")
-    left = F.lit(1) + F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+    shared = F.array_intersect("head", "head2")
+    tail = F.expr(f"({percent} * greatest(size, size2) + 99) div 100 - 1")
     return (
         prefix.join(
             other,
-            (prefix["shingle"] == other["shingle"])
+            (F.col("shingle") == F.col("shingle2"))
             & (F.col("cls") < F.col("cls2"))
             & (F.col("label") != F.col("label2"))
             & (F.lit(100) * F.least("size", "size2") >= F.lit(percent) * F.greatest("size", "size2"))
-            & (left * (100 + percent) >= F.lit(percent) * sizes),
+            & (F.get(shared, F.lit(0)) == F.col("shingle"))
+            & ((F.size(shared) + tail) * (100 + percent) >= F.lit(percent) * sizes),
         )
         .select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
         .distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.llm import nn
+from haulage.llm.common import first_by_hash
 
 PATH_DIMS, WORD_DIMS, SHAPE_DIMS = 128, 48, 6
 INPUTS = PATH_DIMS + WORD_DIMS + SHAPE_DIMS
@@ -333,14 +334,7 @@ def main_texts(params: dict[str, np.ndarray], pages: list[str | None], features:
 
 def train_on(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", limit: int = TRAIN_PAGES) -> dict[str, np.ndarray]:
     """The labeller, trained on the ``limit`` pages that come first by the hash of their id."""
-    rows = (
-        pages.where(F.col(html_col).isNotNull())
-        .select(F.xxhash64(F.col(id_col).cast("string")).alias("_h"), F.col(html_col).alias("_html"))
-        .orderBy("_h", F.md5("_html"))
-        .limit(limit)
-        .collect()
-    )
-    return train([r["_html"] for r in rows])
+    return train(first_by_hash(pages, id_col, html_col, limit))
 
 
 def extract_text(pages: DataFrame, params: dict[str, np.ndarray], html_col: str = "html") -> DataFrame:

@@ -16,6 +16,8 @@ from haulage.llm.common import scratch_table
 TABLES = 24
 PROBES = 8
 CELL = 4096  # candidates that one task compares at once; fuller buckets are split
+STEPS = 4  # norm bands a power of two
+WHOLE = 4096  # a norm band of so many vectors or fewer is searched whole
 SEED = 11
 
 
@@ -24,7 +26,6 @@ class Rotations:
     """Pseudo-rotations: three rounds of random signs and a fast Hadamard transform, one set of signs per table."""
 
     dims: int  # of the vectors
-    scale: float  # the largest norm
     tables: int
     seed: int = SEED
 
@@ -36,16 +37,16 @@ class Rotations:
     def signs(self) -> np.ndarray:
         return np.random.default_rng(self.seed).choice(np.array([-1.0, 1.0]), (self.tables, 3, self.width))
 
-    def lifted(self, vectors: np.ndarray, query: bool) -> np.ndarray:
+    def lifted(self, vectors: np.ndarray, scales: np.ndarray | None = None) -> np.ndarray:
         """Unit vectors whose angle orders like the inner product: candidates get a coordinate that fills their norm
-        up to the largest; queries get 0 there."""
+        up to their scale, the largest of their band; queries (no scales) get 0 there."""
         out = np.zeros((len(vectors), self.width))
         out[:, : self.dims] = vectors
         norms = np.linalg.norm(vectors, axis=1)
-        if query:
+        if scales is None:
             return out / norms[:, None]
-        out[:, self.dims] = np.sqrt(np.maximum(self.scale**2 - norms**2, 0.0))
-        return out / self.scale
+        out[:, self.dims] = np.sqrt(np.maximum(scales**2 - norms**2, 0.0))
+        return out / scales[:, None]
 
     def rotated(self, lifted: np.ndarray, signs: np.ndarray) -> np.ndarray:
         out = lifted
@@ -69,8 +70,40 @@ def nearest_axes(rotated: np.ndarray, count: int) -> np.ndarray:
     return np.argsort(-signed, axis=1, kind="stable")[:, :count] if count > 1 else signed.argmax(1)[:, None]
 
 
-def _buckets(rotations: Rotations, count: int, query: bool):
-    """Adds, per vector, the flat list of its ``count`` buckets in every table."""
+@dataclass(frozen=True)
+class Bands:
+    """Norm bands, from the largest norms down: number, largest norm and first bucket of each, and which are searched
+    whole (one bucket).  ``STEPS`` a power of two, so their count is bounded by the range of a double's exponent."""
+
+    numbers: np.ndarray
+    scales: np.ndarray
+    starts: np.ndarray
+    whole: np.ndarray
+
+
+def norm_bands(found: DataFrame, buckets: int, whole: int) -> tuple[DataFrame, Bands]:
+    """``found`` with ``band``, and the bands, each with ``buckets`` buckets unless it is searched whole."""
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    sized = found.withColumn("_norm", norm)
+    fits = (F.col("_norm") > 0) & (F.col("_norm") < F.lit(float("inf")))
+    top = sized.where(fits).agg(F.max("_norm")).first()[0] or 1.0
+    below = F.floor((F.log2(F.lit(top)) - F.log2("_norm")) * STEPS).cast("int")
+    banded = sized.withColumn("band", F.when(fits, below).otherwise(F.lit(0)))
+    rows = banded.groupBy("band").agg(F.max(F.when(fits, F.col("_norm"))).alias("scale"), F.count(F.lit(1)).alias("n")).orderBy("band").collect()
+    small = np.array([r["n"] <= whole for r in rows], bool)
+    sizes = np.where(small, 1, buckets)
+    bands = Bands(
+        np.array([r["band"] for r in rows], int),
+        np.array([r["scale"] or top for r in rows], float),
+        np.cumsum(sizes) - sizes,
+        small,
+    )
+    return banded.select("id", "v", "band"), bands
+
+
+def _buckets(rotations: Rotations, count: int, bands: Bands, query: bool):
+    """Adds, per vector, the flat list of its ``count`` buckets in every table: a candidate's in its own band, a query's
+    in every band.  A band that is searched whole is one bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = rotations.signs()
@@ -78,11 +111,19 @@ def _buckets(rotations: Rotations, count: int, query: bool):
             for begin in range(0, batch.num_rows, 1024):
                 part = batch.slice(begin, 1024)
                 vectors = np.array(part.column(1).to_pylist(), float).reshape(part.num_rows, rotations.dims)
-                lifted = rotations.lifted(vectors, query)
+                at = None if query else np.searchsorted(bands.numbers, part.column(2).to_numpy())
+                lifted = rotations.lifted(vectors, None if query else bands.scales[at])
                 found = [nearest_axes(rotations.rotated(lifted, s), count) + t * 2 * rotations.width for t, s in enumerate(signs)]
                 each = np.concatenate(found, axis=1)
+                if query:
+                    rows = len(each)
+                    hashed = (each[:, None, :] + bands.starts[~bands.whole][None, :, None]).reshape(rows, -1)
+                    each = np.concatenate([hashed, np.tile(bands.starts[bands.whole], (rows, 1))], axis=1).tolist()
+                else:
+                    first = bands.starts[at]
+                    each = [[int(f)] if w else (e + f).tolist() for e, f, w in zip(each, first, bands.whole[at])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(each.astype(np.int32).tolist(), pa.list_(pa.int32()))],
+                    [part.column(0), part.column(1), pa.array(each, pa.list_(pa.int32()))],
                     names=["id", "v", "buckets"],
                 )
 
@@ -119,25 +160,22 @@ def _compare(k: int):
     return run
 
 
-def _search(queries: DataFrame, index: DataFrame, rotations: Rotations, probes: int, k: int, cell: int) -> DataFrame:
+def _search(asked: DataFrame, index: DataFrame, groups: int, k: int, cell: int) -> DataFrame:
     """Each query's best ``k`` of every bucket it probes.
 
     About ``cell`` vectors make a group: small buckets share one, a larger
     bucket is split into parts that each get a group.
     """
-    entries = index.select("id", "v", F.explode(F.slice("buckets", 1, rotations.tables)).alias("bucket"))
-    # One row per bucket: at most tables * 2 * width rows, whatever the data.
+    entries = index.select("id", "v", F.explode("buckets").alias("bucket"))
+    # One row per bucket: at most tables * 2 * width rows a band, whatever the data.
     parts = entries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("parts"))
     parts = F.broadcast(parts)
-    groups = max(1, min(2 * rotations.width, -(-index.count() // cell))) * rotations.tables
     group = (F.col("bucket") % groups).alias("group")
     dealt = entries.join(parts, "bucket").select(
         group, F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "bucket", "id", "v"
     )
     probing = (
-        queries.select("id", "v")
-        .mapInArrow(_buckets(rotations, probes, True), "id long, v array<double>, buckets array<int>")
-        .select("id", "v", F.explode("buckets").alias("bucket"))
+        asked.select("id", "v", F.explode("buckets").alias("bucket"))
         .join(parts, "bucket")
         .select(group, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "bucket", "id", "v")
     )
@@ -169,17 +207,21 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     cell: int = CELL,
+    whole: int = WHOLE,
 ) -> DataFrame:
     """The ``k`` nearest found of every query row: ``query_id, rank, vec_id, score`` by inner product.
 
-    ``is_query`` is a boolean Column over ``id``.  Every vector is indexed in
-    every table under its nearest signed axis; a query looks in its ``probes``
-    nearest axes of each table, and what lies there is ranked by the exact
-    inner product in double precision, ties to the smaller id.  A bucket with
-    more than ``cell`` vectors is split over several tasks, each of which
+    ``is_query`` is a boolean Column over ``id``.  Vectors are cut into bands
+    of like norms, a factor of at most 2 ** (1 / STEPS) apart.  In its band,
+    lifted with the band's own largest norm, every vector is indexed in every
+    table under its nearest signed axis; a query looks in its ``probes``
+    nearest axes of each table of every band.  A band of at most ``whole``
+    vectors, as the few longest often are, is searched whole: there a large
+    inner product need not be a small angle.  What is met is ranked by the
+    exact inner product in double precision, ties to the smaller id.  A bucket
+    with more than ``cell`` vectors is split over several tasks, each of which
     returns its own best ``k``, so a bucket may hold any share of the rows.  A
-    query whose buckets hold fewer than ``k`` others looks through all buckets
-    of one table, that is through every vector.
+    query whose buckets hold fewer than ``k`` others looks through every vector.
 
     Defined cases: vectors that are null, zero, or hold null or non-finite
     components take no part, nor do null ids; vectors of another length than
@@ -191,20 +233,23 @@ def nearest(
     common = found.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), F.col("n").desc()).first()
     dims = common["n"] if common else 1
     found = found.where(F.size("v") == dims)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    rotations = Rotations(dims, found.agg(F.max(norm)).first()[0] or 1.0, tables)
+    rotations = Rotations(dims, tables)
+    banded, bands = norm_bands(found, tables * 2 * rotations.width, whole)
     index = scratch_table(
-        found.mapInArrow(_buckets(rotations, 1, False), "id long, v array<double>, buckets array<int>"), "ann-index"
+        banded.mapInArrow(_buckets(rotations, 1, bands, False), "id long, v array<double>, buckets array<int>"), "ann-index"
     )
+    groups = max(1, min(2 * rotations.width, -(-index.count() // cell))) * tables
     queries = index.where(is_query).select("id", "v")
-    hits = scratch_table(_ranked(_search(queries, index, rotations, probes, k, cell), k), "ann-hits")
+    asked = queries.mapInArrow(_buckets(rotations, probes, bands, True), "id long, v array<double>, buckets array<int>")
+    hits = scratch_table(_ranked(_search(asked, index, groups, k, cell), k), "ann-hits")
     short = queries.join(
         hits.where(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti"
     )
     if short.isEmpty():
         return hits
-    single = Rotations(dims, rotations.scale, 1)
-    rest = _ranked(_search(short, index, single, 2 * single.width, k, cell), k)
+    one = F.array(F.lit(0)).alias("buckets")
+    again = index.select(F.col("id").alias("id"), F.col("v").alias("v"), one)
+    rest = _ranked(_search(short.select("id", "v", one), again, groups, k, cell), k)
     return hits.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(rest)
 
 

@@ -330,3 +330,25 @@ def test_neighbours_defined_cases(spark):
     few = ann.nearest(df.where("vec_id < 4"), is_query=F.col("id") >= 0, k=20).collect()
     assert Counter(r["query_id"] for r in few) == Counter({0: 3, 1: 3, 2: 3, 3: 3})
     assert ann.nearest(df.limit(0), is_query=F.lit(True)).count() == 0
+
+
+def _recall(spark, vectors, queries=40, **kwargs):
+    from pyspark.sql import functions as F
+
+    ids = np.arange(len(vectors))
+    df = spark.createDataFrame([(int(i), v) for i, v in zip(ids, vectors.tolist())], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, is_query=F.col("id") < queries, k=20, **kwargs).collect()
+    best = {(q, i) for q in range(queries) for i, _ in _best(ids, vectors, q, 20)}
+    return len(best & {(r["query_id"], r["vec_id"]) for r in got}) / len(best)
+
+
+@pytest.mark.parametrize("norms", ["one long", "log-normal"])
+def test_recall_with_unequal_norms(spark, norms):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(6000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if norms == "one long":
+        vectors[77] *= 5.0
+    else:
+        vectors *= rng.lognormal(size=(6000, 1))
+    assert _recall(spark, vectors, whole=100) >= 0.9

@@ -16,6 +16,7 @@ from haulage.llm.common import scratch_table
 TABLES = 24
 PROBES = 8
 CELL = 4096  # candidates that one task compares at once; fuller buckets are split
+BLOCK = 4096  # queries that one task compares at once with them; more are split likewise
 STEPS = 4  # norm bands a power of two
 WHOLE = 4096  # a norm band of so many vectors or fewer is searched whole
 SEED = 11
@@ -147,7 +148,6 @@ def _compare(k: int):
                     # einsum sums each pair in the same order wherever it stands, so equal vectors get equal scores.
                     for i, line in zip(q, np.einsum("qd,nd->qn", probing[q], matrix)):
                         best = np.lexsort((own, -line))
-                        best = best[own[best] != query_ids[i]]
                         if repeated:
                             best = best[np.sort(np.unique(own[best], return_index=True)[1])]
                         best = best[:k]
@@ -160,28 +160,34 @@ def _compare(k: int):
     return run
 
 
-def _search(asked: DataFrame, index: DataFrame, groups: int, k: int, cell: int) -> DataFrame:
+def _search(asked: DataFrame, index: DataFrame, groups: int, k: int, cell: int, block: int) -> DataFrame:
     """Each query's best ``k`` of every bucket it probes.
 
     About ``cell`` vectors make a group: small buckets share one, a larger
-    bucket is split into parts that each get a group.
+    bucket is split into parts, its queries into blocks of about ``block``,
+    and each part meets each block in a group of its own.
     """
     entries = index.select("id", "v", F.explode("buckets").alias("bucket"))
+    probing = asked.select("id", "v", F.explode("buckets").alias("bucket"))
+
     # One row per bucket: at most tables * 2 * width rows a band, whatever the data.
-    parts = entries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).cast("int").alias("parts"))
-    parts = F.broadcast(parts)
+    def pieces(rows: DataFrame, size: int, name: str) -> DataFrame:
+        return rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias(name))
+
+    split = F.broadcast(pieces(entries, cell, "parts").join(pieces(probing, block, "blocks"), "bucket"))
+
+    def every(count: str, name: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(name)
+
+    def own(count: str, name: str):
+        return F.pmod(F.xxhash64("id"), F.col(count)).cast("int").alias(name)
+
     group = (F.col("bucket") % groups).alias("group")
-    dealt = entries.join(parts, "bucket").select(
-        group, F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "bucket", "id", "v"
-    )
-    probing = (
-        asked.select("id", "v", F.explode("buckets").alias("bucket"))
-        .join(parts, "bucket")
-        .select(group, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "bucket", "id", "v")
-    )
+    dealt = entries.join(split, "bucket").select(group, own("parts", "part"), every("blocks", "block"), "bucket", "id", "v")
+    probing = probing.join(split, "bucket").select(group, every("parts", "part"), own("blocks", "block"), "bucket", "id", "v")
     return (
-        probing.groupBy("group", "part")
-        .cogroup(dealt.groupBy("group", "part"))
+        probing.groupBy("group", "part", "block")
+        .cogroup(dealt.groupBy("group", "part", "block"))
         .applyInPandas(_compare(k), "query_id long, vec_id long, score double")
     )
 
@@ -208,6 +214,7 @@ def nearest(
     vector_col: str = "embedding",
     cell: int = CELL,
     whole: int = WHOLE,
+    block: int = BLOCK,
 ) -> DataFrame:
     """The ``k`` nearest found of every query row: ``query_id, rank, vec_id, score`` by inner product.
 
@@ -219,9 +226,11 @@ def nearest(
     vectors, as the few longest often are, is searched whole: there a large
     inner product need not be a small angle.  What is met is ranked by the
     exact inner product in double precision, ties to the smaller id.  A bucket
-    with more than ``cell`` vectors is split over several tasks, each of which
-    returns its own best ``k``, so a bucket may hold any share of the rows.  A
-    query whose buckets hold fewer than ``k`` others looks through every vector.
+    with more than ``cell`` vectors or ``block`` queries is split over several
+    tasks, each of which returns its own best, so a bucket may hold any share
+    of the rows.  Equal vectors are searched once: of their ids the ``k`` + 1
+    smallest are candidates (the others cannot be among a query's best ``k``),
+    and their queries share the answer.  A query whose buckets hold fewer than ``k`` others looks through every vector.
 
     Defined cases: vectors that are null, zero, or hold null or non-finite
     components take no part, nor do null ids; vectors of another length than
@@ -235,22 +244,48 @@ def nearest(
     found = found.where(F.size("v") == dims)
     rotations = Rotations(dims, tables)
     banded, bands = norm_bands(found, tables * 2 * rotations.width, whole)
+    twins = Window.partitionBy("key").orderBy("id")
+    # Ranks are cut in the tasks before the shuffle, so a vector with many ids costs few rows.
+    few = banded.withColumn("key", _vector_key()).distinct().withColumn("_place", F.row_number().over(twins)).where(F.col("_place") <= k + 1)
     index = scratch_table(
-        banded.mapInArrow(_buckets(rotations, 1, bands, False), "id long, v array<double>, buckets array<int>"), "ann-index"
+        few.select("id", "v", "band").mapInArrow(_buckets(rotations, 1, bands, False), "id long, v array<double>, buckets array<int>"),
+        "ann-index",
     )
     groups = max(1, min(2 * rotations.width, -(-index.count() // cell))) * tables
-    queries = index.where(is_query).select("id", "v")
-    asked = queries.mapInArrow(_buckets(rotations, probes, bands, True), "id long, v array<double>, buckets array<int>")
-    hits = scratch_table(_ranked(_search(asked, index, groups, k, cell), k), "ann-hits")
-    short = queries.join(
-        hits.where(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti"
+    # One query per vector, numbered by the smallest id that asks; a vector's key names it, as ids may repeat.
+    wanted = found.where(is_query).select("id", _vector_key().alias("key"), "v").distinct()
+    firsts = Window.partitionBy("key").orderBy("id")
+    single = wanted.withColumn("_place", F.row_number().over(firsts)).where("_place = 1")
+    single = scratch_table(single.select(F.monotonically_increasing_id().alias("id"), "key", "v"), "ann-queries")
+    asked = scratch_table(
+        single.select("id", "v").mapInArrow(
+            _buckets(rotations, probes, bands, True), "id long, v array<double>, buckets array<int>"
+        ),
+        "ann-asked",
     )
+    askers = wanted.select(F.col("id").alias("query_id"), "key")
+
+    def answered(pairs: DataFrame, name: str) -> DataFrame:
+        best = _ranked(pairs, k + 1).groupBy("query_id").agg(F.collect_list(F.struct("vec_id", "score")).alias("hits"))
+        named = best.join(single.select(F.col("id").alias("query_id"), "key"), "query_id").select("key", "hits")
+        each = askers.join(named, "key").select("query_id", F.inline("hits")).where("query_id != vec_id")
+        return scratch_table(_ranked(each, k), name)
+
+    hits = answered(_search(asked, index, groups, k + 1, cell, block), "ann-hits")
+    short = askers.join(hits.where(F.col("rank") == k).select("query_id"), "query_id", "left_anti")
     if short.isEmpty():
         return hits
     one = F.array(F.lit(0)).alias("buckets")
     again = index.select(F.col("id").alias("id"), F.col("v").alias("v"), one)
-    rest = _ranked(_search(short.select("id", "v", one), again, groups, k, cell), k)
-    return hits.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(rest)
+    lacking = single.join(short.select("key").distinct(), "key", "left_semi").select("id", "v", one)
+    rest = answered(_search(lacking, again, groups, k + 1, cell, block), "ann-rest")
+    missing = short.select("query_id").distinct()
+    return hits.join(missing, "query_id", "left_anti").unionByName(rest.join(missing, "query_id", "left_semi"))
+
+
+def _vector_key():
+    """128 bits that stand for a vector in joins and sorts."""
+    return F.concat_ws("-", F.xxhash64("v"), F.xxhash64(F.lit(1), F.col("v")))
 
 
 def _ranked(pairs: DataFrame, k: int) -> DataFrame:

@@ -352,3 +352,27 @@ def test_recall_with_unequal_norms(spark, norms):
     else:
         vectors *= rng.lognormal(size=(6000, 1))
     assert _recall(spark, vectors, whole=100) >= 0.9
+
+
+def test_hot_buckets_and_copies_stay_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    center = rng.normal(size=16)
+    vectors = np.concatenate([np.tile(center, (300, 1)), center + 1e-3 * rng.normal(size=(300, 16)), rng.normal(size=(300, 16))])
+    sizes = spark.sparkContext.accumulator(0)
+    compare = ann._compare
+
+    def watched(k):
+        inner = compare(k)
+
+        def run(key, queries, rows):
+            if len(rows) > 0 and (queries["bucket"].value_counts().max() > 120 or rows["bucket"].value_counts().max() > 120):
+                sizes.add(1)
+            return inner(key, queries, rows)
+
+        return run
+
+    monkeypatch.setattr(ann, "_compare", watched)
+    assert _recall(spark, vectors, queries=900, cell=60, block=60) == 1.0
+    assert sizes.value == 0
+    plain = _recall(spark, vectors, queries=900)
+    assert plain == 1.0

@@ -29,6 +29,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 SIGNAL = re.compile("[0-9@]")
+# Every base pattern and every variant that is trained holds one of these; other brackets and letter case are let in too.
+WRITTEN = re.compile(r"[0-9@]|[(\[{<]\s*(?:at|dot)\s*[)\]}>]", re.IGNORECASE)
 
 WINDOW, STRIDE = 96, 48
 HIDDEN = 20
@@ -255,9 +257,10 @@ def train(texts: list[str], seed: int = 5) -> Tagger:
 
 
 def window_starts(text: str) -> list[int]:
-    """Starts of the overlapping windows that hold a digit or an ``@``; every kind needs one, so others hold nothing."""
+    """Starts of the overlapping windows that hold a digit, an ``@`` or a bracketed ``at`` or ``dot``; every span that
+    the model is trained to add has one, so other windows hold nothing."""
     last = max(0, len(text) - WINDOW)
-    hits = {m.start() // STRIDE for m in SIGNAL.finditer(text)}
+    hits = {m.start() // STRIDE for m in WRITTEN.finditer(text)}
     # The grid's windows, the last one pulled back to the text's end.
     return sorted({min(max(0, h - back) * STRIDE, last) for h in hits for back in (0, 1)} if hits else ())
 

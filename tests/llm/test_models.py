@@ -376,3 +376,29 @@ def test_hot_buckets_and_copies_stay_in_blocks(spark, monkeypatch):
     assert sizes.value == 0
     plain = _recall(spark, vectors, queries=900)
     assert plain == 1.0
+
+
+def test_every_written_variant_has_a_window():
+    rng = np.random.default_rng(3)
+    spans = [(0, "anna.lind@mail.example.org"), (1, "10.20.30.40"), (2, "4111 1111 1111 1111"), (3, "+1 212 555 0199")]
+    for kind, text in spans:
+        for _ in range(200):
+            made = pii.written_otherwise(kind, text, rng)
+            prose = "the quiet river runs " * 20 + made + " along the old mill" * 20
+            at = prose.index(made)
+            assert any(s <= at and at + len(made) <= s + pii.WINDOW for s in pii.window_starts(prose)), made
+
+
+def test_bracketed_addresses_in_digit_free_prose(spark, docs):
+    texts = [t for t in _table("documents", "/root/testdata/sf0.01").text if re.search("[0-9@]", t) and len(t) < 20_000]
+    tagger = pii.train(texts)
+    rows, want = [], {}
+    for i, at in enumerate(("(at)", " [at] ")):
+        for j, dot in enumerate((".", "[dot]", "(dot)", " . ")):
+            made = f"anna.lind{at}example{dot}com"  # the training texts know no other ending
+            text = f"The committee met again and asked everyone to write to {made} before the end of the month. Nothing else was said."
+            want[10 * i + j] = (text.index(made), text.index(made) + len(made))
+            rows.append((10 * i + j, text))
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["all"]] for r in pii.find_personal_data(docs(rows), tagger).collect()}
+    missed = [i for i in want if want[i] not in got[i]]
+    assert not missed, (missed, got, want)

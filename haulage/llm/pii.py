@@ -2,7 +2,8 @@
 
 The LSTM-CRF is trained on the base spans of a bounded sample and on written
 variants of them (spaced or bracketed forms) set into the same texts.  It reads
-overlapping windows; what the windows find is reconciled over the whole text.
+overlapping windows; spans that are whole in no window are decoded from the
+joined scores of a run of windows, and all are reconciled over the whole text.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ TRAIN_DOCS = 1500  # documents that the model is trained on
 TRAIN_CHARS = 20_000  # longest training document; all documents are searched whole
 TRAIN_WINDOWS = 4000
 STEPS, BATCH = 280, 96
+PIECE = 64  # windows of a run that are decoded together; longer runs go on from their last outside character
+CELLS = 512 * WINDOW  # characters that are decoded at once
 SURE = 0.9  # least mean probability of an added span's characters
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -256,36 +259,157 @@ def train(texts: list[str], seed: int = 5) -> Tagger:
     return tagger
 
 
-def window_starts(text: str) -> list[int]:
-    """Starts of the overlapping windows that hold a digit, an ``@`` or a bracketed ``at`` or ``dot``; every span that
-    the model is trained to add has one, so other windows hold nothing."""
-    last = max(0, len(text) - WINDOW)
+def window_numbers(text: str) -> list[int]:
+    """Numbers of the overlapping windows that hold a digit, an ``@`` or a bracketed ``at`` or ``dot``; every span that
+    the model is trained to add has one, so other windows hold nothing unless a span reaches into them."""
+    final = final_window(text)
     hits = {m.start() // STRIDE for m in WRITTEN.finditer(text)}
-    # The grid's windows, the last one pulled back to the text's end.
-    return sorted({min(max(0, h - back) * STRIDE, last) for h in hits for back in (0, 1)} if hits else ())
+    return sorted({min(max(0, h - back), final) for h in hits for back in (0, 1)})
 
 
-def found_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[float, Span]]]:
-    """Per text, the spans that its windows decode, with the mean probability of their characters."""
-    places = [(i, s) for i, t in enumerate(texts) for s in window_starts(t)]
-    out: list[list[tuple[float, Span]]] = [[] for _ in texts]
+def final_window(text: str) -> int:
+    return max(0, -(-(len(text) - WINDOW) // STRIDE))
+
+
+def window_start(text: str, number: int) -> int:
+    """The grid's windows, the last one pulled back to the text's end."""
+    return min(number * STRIDE, max(0, len(text) - WINDOW))
+
+
+def window_starts(text: str) -> list[int]:
+    return [window_start(text, i) for i in window_numbers(text)]
+
+
+@dataclass
+class Piece:
+    """Windows ``first`` to ``last`` of a text, part of a run that goes to ``end``; spans count from ``since`` on."""
+
+    text: int
+    first: int
+    last: int
+    end: int
+    since: int = 0
+
+
+def run_pieces(index: int, text: str) -> list[Piece]:
+    """The runs of windows that overlap, each by its first piece."""
+    out: list[Piece] = []
+    for i in window_numbers(text):
+        if out and i <= out[-1].end + 1:
+            out[-1].end = i
+        else:
+            out.append(Piece(index, i, i, i))
+    for piece in out:
+        piece.last = min(piece.end, piece.first + PIECE - 1)
+    return out
+
+
+def spans_on(path: np.ndarray, sure: np.ndarray) -> Iterator[tuple[float, int, int, int]]:
+    """Spans of a tag path: mean probability of the characters' tags, kind, start, end."""
+    for a in np.flatnonzero((path > 0) & (path % 2 == 1)):
+        b = a + 1
+        while b < len(path) and path[b] == path[a] + 1:
+            b += 1
+        yield float(sure[np.arange(a, b), path[a:b]].mean()), int(path[a]) // 2, int(a), int(b)
+
+
+def window_scores(
+    tagger: Tagger, texts: list[str], pieces: list[Piece], out: list[list[tuple[float, Span]]]
+) -> list[np.ndarray]:
+    """Adds to ``out``, per text, the spans that lie whole in a window of a piece, and returns per piece its
+    characters' tag scores: the mean over the windows that hold the character, weighted by its distance from the
+    window's cut edges."""
+    begins = [window_start(texts[p.text], p.first) for p in pieces]
+    ends = [min(len(texts[p.text]), window_start(texts[p.text], p.last) + WINDOW) for p in pieces]
+    total = [np.zeros((b - a, TAGS)) for a, b in zip(begins, ends)]
+    weight = [np.zeros((b - a, 1)) for a, b in zip(begins, ends)]
+    places = [(r, window_start(texts[p.text], i)) for r, p in enumerate(pieces) for i in range(p.first, p.last + 1)]
     for begin in range(0, len(places), 512):
         part = places[begin : begin + 512]
-        x, lengths = _one_hot([classes_of(texts[i][s : s + WINDOW]) for i, s in part])
+        x, lengths = _one_hot([classes_of(texts[pieces[r].text][s : s + WINDOW]) for r, s in part])
         scores = nn.forward(tagger.params, x, lengths)[0].astype(float)
         paths = viterbi(scores, tagger.moves, lengths)
         sure = crf_marginals(scores, tagger.moves, lengths)[0]
-        for r, (i, s) in enumerate(part):
-            path, n = paths[r], int(lengths[r])
-            for a in np.flatnonzero((path[:n] > 0) & (path[:n] % 2 == 1)):
-                b = a + 1
-                while b < n and path[b] == path[a] + 1:
-                    b += 1
-                cut = (a == 0 and s > 0) or (b == n and s + n < len(texts[i]))
-                if not cut:  # a span at a window's inner edge is whole in the next window
-                    p = float(sure[r, np.arange(a, b), path[a:b]].mean())
-                    out[i].append((p, (int(path[a]) // 2, int(s + a), int(s + b))))
-    return out
+        for j, ((r, s), own, n) in enumerate(zip(part, scores, lengths)):
+            text, n = pieces[r].text, int(n)
+            opens, closes = s == 0, s + n == len(texts[text])
+            for p, kind, a, b in spans_on(paths[j, :n], sure[j]):
+                if (a > 0 or opens) and (b < n or closes):
+                    out[text].append((p, (kind, s + a, s + b)))
+            at = np.arange(n)
+            left = np.full(n, WINDOW) if opens else at + 1
+            right = np.full(n, WINDOW) if closes else n - at
+            w = np.minimum(left, right)[:, None]
+            total[r][s - begins[r] : s - begins[r] + n] += w * own[:n]
+            weight[r][s - begins[r] : s - begins[r] + n] += w
+    return [t / w for t, w in zip(total, weight)]
+
+
+def in_one_window(piece: Piece, text: str, a: int, b: int) -> bool:
+    """Whether a window of the piece holds the span without cutting its edges."""
+    for i in range(max(piece.first, a // STRIDE - 1), min(piece.last, a // STRIDE + 1) + 1):
+        s = window_start(text, i)
+        if (s < a or s == 0) and (b < s + WINDOW or s + WINDOW >= len(text)):
+            return True
+    return False
+
+
+def decoded(
+    tagger: Tagger, texts: list[str], pieces: list[Piece], out: list[list[tuple[float, Span]]]
+) -> Iterator[Piece]:
+    """Adds to ``out``, per text, the spans of the pieces, with the mean probability of their characters: those that a
+    window holds whole as the window decodes them, longer ones from the joined scores.  Yields the pieces that are to
+    follow: a wider one if a span reaches over a piece's edge, or the next of its run."""
+    each = window_scores(tagger, texts, pieces, out)
+    lengths = np.array([len(x) for x in each])
+    scores = np.zeros((len(each), lengths.max(), TAGS))
+    for r, x in enumerate(each):
+        scores[r, : len(x)] = x
+    paths = viterbi(scores, tagger.moves, lengths)
+    sure = crf_marginals(scores, tagger.moves, lengths)[0]
+    for r, piece in enumerate(pieces):
+        text, n = texts[piece.text], int(lengths[r])
+        path, start = paths[r, :n], window_start(text, piece.first)
+        grow = max(1, (piece.last - piece.first + 1) // 2)
+        if start > piece.since and path[0] > 0:  # only a run's first piece can begin within a span
+            back = Piece(piece.text, max(0, piece.first - grow), piece.last, piece.end, piece.since)
+            yield back
+            continue
+        stop, follow = n, None
+        if start + n < len(text) and (path[-1] > 0 or piece.last < piece.end):
+            # What follows begins at the last outside character that has half a window after it.
+            outside = np.flatnonzero(path[: max(0, n - STRIDE // 2)] == 0)
+            outside = outside[start + outside > piece.since]
+            end = piece.end if piece.last < piece.end else min(final_window(text), piece.last + grow)
+            first = (start + int(outside[-1])) // STRIDE - 1 if len(outside) else 0
+            if first > piece.first and piece.last - piece.first + 1 >= PIECE:
+                stop = int(outside[-1])
+                follow = Piece(piece.text, first, min(max(first + PIECE - 1, piece.last + 1), end), end, start + stop)
+            else:  # a short piece, or one long span
+                stop, follow = 0, Piece(piece.text, piece.first, min(end, piece.last + grow), end, piece.since)
+        for p, kind, a, b in spans_on(path, sure[r]):
+            a, b = start + a, start + b
+            if piece.since <= a < start + stop and not in_one_window(piece, text, a, b):
+                out[piece.text].append((p, (kind, a, b)))
+        if follow:
+            yield follow
+
+
+def found_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[float, Span]]]:
+    """Per text, the spans that its runs of windows decode, with the mean probability of their characters."""
+    out: list[list[tuple[float, Span]]] = [[] for _ in texts]
+    waiting = [p for i, t in enumerate(texts) for p in run_pieces(i, t)]
+    while waiting:
+        waiting.sort(key=lambda p: p.last - p.first)
+        following: list[Piece] = []
+        while waiting:
+            part = [waiting.pop(0)]
+            while waiting and (len(part) + 1) * ((waiting[0].last - waiting[0].first) * STRIDE + WINDOW) <= CELLS:
+                part.append(waiting.pop(0))
+            following += decoded(tagger, texts, part, out)
+        waiting = following
+    best = [{span: p for p, span in sorted(x)} for x in out]
+    return [sorted(((p, span) for span, p in x.items()), key=lambda f: f[1][1:]) for x in best]
 
 
 def reconciled(base: list[Span], found: list[tuple[float, Span]], sure: float = SURE) -> list[Span]:

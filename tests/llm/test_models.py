@@ -402,3 +402,29 @@ def test_bracketed_addresses_in_digit_free_prose(spark, docs):
     got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["all"]] for r in pii.find_personal_data(docs(rows), tagger).collect()}
     missed = [i for i in want if want[i] not in got[i]]
     assert not missed, (missed, got, want)
+
+
+def test_long_spans_are_whole_at_every_offset(monkeypatch):
+    def forward(params, x, lengths):
+        digit = x[:, :, 1] > 0  # a run of digits is a phone, its first character the surer begin
+        scores = np.zeros((*digit.shape, pii.TAGS))
+        scores[:, :, 0] = np.where(digit, -9.0, 9.0)
+        first = digit & ~np.pad(digit, ((0, 0), (1, 0)))[:, :-1]
+        first[:, 0] = False
+        scores[:, :, 7], scores[:, :, 8] = np.where(first, 9.0, -1.0), np.where(digit, 5.0, -9.0)
+        return (scores,)
+
+    monkeypatch.setattr(pii.nn, "forward", forward)
+    tagger = pii.Tagger({}, np.where(pii._allowed(), 0.0, -1e4))
+    for size in (1, 47, 50, 70, 95, 97, 120, 150, 400):
+        texts = ["-" * at + "7" * size + "-" * 200 for at in range(100, 200)]
+        for at, found in zip(range(100, 200), pii.found_spans(tagger, texts)):
+            assert [s for _, s in found] == [(3, at, at + size)], (at, size)
+    many = "".join("-" * (i % 7 + 1) + "7" * (i % 140 + 1) for i in range(300)) + "-"
+    want = [(3, m.start(), m.end()) for m in re.finditer("7+", many)]
+    assert [s for _, s in pii.found_spans(tagger, [many])[0]] == want
+    endless = "-" * 100 + "7" * 10_000 + "-" * 100
+    assert [s for _, s in pii.found_spans(tagger, [endless])[0]] == [(3, 100, 10_100)]
+    # Only the signal has to be near a digit: a span reaches on into windows without any.
+    edge = "-" * 300 + "7" * 60
+    assert [s for _, s in pii.found_spans(tagger, [edge])[0]] == [(3, 300, 360)]

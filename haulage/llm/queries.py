@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.llm import ann, decontam, extract, language, license, lm, mixing, neardup, pii, sharding
+from haulage.llm import (
+    ann,
+    codes,
+    decontam,
+    extract,
+    language,
+    license,
+    lm,
+    mixing,
+    neardup,
+    pii,
+    resample,
+    sharding,
+    tokens,
+)
 from haulage.llm.common import read_table
 
 
@@ -88,6 +102,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    drawn = resample.resample(docs, read_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest(codebooks)).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_near_dedup": op2_near_dedup,
@@ -99,6 +130,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_token_counts": op12_token_counts,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES = {

@@ -4,9 +4,10 @@
         --geolocation g.csv --out s3a://bucket/logistics
 
 Steps: ingest, validate, bronze, silver, gold, all (or a comma list).  Only
-the sources the chosen steps read must be given and must exist.  Prints the
-step audit as JSON lines; exits 1 when a contract or the quality gate fails
-or a source is missing.
+the sources the chosen steps read must be given and must exist.  Steps that an
+earlier run completed from the same inputs are skipped (``--force`` runs them
+again).  Prints the step audit as JSON lines; exits 1 when a contract or the
+quality gate fails or a source is missing.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--mode", choices=("strict", "compat"), default="strict")
     ap.add_argument("--null-value", default=None, help="extra text treated as NULL in CSV sources")
     ap.add_argument("--no-csv", action="store_true", help="write gold as Parquet only")
+    ap.add_argument("--force", action="store_true", help="run steps that an earlier run completed as well")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     return ap.parse_args(argv)
 
@@ -46,8 +48,8 @@ def main(argv=None, spark=None) -> int:
         pipe = Pipeline.from_csv(
             spark, paths, args.out, steps=steps, null_value=args.null_value, mode=args.mode, gold_csv=not args.no_csv
         )
-        for a in pipe.run(steps):
-            print(json.dumps({"step": a.step, "rows": a.rows, "seconds": round(a.seconds, 3)}))
+        for a in pipe.run(steps, force=args.force):
+            print(json.dumps({"step": a.step, "status": a.status, "rows": a.rows, "seconds": round(a.seconds, 3)}))
     except (FileNotFoundError, ContractError, QualityGateError, ValueError) as e:
         print(f"haulage: {type(e).__name__}: {e}", file=sys.stderr)
         return 1

@@ -84,6 +84,18 @@ def join_orders_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return orders.join(cust, on="customer_id", how="inner")
 
 
+def _located(customers: DataFrame, geo_consolidated: DataFrame, mode: str) -> DataFrame:
+    """Customers with the consolidated geolocation of their zip (left join)."""
+    if mode not in ("strict", "compat"):
+        raise ValueError(f"unknown mode {mode!r}")
+    cust = customers.withColumnRenamed("customer_zip_code_prefix", "zip_code")
+    geo = geo_consolidated.withColumnRenamed("zip_code", "_geo_zip")
+    cond = F.col("zip_code") == F.col("_geo_zip")
+    if mode == "strict":
+        cond = cond & (F.col("customer_state") == F.col("geolocation_state"))
+    return cust.join(geo, on=cond, how="left").drop("_geo_zip")
+
+
 def enrich(
     orders: DataFrame,
     customers: DataFrame,
@@ -101,15 +113,25 @@ def enrich(
     Customers are enriched first, and the order rows are shuffled once, by
     customer_id.  Lazy: no job runs here.
     """
-    if mode not in ("strict", "compat"):
-        raise ValueError(f"unknown mode {mode!r}")
-    cust = customers.withColumnRenamed("customer_zip_code_prefix", "zip_code")
-    geo = geo_consolidated.withColumnRenamed("zip_code", "_geo_zip")
-    cond = F.col("zip_code") == F.col("_geo_zip")
-    if mode == "strict":
-        cond = cond & (F.col("customer_state") == F.col("geolocation_state"))
-    cust_geo = cust.join(geo, on=cond, how="left").drop("_geo_zip")
-    return orders.join(cust_geo, on="customer_id", how="inner").select(*BRONZE_COLUMNS)
+    located = _located(customers, geo_consolidated, mode)
+    return orders.join(located, on="customer_id", how="inner").select(*BRONZE_COLUMNS)
+
+
+def coordinate_counts(
+    orders: DataFrame, customers: DataFrame, geo_consolidated: DataFrame, mode: str = "strict"
+) -> DataFrame:
+    """Bronze rows counted by (customer_state, lat, lng), without building them.
+
+    Orders are counted by customer (one narrow column, folded map-side) and
+    the counts meet the customers with their coordinates; no order row passes
+    through a join.
+    """
+    per_customer = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_rows"))
+    return (
+        per_customer.join(_located(customers, geo_consolidated, mode), on="customer_id", how="inner")
+        .groupBy("customer_state", "lat", "lng")
+        .agg(F.sum("_rows").alias("_rows"))
+    )
 
 
 def add_lineage(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

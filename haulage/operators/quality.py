@@ -21,13 +21,8 @@ class QualityGateError(RuntimeError):
         super().__init__("quality gate failed: " + ", ".join(f"{n} ({v} violations)" for n, v in failed))
 
 
-def quality_checks(silver: DataFrame, rules: Rules = DEFAULT_RULES, strict: bool = True) -> DataFrame:
-    """Silver checks as rows (check, violations, passed).
-
-    order_id and customer_id present; delivery days NULL or within
-    [0, max_delivery_days]; lat NULL or within bounds; in strict mode also
-    lng NULL or within bounds.
-    """
+def check_predicates(rules: Rules = DEFAULT_RULES, strict: bool = True) -> dict:
+    """What counts as a violation, by check name: one predicate each over silver's columns."""
     days = F.col("actual_delivery_days")
     lat, lng = F.col("lat"), F.col("lng")
     checks = {
@@ -38,20 +33,35 @@ def quality_checks(silver: DataFrame, rules: Rules = DEFAULT_RULES, strict: bool
     }
     if strict:
         checks["lng_in_bounds"] = lng.isNotNull() & ((lng < F.lit(rules.lng_min)) | (lng > F.lit(rules.lng_max)))
+    return checks
+
+
+def quality_checks(silver: DataFrame, rules: Rules = DEFAULT_RULES, strict: bool = True) -> DataFrame:
+    """Silver checks as rows (check, violations, passed).
+
+    order_id and customer_id present; delivery days NULL or within
+    [0, max_delivery_days]; lat NULL or within bounds; in strict mode also
+    lng NULL or within bounds.
+    """
+    checks = check_predicates(rules, strict)
     agg = silver.agg(*[count_where(p).alias(n) for n, p in checks.items()])
     rows = agg.unpivot([], list(checks), "check_name", "violations")
     return rows.withColumn("passed", F.col("violations") == 0)
 
 
-def gate(checks: DataFrame) -> list[tuple[str, int, bool]]:
-    """Collect the (bounded) check rows; raise ``QualityGateError`` on failure."""
-    results = [(r["check_name"], int(r["violations"]), bool(r["passed"])) for r in checks.collect()]
+def require_passed(results: list[tuple[str, int, bool]]) -> list[tuple[str, int, bool]]:
+    """The results as they are, or ``QualityGateError`` if any check failed."""
     failed = [(n, v) for n, v, ok in results if not ok]
     if failed:
         raise QualityGateError(failed)
     return results
 
 
+def gate(checks: DataFrame) -> list[tuple[str, int, bool]]:
+    """Collect the (bounded) check rows; raise ``QualityGateError`` on failure."""
+    return require_passed([(r["check_name"], int(r["violations"]), bool(r["passed"])) for r in checks.collect()])
+
+
 def null_rate_check(df: DataFrame, table: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Per column: NULL count, rate %, and pass/fail against the limit."""
     cols = df.columns

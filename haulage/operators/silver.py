@@ -19,7 +19,7 @@ Per-state means are grouped aggregates (partial aggregation, so a state
 holding a third of all orders is folded map-side), never a
 ``Window.partitionBy(state)`` that would put a whole state into one task.  The
 operators take them as an argument: a caller that has them as a table
-(``state_means`` over the columns that it needs, written once) gets a plan that
+(``state_means`` over ``coordinate_counts``, written once) gets a plan that
 reads the orders once and starts no job.  Without it they are planned lazily
 from the same rows.
 """
@@ -55,10 +55,15 @@ def fix_timestamps(
     return df.withColumns({c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in present})
 
 
+def parse_failures(columns: Sequence[str], rules: Rules = DEFAULT_RULES, mode: str = "strict") -> dict:
+    """Per column: whether a value is present as text but can't be parsed (over the raw rows)."""
+    parsed = {c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in columns}
+    return {c: F.col(c).isNotNull() & parsed[c].isNull() for c in columns}
+
+
 def parse_failure_counts(columns: Sequence[str], rules: Rules = DEFAULT_RULES, mode: str = "strict") -> list:
     """One aggregate per column, for ``agg`` or ``observe`` over the raw rows."""
-    parsed = {c: parse_timestamp(c, _formats(rules, mode), lenient=mode == "compat") for c in columns}
-    return [count_where(F.col(c).isNotNull() & parsed[c].isNull()).alias(c) for c in columns]
+    return [count_where(failed).alias(c) for c, failed in parse_failures(columns, rules, mode).items()]
 
 
 def timestamp_parse_failures(
@@ -73,6 +78,22 @@ def timestamp_parse_failures(
     return agg.unpivot([], present, "column_name", "parse_failures")
 
 
+ROWS = "_rows"  # of a counted table: the number of rows that a row stands for
+
+
+def coordinate_counts(
+    df: DataFrame, group: str = "customer_state", lat: str = "lat", lng: str = "lng"
+) -> DataFrame:
+    """``df`` counted by state and coordinate pair: all that the state means of any mode look at.
+
+    Coordinates come from the consolidated geolocation, so there are at most
+    as many pairs as it has rows, however many orders there are.  A table that
+    is already counted is folded further.
+    """
+    rows = F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+    return df.groupBy(group, lat, lng).agg(rows.alias(ROWS))
+
+
 def state_means(
     df: DataFrame,
     rules: Rules = DEFAULT_RULES,
@@ -81,12 +102,21 @@ def state_means(
     lat: str = "lat",
     lng: str = "lng",
 ) -> DataFrame:
-    """Mean coordinates per state, over the rows with a complete pair in bounds or over all rows."""
+    """Mean coordinates per state, over the rows with a complete pair in bounds or over all rows.
+
+    ``df`` holds rows or counted rows (``coordinate_counts``).
+    """
     kept = df.filter(in_bounds(lat, lng, rules)) if in_bounds_only else df
+
+    def mean(c: str):
+        if ROWS not in df.columns:
+            return F.avg(c)
+        return F.try_divide(F.sum(F.col(c) * F.col(ROWS)), F.sum(F.when(F.col(c).isNotNull(), F.col(ROWS))))
+
     return (
         kept
         .groupBy(group)
-        .agg(F.avg(lat).alias("_m_lat"), F.avg(lng).alias("_m_lng"))
+        .agg(mean(lat).alias("_m_lat"), mean(lng).alias("_m_lng"))
         .filter(F.col(group).isNotNull())
     )
 
@@ -234,7 +264,7 @@ def derive(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 def repair_means(
     bronze: DataFrame, fill_means: DataFrame, rules: Rules = DEFAULT_RULES, group: str = "customer_state"
 ) -> DataFrame:
-    """The compat repair's means: in-bounds rows after the fill from ``fill_means``."""
+    """The compat repair's means: in-bounds rows (or counted rows) after the fill from ``fill_means``."""
     return state_means(impute_geo(bronze, rules, group, mode="compat", means=fill_means), rules, group)
 
 

@@ -2,8 +2,14 @@
 
 Each layer is written once and the next layer reads the written table, so
 every step starts from storage (lineage is cut at each layer; a lost executor
-re-runs only the current step).  Row counts for the audit come from
-``Observation`` metrics collected during the writes, not from extra scans.
+re-runs only the current step).  Row counts for the audit and the counts that
+the quality gate judges come from ``Observation`` metrics collected during the
+writes, not from extra scans.
+
+Bronze and silver are written staged and published by renames
+(``haulage.sinks.publish``), and each step leaves a manifest and an audit row
+below ``<out>/_runs`` (``haulage.plans.runlog``): a run skips the steps that an
+earlier run, also of another session, completed from the same inputs.
 """
 
 from __future__ import annotations
@@ -22,9 +28,10 @@ from haulage.operators import gold as G
 from haulage.operators import silver as S
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, TIMESTAMP_COLUMNS
-from haulage.sinks import gated_write, write_csv_export, write_gold, write_layer
+from haulage.sinks import publish_checked, publish_table, recover, write_csv_export, write_gold, write_layer
 from haulage.sources.profile import profile
 from haulage.plans.materialise import materialise
+from haulage.plans.runlog import RunLog, digest, frame_fingerprint
 from haulage.sources.readers import Connection, connect_checked, require_paths
 
 STEPS = ("ingest", "validate", "bronze", "silver", "gold")
@@ -44,6 +51,7 @@ class StepAudit:
     rows: int | None
     seconds: float
     detail: dict = field(default_factory=dict)
+    status: str = "ran"
 
 
 @dataclass
@@ -95,6 +103,7 @@ class Pipeline:
         # Set by ``from_csv``: the checked connections behind ``sources``.
         self.connections: dict[str, Connection] = {}
         self.audit: list[StepAudit] = []
+        self.log = RunLog(spark, self.paths.base)
 
     @classmethod
     def from_csv(
@@ -162,27 +171,26 @@ class Pipeline:
         df = B.build_bronze(
             src["orders"], src["customers"], src["geolocation"], self.mode, self.rules, geo_consolidated=geo
         )
-        obs = Observation("bronze")
-        write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.paths.bronze)
-        return {"rows": obs.get["rows"]}
+        return {"rows": publish_table(df, self.paths.bronze)["rows"]}
 
     def silver(self) -> dict:
+        # Two reads of bronze in either mode: its coordinates counted by state, and the one pass that is checked while it is written.
         bronze = self.spark.read.parquet(self.paths.bronze)
         strict = self.mode == "strict"
-        means = materialise(S.state_means(bronze, self.rules, in_bounds_only=strict), "state-means")
-        repair = None if strict else materialise(S.repair_means(bronze, means, self.rules), "repair-means")
-        # Rows and unparsed timestamps are counted while silver is written; the gate looks at the same plan unobserved.
-        obs, raw = Observation("silver"), Observation("timestamps")
-        counted = bronze.observe(raw, *S.parse_failure_counts(TIMESTAMP_COLUMNS, self.rules, self.mode))
-        silver = S.build_silver(counted, self.rules, self.mode, means, repair)
-        checks = gated_write(
-            silver.observe(obs, F.count(F.lit(1)).alias("rows")),
+        counts = materialise(S.coordinate_counts(bronze), "coordinate-counts")
+        means = materialise(S.state_means(counts, self.rules, in_bounds_only=strict), "state-means")
+        repair = None if strict else materialise(S.repair_means(counts, means, self.rules), "repair-means")
+        unparsed = {f"_unparsed_{c}": bad for c, bad in S.parse_failures(TIMESTAMP_COLUMNS, self.rules, self.mode).items()}
+        checks, seen = publish_checked(
+            S.build_silver(bronze.withColumns(unparsed), self.rules, self.mode, means, repair),
             self.paths.silver,
             self.rules,
             strict=strict,
-            checked=S.build_silver(bronze, self.rules, self.mode, means, repair),
+            metrics=[F.count_if(c).alias(c) for c in unparsed],
+            drop=list(unparsed),
         )
-        return {"rows": obs.get["rows"], "checks": checks, "timestamp_parse_failures": dict(raw.get)}
+        failures = {c: seen[f"_unparsed_{c}"] for c in TIMESTAMP_COLUMNS}
+        return {"rows": seen["rows"], "checks": checks, "timestamp_parse_failures": failures}
 
     def gold(self) -> dict:
         # Silver is read once, for the counts that all KPIs are computed from.
@@ -236,17 +244,62 @@ class Pipeline:
                 fut.result()
 
     # ---------------------------------------------------------------- driver
-    def run(self, steps=STEPS) -> list[StepAudit]:
+    def _outputs(self, step: str) -> list[str]:
+        """The tables that a step leaves behind."""
+        if step == "bronze":
+            return [self.paths.bronze]
+        if step == "silver":
+            return [self.paths.silver]
+        if step == "ingest":
+            return [self.paths.quarantine(n) for n in sorted(self.connections)]
+        if step == "gold":
+            names = ["kpi_delivery_by_state", "kpi_monthly_trend", "kpi_late_orders"]
+            names += [f"{n}_csv" for n in names] if self.gold_csv else []
+            text = "executive_summary_text" + ("_csv" if self.gold_csv else "")
+            return [self.paths.gold(n) for n in [*names, "executive_summary", text]]
+        return []
+
+    def _fingerprint(self, step: str) -> str:
+        """What a step's result depends on: its inputs as they are now, the rules and the options."""
+        below = {"silver": self.paths.bronze, "gold": self.paths.silver}
+        if step in below:
+            inputs = self.log.store.fingerprint(below[step])
+        else:
+            inputs = {n: frame_fingerprint(self.log.store, df) for n, df in sorted(self._need(step).items())}
+        options = {"mode": self.mode, "gold_csv": self.gold_csv, "exact_contracts": self.exact_contracts}
+        return digest(step, inputs, self.log.settings(self.rules, **options))
+
+    def run(self, steps=STEPS, force: bool = False) -> list[StepAudit]:
+        """Run the steps in order; those completed before from the same inputs are skipped unless ``force``."""
         steps = list(STEPS) if steps in ("all", None) else [steps] if isinstance(steps, str) else list(steps)
         unknown = [s for s in steps if s not in STEPS]
         if unknown:
             raise ValueError(f"unknown steps {unknown}; choose from {STEPS}")
         for step in steps:
-            t0 = time.perf_counter()
-            detail = getattr(self, step)()
-            self.audit.append(StepAudit(step, detail.pop("rows", None), time.perf_counter() - t0, detail))
+            started, t0 = time.time(), time.perf_counter()
+            for table in self._outputs(step) if step in ("bronze", "silver") else ():
+                recover(self.spark, table)
+            fingerprint = self._fingerprint(step)
+            done = None if force else self.log.completed(step, fingerprint)
+            if done:
+                entry = StepAudit(step, done["rows"], time.perf_counter() - t0, done["detail"], "skipped")
+            else:
+                try:
+                    detail = getattr(self, step)()
+                except Exception as e:
+                    failure = {"error": f"{type(e).__name__}: {e}"[:2000]}
+                    self.log.record(step, "failed", None, time.perf_counter() - t0, started, fingerprint, failure)
+                    raise
+                entry = StepAudit(step, detail.pop("rows", None), time.perf_counter() - t0, detail)
+                self.log.complete(step, fingerprint, self._outputs(step), entry.rows, detail)
+            self.log.record(step, entry.status, entry.rows, entry.seconds, started, fingerprint, entry.detail)
+            self.audit.append(entry)
         return self.audit
 
+    def audit_history(self) -> DataFrame:
+        """The stored audit: one row for each step of every run into this folder, of any session."""
+        return self.log.history()
+
     def audit_frame(self) -> DataFrame:
         rows = [(a.step, a.rows, float(a.seconds)) for a in self.audit]
         return self.spark.createDataFrame(rows, "step string, rows bigint, seconds double")

@@ -7,16 +7,16 @@
 * Gold CSV exports go through Spark's writer with one output file; the KPI
   tables are bounded by their group counts (states, months, severities), so a
   single writer task is safe.  Nothing is collected to the driver.
-* ``gated_write`` evaluates the quality checks first and writes only when all
-  pass (``QualityGateError`` otherwise).
+* ``gated_write`` writes staged, judges the table by the counts of that write
+  and publishes it only when all checks pass (``QualityGateError`` otherwise).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from haulage.operators.quality import gate, quality_checks
 from haulage.rules import DEFAULT_RULES, Rules
+from haulage.sinks.publish import publish_checked
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "snappy") -> None:
@@ -75,13 +75,8 @@ def gated_write(
     rules: Rules = DEFAULT_RULES,
     strict: bool = True,
     overwrite: str = "static",
-    checked: DataFrame | None = None,
 ) -> list[tuple[str, int, bool]]:
-    """Quality gate, then partitioned write.  Returns the check results.
-
-    ``checked`` is the frame that the gate looks at, if ``silver`` itself
-    carries an observation that only the write should feed.
-    """
-    results = gate(quality_checks(silver if checked is None else checked, rules, strict=strict))
-    write_partitioned(silver, path, overwrite=overwrite)
-    return results
+    """Partitioned write behind the quality gate, in one pass (see ``haulage.sinks.publish``).  Returns the check results."""
+    if overwrite not in ("static", "dynamic"):
+        raise ValueError("overwrite must be 'static' or 'dynamic'")
+    return publish_checked(silver, path, rules, strict=strict, whole=overwrite == "static")[0]

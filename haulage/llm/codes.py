@@ -31,8 +31,8 @@ PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024.0
-STEP = 4  # coefficients between two eliminations
-ROWS = 2048  # vectors compared at a time
+STEP = 8  # coefficients between two eliminations
+ROWS = 256  # vectors compared at a time, so that their sums stay in a core's cache
 SATURATION = 1 << 62  # integers beyond this (|x| over 4.5e15) count as this
 LONG_MAX = (1 << 63) - 1
 
@@ -80,7 +80,8 @@ def nearest(coefs: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
     first = min(STEP, width)
     for k in range(first):
         gap = coefs[:, k, None] - entries[None, :, k]
-        partial += gap * gap
+        gap *= gap
+        partial += gap
     rows = np.arange(n)
     guess = partial.argmin(1)
     rest = coefs[:, first:] - entries[guess, first:]

@@ -27,6 +27,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--orders")
     ap.add_argument("--customers")
     ap.add_argument("--geolocation")
+    ap.add_argument("--base", default=".", help="folder below which sources without a path are found (data_source/<name>.csv)")
     ap.add_argument("--out", required=True, help="base directory of the bronze/silver/gold layers")
     ap.add_argument("--mode", choices=("strict", "compat"), default="strict")
     ap.add_argument("--null-value", default=None, help="extra text treated as NULL in CSV sources")
@@ -46,7 +47,8 @@ def main(argv=None, spark=None) -> int:
     paths = {n: getattr(args, n) for n in ("orders", "customers", "geolocation") if getattr(args, n)}
     try:
         pipe = Pipeline.from_csv(
-            spark, paths, args.out, steps=steps, null_value=args.null_value, mode=args.mode, gold_csv=not args.no_csv
+            spark, paths, args.out, steps=steps, null_value=args.null_value, base_dir=args.base, mode=args.mode,
+            gold_csv=not args.no_csv,
         )
         for a in pipe.run(steps, force=args.force):
             print(json.dumps({"step": a.step, "status": a.status, "rows": a.rows, "seconds": round(a.seconds, 3)}))

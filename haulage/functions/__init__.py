@@ -3,6 +3,7 @@
 from haulage.functions.columns import (
     bucketize,
     bucketize_desc,
+    content_sums,
     count_where,
     month_label,
     out_of_bounds,
@@ -10,11 +11,13 @@ from haulage.functions.columns import (
     pct,
     thousands,
     parse_timestamp,
+    row_hashes,
 )
 
 __all__ = [
     "bucketize",
     "bucketize_desc",
+    "content_sums",
     "count_where",
     "month_label",
     "out_of_bounds",
@@ -22,4 +25,5 @@ __all__ = [
     "pct",
     "thousands",
     "parse_timestamp",
+    "row_hashes",
 ]

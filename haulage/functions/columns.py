@@ -111,3 +111,20 @@ def parse_timestamp(value, formats: Sequence[str], lenient: bool = False) -> Col
         v = F.regexp_replace(F.trim(v), r"\.[0-9]+$", "")
     parsed = [F.try_to_timestamp(v, F.lit(fmt)) for fmt in formats]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+
+
+def row_hashes(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a row; a NULL is told from every value and from a NULL elsewhere."""
+    cols = [F.col(f"`{c}`") for c in columns]
+    nulls = F.concat(*[c.isNull().cast("int").cast("string") for c in cols]) if cols else F.lit("")
+    return F.xxhash64(F.lit(1), nulls, *cols), F.xxhash64(F.lit(2), nulls, *reversed(cols))
+
+
+def content_sums(columns: Sequence[str]) -> list[Column]:
+    """Aggregates ``n``, ``a``, ``b`` over rows that are equal for equal multisets of rows, whatever their order."""
+    a, b = row_hashes(columns)
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(a.cast("decimal(38,0)")).cast("string").alias("a"),
+        F.sum(b.cast("decimal(38,0)")).cast("string").alias("b"),
+    ]

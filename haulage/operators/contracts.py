@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from haulage.functions import count_where
+from haulage.operators.sketches import THETA_LOG_ENTRIES, key_sketch, sketched_overlap
+from haulage.plans.materialise import materialise
 from haulage.schemas import JOIN_CONTRACTS, SOURCE_SPECS, JoinContract, SourceSpec, type_family
 
 
@@ -184,30 +186,105 @@ def key_overlap(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
 
 def approx_key_overlap(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, rsd: float = 0.01
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, log_entries: int = THETA_LOG_ENTRIES
 ) -> DataFrame:
-    """Sketch-based key overlap (one row), for profiling very large tables.
+    """Sketch-based key overlap with intervals (one row), for profiling very large tables.
 
-    Distinct counts come from HyperLogLog sketches, which aggregate map-side
-    and never shuffle keys; matching keys follow by inclusion-exclusion
-    (|L & R| = |L| + |R| - |L | R|), so they carry the sketches' error.
+    Each side becomes one theta sketch, aggregated map-side; keys are never
+    shuffled.  Common and left-only keys come from the sketches' intersection
+    and difference, so small overlaps are found as well (``haulage.operators.sketches``).
     """
-    lcol, rcol = _comparable(left, right, left_key, right_key)
-    lk = left.select(lcol.alias("_k"), F.lit(True).alias("_l"))
-    rk = right.select(rcol.alias("_k"), F.lit(False).alias("_l"))
-    both = lk.unionByName(rk).where(F.col("_k").isNotNull())
-    n_l = F.approx_count_distinct(F.when(F.col("_l"), F.col("_k")), rsd)
-    n_r = F.approx_count_distinct(F.when(~F.col("_l"), F.col("_k")), rsd)
-    n_u = F.approx_count_distinct(F.col("_k"), rsd)
-    stats = both.agg(n_l.alias("left_unique_keys"), n_r.alias("right_unique_keys"), n_u.alias("_union"))
-    matching = F.greatest(F.lit(0), F.col("left_unique_keys") + F.col("right_unique_keys") - F.col("_union"))
-    matching = F.least(matching, F.col("left_unique_keys"), F.col("right_unique_keys"))
-    return stats.select(
-        "left_unique_keys",
-        "right_unique_keys",
-        matching.alias("matching_keys"),
-        (F.col("left_unique_keys") - matching).alias("left_keys_no_match"),
-    )
+    if _same_family(left, right, left_key, right_key):
+        lcol, rcol = (F.col(left_key), F.col(right_key)) if _text_keys(left, left_key) else (_number(left_key), _number(right_key))
+    else:
+        # Keys of different types never match.
+        lcol, rcol = F.concat(F.lit("l"), F.col(left_key).cast("string")), F.concat(F.lit("r"), F.col(right_key).cast("string"))
+    return sketched_overlap(key_sketch(left, lcol, log_entries), key_sketch(right, rcol, log_entries))
+
+
+def _text_keys(df: DataFrame, key: str) -> bool:
+    return type_family(df.schema[key].dataType) not in ("integer", "float")
+
+
+def _number(key: str):
+    """A numeric key in one form for both sides: whole numbers by their digits, others by the double's text."""
+    c = F.col(key)
+    whole = c.try_cast("bigint")
+    return F.when(c == whole, whole.cast("string")).otherwise(c.cast("double").cast("string"))
+
+
+BLOOM_BITS = 16  # bits of filter a key: about one false "maybe" in 200
+BLOOM_BYTES = 32 << 20  # no filter beyond this is built
+BLOOM_TESTS = 5
+
+
+def _bloom_place(key, words: int):
+    """A key's place in a blocked filter: one 64-bit word and ``BLOOM_TESTS`` bits within it."""
+    text = key.cast("string")
+    word = F.pmod(F.xxhash64(F.lit(11), text), F.lit(words).cast("bigint"))
+    bits = F.xxhash64(F.lit(12), text)
+    mask = F.lit(0).cast("bigint")
+    for i in range(BLOOM_TESTS):
+        place = F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+    return word, mask
+
+
+def bloom_filter(keys: DataFrame, key: str, n_keys: int) -> tuple[DataFrame, int]:
+    """A blocked Bloom filter as a table ``(_word, _bits)``: one row a 64-bit word, OR-ed together in the executors.
+
+    Returns it with its number of words, which follows from the key count.
+    """
+    words = max(1, -(-n_keys * BLOOM_BITS // 64))
+    word, mask = _bloom_place(F.col(key), words)
+    rows = keys.where(F.col(key).isNotNull()).select(word.alias("_word"), mask.alias("_mask"))
+    return rows.groupBy("_word").agg(F.bit_or("_mask").alias("_bits")), words
+
+
+def unmatched_keys_filtered(
+    left: DataFrame,
+    right: DataFrame,
+    contract: JoinContract | str,
+    max_bytes: int = BLOOM_BYTES,
+) -> DataFrame:
+    """``unmatched_keys`` through a Bloom filter of the right keys; the same rows.
+
+    A left key that the filter does not hold has no partner and is answered in
+    the task that read it.  Only keys that the filter can't decide meet the
+    right side, in an exact anti join.  The filter has ``BLOOM_BITS`` bits a
+    right key (an HLL count, plus its error) and is broadcast, so one of more
+    than ``max_bytes`` is not built, and the plain anti join answers.
+    """
+    undecided, misses = split_by_filter(left, right, contract, max_bytes)
+    if misses is None:
+        return unmatched_keys(left, right, contract)
+    c, _, rk = _key_frames(left, right, contract)
+    return misses.distinct().unionByName(undecided.distinct().join(rk, on=c.left_key, how="left_anti"))
+
+
+def split_by_filter(
+    left: DataFrame, right: DataFrame, contract: JoinContract | str, max_bytes: int = BLOOM_BYTES
+) -> tuple[DataFrame, DataFrame | None]:
+    """Left keys (not yet distinct) as (those a filter of the right keys may hold, those it surely doesn't).
+
+    Without a filter (too large, or keys of different types) the second is None.
+    """
+    c, lk, rk = _key_frames(left, right, contract)
+    keys = left.select(c.left_key).where(F.col(c.left_key).isNotNull())
+    same = rk is not None and left.schema[c.left_key].dataType.typeName() == right.schema[c.right_key].dataType.typeName()
+    if not same:
+        return keys, None
+    n = right.agg(F.approx_count_distinct(c.right_key, 0.05).alias("n")).first()["n"]
+    n = int(n * 1.2) + 64
+    if n * BLOOM_BITS // 8 > max_bytes:
+        return keys, None
+    filter_rows, words = bloom_filter(right.select(c.right_key), c.right_key, n)
+    table = materialise(filter_rows, "key-filter")
+    word, mask = _bloom_place(F.col(c.left_key), words)
+    # At most ``max_bytes`` of bits and as much again of word numbers.
+    probed = keys.join(F.broadcast(table), word == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
+    return probed.where(maybe).select(c.left_key), probed.where(~maybe).select(c.left_key)
 
 
 def join_report(
@@ -216,7 +293,8 @@ def join_report(
     """Contract report (one row): can_join, issues, key statistics, match rate.
 
     ``exact=False`` uses sketches (``approx_key_overlap``) instead of a grouped
-    pass over distinct keys, and adds a column ``estimated`` that says so.
+    pass over distinct keys, and adds a column ``estimated`` that says so and
+    the interval of the matching keys.
     """
     c = _contract(contract)
     can_join, issues, keys_present = contract_issues(left, right, c)
@@ -228,7 +306,7 @@ def join_report(
     overlap = key_overlap if exact else approx_key_overlap
     stats = overlap(left, right, c.left_key, c.right_key)
     rate = F.try_divide(F.col("matching_keys").cast("double"), F.col("left_unique_keys").cast("double")) * F.lit(100.0)
-    marks = [] if exact else [F.lit(True).alias("estimated")]
+    marks = [] if exact else [F.lit(True).alias("estimated"), "matching_low", "matching_high"]
     return stats.select(
         F.lit(c.name).alias("contract"),
         F.lit(c.description).alias("description"),
@@ -276,9 +354,75 @@ def check_contract(
     return row
 
 
+def _key_text(df: DataFrame, key: str, other: DataFrame, other_key: str, side: str):
+    """A key as text that is equal for equal keys, so that contracts over keys of any type fit one table."""
+    if not _same_family(df, other, key, other_key):
+        return F.concat(F.lit(side), F.col(key).cast("string"))
+    return F.col(key).cast("string") if _text_keys(df, key) else _number(key)
+
+
+def key_overlaps(pairs) -> DataFrame:
+    """Key statistics of several (left, right, contract) in one job: a row for each position in ``pairs``.
+
+    All keys go, marked with their contract and side, through one aggregation
+    by (contract, key), which folds a hot key map-side, and one by contract.  A
+    table that serves several contracts is read once for all of them.
+    """
+    wanted: dict[int, tuple[DataFrame, list]] = {}
+    for i, (left, right, contract) in enumerate(pairs):
+        c = _contract(contract)
+        sides = (
+            (left, _key_text(left, c.left_key, right, c.right_key, "l"), True),
+            (right, _key_text(right, c.right_key, left, c.left_key, "r"), False),
+        )
+        for df, key, is_left in sides:
+            entry = F.struct(F.lit(i).alias("i"), key.alias("k"), F.lit(is_left).alias("l"))
+            wanted.setdefault(id(df), (df, []))[1].append(entry)
+    parts = [df.select(F.inline(F.array(*entries))) for df, entries in wanted.values()]
+    keys = parts[0]
+    for part in parts[1:]:
+        keys = keys.unionByName(part)
+    per_key = keys.where(F.col("k").isNotNull()).groupBy("i", "k").agg(
+        F.bool_or("l").alias("_l"), F.bool_or(~F.col("l")).alias("_r")
+    )
+    return per_key.groupBy("i").agg(
+        count_where(F.col("_l")).alias("left_unique_keys"),
+        count_where(F.col("_r")).alias("right_unique_keys"),
+        count_where(F.col("_l") & F.col("_r")).alias("matching_keys"),
+        count_where(F.col("_l") & ~F.col("_r")).alias("left_keys_no_match"),
+    )
+
+
+def check_contracts(pairs, exact: bool = True) -> list[dict]:
+    """``check_contract`` of every (left, right, contract), exact ones in a single job."""
+    pairs = [(left, right, _contract(c)) for left, right, c in pairs]
+    metadata = [contract_issues(*p) for p in pairs]
+    if not exact or not all(present for _, _, present in metadata):
+        return [check_contract(*p, exact=exact) for p in pairs]
+    counts = {r["i"]: r.asDict() for r in key_overlaps(pairs).collect()}
+    names = ("left_unique_keys", "right_unique_keys", "matching_keys", "left_keys_no_match")
+    reports = []
+    for i, ((_, _, c), (can_join, issues, _)) in enumerate(zip(pairs, metadata)):
+        stats = {n: counts.get(i, {}).get(n, 0) for n in names}
+        n_left = stats["left_unique_keys"]
+        rate = 100.0 * stats["matching_keys"] / n_left if n_left else None
+        reports.append(
+            {
+                "contract": c.name,
+                "description": c.description,
+                "can_join": can_join,
+                "issues": issues,
+                **stats,
+                "match_rate": f"{rate:,.1f}%" if n_left else "0%",
+                "match_rate_pct": rate,
+            }
+        )
+    return reports
+
+
 def require_contracts(pairs, exact: bool = True) -> list[dict]:
     """Check each (left, right, contract); raise ``ContractError`` if any cannot join."""
-    reports = [check_contract(l, r, c, exact=exact) for l, r, c in pairs]
+    reports = check_contracts(pairs, exact)
     bad = [r for r in reports if not r["can_join"]]
     if bad:
         raise ContractError("; ".join(f"{r['contract']}: {', '.join(r['issues'])}" for r in bad))

@@ -291,41 +291,62 @@ def build_silver(
     return derive(cleaned, rules)
 
 
+UNPARSED = "_unparsed"  # purchase text that is present but can't be parsed, carried beside the typed columns
+
+
+def with_unparsed(bronze: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Raw rows that keep, through ``build_silver``, whether their purchase text could be parsed."""
+    return bronze.withColumn(UNPARSED, parse_failures(["order_purchase_timestamp"], rules)["order_purchase_timestamp"])
+
+
+def _row_weight(df: DataFrame):
+    return F.col(ROWS) if ROWS in df.columns else F.lit(1)
+
+
+def _weighed(df: DataFrame, predicate=None):
+    """The rows that ``df`` stands for, or those of them that the predicate holds for."""
+    rows = _row_weight(df)
+    return F.coalesce(F.sum(rows if predicate is None else F.when(predicate, rows)), F.lit(0)).cast("bigint")
+
+
 def cleaning_report(
     bronze: DataFrame, silver: DataFrame, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
     """Null and outlier accounting across cleaning (one row).
 
-    ``bronze`` is the raw enriched table, ``silver`` its cleaned version; both
-    aggregates are one pass each and are stacked, not joined.
+    ``bronze`` is the raw enriched table, or its ``coordinate_counts``: the
+    report then evaluates the wide rows once, for ``silver``, which must have
+    been built ``with_unparsed``.  The two aggregates are stacked, not joined.
     """
     bad = F.coalesce(out_of_bounds("lat", "lng", rules), F.lit(False))
-    before = bronze.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        count_where(F.col("lat").isNull()).alias("geo_null_before"),
-        count_where(bad).alias("geo_outliers_before"),
-        count_where(
-            F.col("order_purchase_timestamp").isNotNull()
-            & parse_timestamp("order_purchase_timestamp", rules.timestamp_formats).isNull()
-        ).alias("purchase_parse_failures"),
-    )
+    before_cols = [
+        _weighed(bronze).alias("rows_before"),
+        _weighed(bronze, F.col("lat").isNull()).alias("geo_null_before"),
+        _weighed(bronze, bad).alias("geo_outliers_before"),
+    ]
+    counted = ROWS in bronze.columns
+    if not counted:
+        before_cols += [
+            c.alias("purchase_parse_failures") for c in parse_failure_counts(["order_purchase_timestamp"], rules)
+        ]
     after_cols = [
         F.count(F.lit(1)).alias("rows_after"),
         count_where(F.col("lat").isNull()).alias("geo_null_after"),
         count_where(bad).alias("geo_outliers_after"),
         count_where(F.col("order_approved_at").isNull()).alias("approved_null_kept"),
     ]
+    if counted:
+        after_cols.insert(0, count_where(F.col(UNPARSED)).alias("purchase_parse_failures"))
     if "geo_imputed" in silver.columns:
         after_cols.append(count_where(F.col("geo_imputed")).alias("geo_imputed_rows"))
-    after = silver.agg(*after_cols)
-    stacked = before.unionByName(after, allowMissingColumns=True)
+    stacked = bronze.agg(*before_cols).unionByName(silver.agg(*after_cols), allowMissingColumns=True)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def row_preservation(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before vs after a row-preserving step (one row)."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
+    """Rows before vs after a row-preserving step (one row); either side may be counted rows."""
+    b = before.agg(_weighed(before).alias("rows_before"))
+    a = after.agg(_weighed(after).alias("rows_after"))
     s = b.unionByName(a, allowMissingColumns=True).agg(
         F.max("rows_before").alias("rows_before"), F.max("rows_after").alias("rows_after")
     )

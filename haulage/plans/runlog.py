@@ -18,6 +18,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulage.functions import content_sums
 from haulage.sinks.store import Store
 
 AUDIT_SCHEMA = (
@@ -32,13 +33,7 @@ def digest(*parts) -> str:
 
 def content_fingerprint(df: DataFrame) -> str:
     """Digest of the rows, whatever their order: their number and two sums of 64-bit row hashes (one pass)."""
-    cols = [F.col(f"`{c}`") for c in sorted(df.columns)]
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64(*cols, F.lit(1)).cast("decimal(38,0)")).alias("a"),
-        F.sum(F.xxhash64(F.lit(2), *cols).cast("decimal(38,0)")).alias("b"),
-    ).first()
-    return digest("content", sorted(df.dtypes), row["n"], str(row["a"]), str(row["b"]))
+    return digest("content", sorted(df.dtypes), *df.agg(*content_sums(sorted(df.columns))).first())
 
 
 def frame_fingerprint(store: Store, df: DataFrame) -> str:

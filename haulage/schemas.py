@@ -94,6 +94,13 @@ class SourceSpec:
     type_hints: dict = field(default_factory=dict)
     path: str | None = None
 
+    def default_path(self, base_dir: str = ".") -> str:
+        """Where the source is expected when no path is given: its own path, or else the default below ``base_dir``.
+
+        Fixed value: ``data_source/<name>.csv``.
+        """
+        return self.path or f"{base_dir.rstrip('/') or '/'}/data_source/{self.name}.csv"
+
     def with_path(self, path: str) -> "SourceSpec":
         return SourceSpec(self.name, self.schema, self.required, dict(self.type_hints), path)
 

@@ -48,6 +48,12 @@ def _retired(path: str) -> str:
     return f"{parent}/_staging/{name}.retired"
 
 
+def state_path(path: str) -> str:
+    """Where a table's state (see ``haulage.plans.incremental``) is kept, published in the same commit as its rows."""
+    parent, name = _parts(path)
+    return f"{parent}/_state/{name}.json"
+
+
 def swap(store: Store, path: str, plan: dict) -> None:
     """Carry out a journal; every part is skipped if it has been done."""
     staged = staging_path(path)
@@ -66,6 +72,11 @@ def swap(store: Store, path: str, plan: dict) -> None:
                 store.delete(f"{path}/{part}")
                 store.rename(f"{staged}/{part}", f"{path}/{part}")
         store.delete(staged)
+    # What later writers need to know of the table; a publish that says nothing leaves nothing that is out of date.
+    if plan.get("state") is not None:
+        store.write_json(state_path(path), plan["state"])
+    else:
+        store.delete(state_path(path))
     store.delete(_journal(path))
 
 
@@ -91,23 +102,25 @@ def staged_partitions(store: Store, folder: str, depth: int) -> list[str]:
 
 
 def publish(
-    spark: SparkSession, path: str, partitions: Sequence[str] | None = None, removed: Sequence[str] = ()
+    spark: SparkSession, path: str, partitions: Sequence[str] | None = None, removed: Sequence[str] = (), state=None
 ) -> None:
     """Swap what is staged for ``path`` in: the whole table, or only ``partitions`` (and drop those ``removed``)."""
     store = Store(spark)
-    plan = {"partitions": None if partitions is None else list(partitions), "removed": list(removed)}
+    plan = {"partitions": None if partitions is None else list(partitions), "removed": list(removed), "state": state}
     store.write_json(_journal(path), plan)
     swap(store, path, plan)
 
 
-def publish_table(df: DataFrame, path: str, compression: str = "snappy", metrics: Sequence = ()) -> dict:
+def publish_table(
+    df: DataFrame, path: str, compression: str = "snappy", metrics: Sequence = (), state=None
+) -> dict:
     """Write an unpartitioned table staged and publish it; returns the observed ``rows`` and ``metrics``."""
     spark = df.sparkSession
     recover(spark, path)
     obs = Observation("publish")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
     observed.write.mode("overwrite").option("compression", compression).parquet(staging_path(path))
-    publish(spark, path)
+    publish(spark, path, state=state)
     return dict(obs.get)
 
 
@@ -122,6 +135,7 @@ def publish_checked(
     metrics: Sequence = (),
     drop: Sequence[str] = (),
     compression: str = "snappy",
+    state=None,
 ) -> tuple[list[tuple[str, int, bool]], dict]:
     """Write a partitioned table staged, judge it by the counts of that write, and publish or discard it.
 
@@ -153,8 +167,8 @@ def publish_checked(
         Store(spark).delete(staged)
         raise
     if whole and only is None:
-        publish(spark, path)
+        publish(spark, path, state=state)
     else:
         present = staged_partitions(Store(spark), staged, len(keys))
-        publish(spark, path, present, [p for p in (only or ()) if p not in present])
+        publish(spark, path, present, [p for p in (only or ()) if p not in present], state)
     return results, seen

@@ -69,12 +69,11 @@ def read_source(
     path: str | None = None,
     null_value: str | None = None,
     enforce_header: bool = True,
+    base_dir: str = ".",
 ) -> DataFrame:
-    """Read a CSV source with its declared schema (malformed fields -> NULL)."""
+    """Read a CSV source with its declared schema (malformed fields -> NULL); without a path, from its default below ``base_dir``."""
     s = _spec(spec)
-    p = path or s.path
-    if p is None:
-        raise ValueError(f"no path for source {s.name!r}")
+    p = path or s.default_path(base_dir)
     return _csv_reader(spark, s.schema, null_value, enforce_header).csv(p)
 
 
@@ -83,6 +82,7 @@ def read_source_quarantine(
     spec: SourceSpec | str,
     path: str | None = None,
     null_value: str | None = None,
+    base_dir: str = ".",
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows) of a CSV source.
 
@@ -95,7 +95,7 @@ def read_source_quarantine(
     which parses them all.
     """
     s = _spec(spec)
-    p = path or s.path
+    p = path or s.default_path(base_dir)
     schema = StructType(list(s.schema.fields) + [StructField(CORRUPT, StringType(), True)])
     df = _csv_reader(spark, schema, null_value, True).csv(p)
     cols = [f.name for f in s.schema.fields]
@@ -157,9 +157,10 @@ def connect(
     spec: SourceSpec | str,
     path: str | None = None,
     null_value: str | None = None,
+    base_dir: str = ".",
 ) -> DataFrame:
     """Checked connection to a source: the rows that fit its schema (see ``connect_checked``)."""
-    return connect_checked(spark, spec, path, null_value).rows
+    return connect_checked(spark, spec, path, null_value, base_dir).rows
 
 
 def connect_checked(
@@ -167,18 +168,19 @@ def connect_checked(
     spec: SourceSpec | str,
     path: str | None = None,
     null_value: str | None = None,
+    base_dir: str = ".",
 ) -> Connection:
-    """Checked connection to a source.
+    """Checked connection to a source, by default at its registered place below ``base_dir``.
 
-    Missing path -> ``FileNotFoundError``; header that lacks a required column
+    Missing file -> ``FileNotFoundError``; header that lacks a required column
     -> ``ValueError``; otherwise a ``Connection``.  Malformed rows are in its
     quarantine and not among its rows.
     """
     from haulage.operators.contracts import validate_schema
 
     s = _spec(spec)
-    p = path or s.path
-    if p is None or not path_exists(spark, p):
+    p = path or s.default_path(base_dir)
+    if not path_exists(spark, p):
         raise FileNotFoundError(f"source file does not exist: {p}")
     header = spark.read.option("header", "true").option("inferSchema", "false").csv(p)
     result = validate_schema(header, s)

@@ -205,3 +205,29 @@ def test_harmonize_keeps_all_64_bits(spark):
     df = spark.createDataFrame([("9007199254740993",), ("12.7",), ("junk",), (None,)], "v string")
     assert [r[0] for r in C.harmonize(df, "v", "int64").collect()] == [9007199254740993, 12, None, None]
     assert [r[0] for r in C.harmonize(df, "v", "int64", fill=0).collect()] == [9007199254740993, 12, 0, 0]
+
+
+def test_contracts_checked_together_equal_single_checks(spark):
+    """One job for both contracts gives what each gives alone, for numbers, texts, mixed types, NULLs and no rows."""
+    from haulage.schemas import JoinContract
+    from haulage.sources.testdata import source_frames
+
+    src = source_frames(spark, "/root/testdata/sf0.001")
+    a = spark.createDataFrame([(1, "1"), (2, None), (None, "x"), (2, "x")], "n int, t string")
+    b = spark.createDataFrame([(1.0, "x"), (2.5, "2.5"), (9.0, None)], "d double, t string")
+    number = JoinContract("number", "n", "d", "int64", "")
+    text = JoinContract("text", "t", "t", "object", "")
+    mixed = JoinContract("mixed", "t", "d", "object", "")
+    pairs = [
+        (src["orders"], src["customers"], "orders_vs_customers"),
+        (src["customers"], src["geolocation"], "customers_vs_geolocation"),
+        (a, b, number),
+        (a, b, text),
+        (a, b, mixed),
+        (a.limit(0), b, text),
+        (a.limit(0), b.limit(0), number),
+    ]
+    together = C.check_contracts(pairs)
+    for pair, report in zip(pairs, together):
+        assert report == C.check_contract(*pair)
+    assert C.check_contracts([(a.drop("t"), b, text), pairs[2]]) == [C.check_contract(a.drop("t"), b, text), together[2]]

@@ -156,3 +156,21 @@ def test_cluster_needs_a_checkpoint_folder():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(session)
+
+
+def test_sources_without_a_path_are_found_below_the_base_folder(spark, tmp_path):
+    from haulage.plans.pipeline import Pipeline
+    from haulage.schemas import SOURCE_SPECS
+    from haulage.sources.readers import connect, read_source
+    from haulage.sources.testdata import source_frames
+
+    base = str(tmp_path / "base")
+    assert SOURCE_SPECS["orders"].default_path("/x/") == "/x/data_source/orders.csv"
+    assert SOURCE_SPECS["orders"].with_path("/y.csv").default_path("/x") == "/y.csv"
+    with pytest.raises(FileNotFoundError):
+        connect(spark, "orders", base_dir=base)
+    for name, df in source_frames(spark, "/root/testdata/sf0.001").items():
+        df.coalesce(1).write.option("header", "true").csv(SOURCE_SPECS[name].default_path(base))
+    assert connect(spark, "orders", base_dir=base).count() == read_source(spark, "orders", base_dir=base).count() == 1500
+    pipe = Pipeline.from_csv(spark, None, str(tmp_path / "out"), steps="bronze", base_dir=base)
+    assert pipe.run("bronze")[0].rows == 1500

@@ -35,22 +35,28 @@ class LanguageModel:
     gram_logs: np.ndarray
     floor: np.ndarray  # of a character that no language has seen
 
-    def word_scores(self, word: str) -> np.ndarray:
-        """Per-language log score of one lower-case word: its own frequency, or its longest known n-grams."""
+    def word_scores(self, word: str) -> tuple[np.ndarray, int]:
+        """Per-language log score of one lower-case word, and how many of its places (characters and end) are known.
+
+        The score is the word's own frequency, or that of its longest known
+        n-grams.  A place is known in a known word, or by an n-gram with the two
+        characters before it (or all of the word so far).
+        """
         row = self.words.get(word)
         if row is not None:
-            return self.word_logs[row]
-        total = np.zeros(len(self.langs))
+            return self.word_logs[row], len(word) + 1
+        total, known = np.zeros(len(self.langs)), 0
         padded = f"\x02{word}\x03"
         for end in range(2, len(padded) + 1):
             for n in range(min(ORDERS, end), 0, -1):
                 row = self.grams.get(padded[end - n : end])
                 if row is not None:
                     total += self.gram_logs[row]
+                    known += n >= min(3, end)
                     break
             else:
                 total += self.floor
-        return total
+        return total, known
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +122,7 @@ def train(
     lang_col: str = "lang",
     id_col: str = "doc_id",
     rows_per_lang: int = ROWS_PER_LANG,
-) -> LanguageModel:
+) -> PackedModel:
     """Learn from the text and language of ``labelled`` (rows with a null in either teach nothing).
 
     The sample is bounded by ``rows_per_lang`` (a classifier's training set)
@@ -138,24 +144,52 @@ def train(
         .where(F.col("_rank") <= F.when(F.col("ord") == 0, WORDS_PER_LANG).otherwise(GRAMS_PER_LANG))
         .drop("_rank")
     )
-    return build_model(kept.toPandas())
-
-
-def build_model(table: pd.DataFrame) -> LanguageModel:
-    langs = sorted(table["lang"].unique())
-    column = {lang: i for i, lang in enumerate(langs)}
-
-    def counts(part: pd.DataFrame) -> tuple[dict[str, int], np.ndarray]:
-        keys = sorted(part["gram"].unique())
-        rows = {g: i for i, g in enumerate(keys)}
-        out = np.zeros((len(keys), len(langs)))
-        out[part["gram"].map(rows).to_numpy(int), part["lang"].map(column).to_numpy(int)] = part["n"]
+    return PackedModel(*_packed(kept))
+
+
+def _packed(counts: DataFrame) -> tuple[list[str], bytes]:
+    """Languages and counts as one Arrow stream: a few MB by the tables' capacities; the driver builds no lookups."""
+    table = counts.select("lang", F.col("ord").cast("byte").alias("ord"), "gram", "n").toArrow()
+    coded = table.column("lang").combine_chunks().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    names = coded.dictionary.to_pylist()
+    langs = sorted(names)
+    place = np.array([langs.index(n) for n in names], np.int16)
+    table = table.set_column(0, "lang", pa.array(place[coded.indices.to_numpy()] if names else place, pa.int16()))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return langs, sink.getvalue().to_pybytes()
+
+
+class PackedModel:
+    """A trained model as its counts; unpickled, as in a task, it is a ``LanguageModel``."""
+
+    def __init__(self, langs: list[str], packed: bytes):
+        self.langs, self.packed = langs, packed
+
+    def __reduce__(self):
+        return build_model, (self.langs, self.packed)
+
+
+def build_model(langs: list[str], packed: bytes) -> LanguageModel:
+    table = pa.ipc.open_stream(packed).read_all()
+    order = table.column("ord").to_numpy()
+
+    def counts(part: pa.Table) -> tuple[dict[str, int], np.ndarray]:
+        coded = part.column("gram").combine_chunks().dictionary_encode()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        rows = {g: i for i, g in enumerate(coded.dictionary.to_pylist())}
+        out = np.zeros((len(rows), len(langs)))
+        out[coded.indices.to_numpy(), part.column("lang").to_numpy()] = part.column("n").to_numpy()
         return rows, out
 
-    words, by_word = counts(table[table["ord"] == 0])
+    words, by_word = counts(table.filter(pa.array(order == 0)))
     total = by_word.sum(0)
     word_logs = np.log((by_word + 0.5) / (total + 0.5 * (len(words) + 1)))
-    grams, by_gram = counts(table[table["ord"] > 0])
+    grams, by_gram = counts(table.filter(pa.array(order > 0)))
     singles = [i for g, i in grams.items() if len(g) == 1]
     alphabet = len(singles) + 1
     letters = by_gram[singles].sum(0)
@@ -168,22 +202,27 @@ def build_model(table: pd.DataFrame) -> LanguageModel:
 class _Scorer:
     """Scores texts with one model; a bounded cache holds the tokens scored last."""
 
-    def __init__(self, model: LanguageModel):
-        self.model = model
+    def __init__(self, model: LanguageModel, min_known: float):
+        self.model, self.min_known = model, min_known
         self._fresh()
 
     def _fresh(self):
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.model.langs)))
         self.has_letter = np.zeros(1024, bool)
+        self.places = np.zeros((1024, 2), np.int64)  # of a token: known places, all places
 
     def _row(self, token: str) -> int:
         at = len(self.rows)
         if at == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             self.has_letter = np.concatenate([self.has_letter, np.zeros_like(self.has_letter)])
+            self.places = np.concatenate([self.places, np.zeros_like(self.places)])
         found = LETTERS.findall(token)
-        self.table[at] = sum((self.model.word_scores(w) for w in found), np.zeros(len(self.model.langs)))
+        for word in found:
+            scores, known = self.model.word_scores(word)
+            self.table[at] += scores
+            self.places[at] += known, len(word) + 1
         self.has_letter[at] = bool(found)
         self.rows[token] = at
         return at
@@ -199,16 +238,23 @@ class _Scorer:
             return UNKNOWN, 0.0, False
         if not self.model.langs:
             return UNKNOWN, 0.0, True
+        if self.min_known > 0:
+            known, places = self.places[ids].sum(0)
+            if known < self.min_known * places:
+                return UNKNOWN, 0.0, True
         logs = self.table[ids].sum(0)
         best = int(np.argmax(logs))
         return self.model.langs[best], float(1.0 / np.exp(np.minimum(logs - logs[best], 0)).sum()), True
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: PackedModel, text_col: str = "text", min_known: float = 0.0) -> DataFrame:
     """``docs`` with ``lang_pred`` (a learned language or ``und``), ``score`` (posterior, 0 to 1) and ``has_letter``.
 
     Only the text is read.  ``und`` with score 0 stands for a text that is
     null, empty or without a letter, and for every text if nothing was learned.
+    With ``min_known`` it also stands for a text that the model can't place: of
+    its words' places (see ``LanguageModel.word_scores``) a smaller share is
+    known in any language.
     Ties go to the language first in code point order.  Texts are scored whole.
     Columns that already have one of the three names are replaced.
     """
@@ -216,7 +262,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     @F.pandas_udf("lang_pred string, score double, has_letter boolean")
     def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _Scorer(shared.value)
+        scorer = _Scorer(shared.value, min_known)
         for part in texts:
             yield pd.DataFrame([scorer(t) for t in part], columns=["lang_pred", "score", "has_letter"])
 

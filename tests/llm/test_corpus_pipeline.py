@@ -41,3 +41,21 @@ def test_stages_survive_odd_rows(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         df = stage(spark, df, SF)
     assert {r["doc_id"] for r in df.collect()} <= {2, 3}
+
+
+def test_language_stage_rejects_what_the_model_cannot_place(spark, docs):
+    import random
+
+    rng = random.Random(7)
+    table = duckdb.sql("SELECT doc_id, text, lang FROM read_parquet('/root/testdata/sf0.01/documents.parquet')").fetchall()
+    odd = {
+        -1: "привет мир " * 20,
+        -2: "これは日本語の文章です",
+        -3: " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(8)) for _ in range(40)),
+        -4: "12 34 !", -5: "", -6: None,
+    }
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs([*table, *((i, t) for i, t in odd.items())]), SF).collect()}
+    clean = {i for i, t, _ in table if t and re.search(r"[^\W\d_]", t)}
+    assert kept == clean and len({lang for i, _, lang in table if i in kept}) >= 4
+    unlabelled = docs([(1, "some words"), (2, "\u043f\u0440\u0438\u0432\u0435\u0442"), (3, "12")])
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, unlabelled, SF).collect()} == {1, 2}

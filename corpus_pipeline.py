@@ -16,10 +16,24 @@ from haulage.llm.common import read_table, scratch_table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+# Share of a text's places that the language model must know.  Running text of a learned language has over 0.85,
+# random letters of a learned alphabet below 0.57, and a script that no labelled document has 0.
+MIN_KNOWN = 0.6
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (null, empty, digits or signs only) are rejected; all others stay."""
+    """Documents that the identifier can't place in a learned language are rejected.
+
+    These are null and empty texts, texts without a letter, and letters that no
+    learned language writes so (other scripts, gibberish).  Without any
+    labelled document nothing can be placed, and all texts with a letter stay.
+    Texts of any length are judged whole; repeated rows share their verdict;
+    columns other than those of ``documents`` are dropped.
+    """
     model = language.train(docs)
-    return language.identify(docs.select(*COLUMNS), model).where("has_letter").select(*COLUMNS)
+    judged = language.identify(docs.select(*COLUMNS), model, min_known=MIN_KNOWN)
+    placed = F.col("lang_pred") != language.UNKNOWN if model.langs else F.col("has_letter")
+    return judged.where(placed).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,8 @@ from haulage.plans.pipeline import Pipeline
 from haulage.rules import DEFAULT_RULES as R
 from haulage.schemas import BRONZE_COLUMNS, CUSTOMERS_VS_GEOLOCATION, ORDERS_VS_CUSTOMERS, TIMESTAMP_COLUMNS
 from haulage.session import ensure_checkpoint_dir
+from haulage.sinks.buckets import colocate
+from haulage.sinks.clustering import compact, write_clustered
 from haulage.sources import profile as P
 from haulage.sources.testdata import source_frames
 
@@ -36,6 +38,8 @@ TREND_YEARS = (2000, 2001)
 RECENT_FROM_YEAR = 2000
 MIN_ORDERS = 100
 SCORECARD_STATES = ("NATION_3", "NATION_12", "NATION_20")
+COLOCATED_BUCKETS = 8
+CLUSTERED_FILE_ROWS = 1000
 LOOKUP_METRICS = ("total_orders", "on_time_orders")
 
 
@@ -296,6 +300,15 @@ def bronze_enriched_strict(spark, sf):
     return _bronze_view(_bronze(spark, sf, "strict"))
 
 
+def bronze_colocated(spark, sf):
+    """Strict bronze over sources that were written bucketed by customer: the order rows are not moved."""
+    src = _src(spark, sf)
+    geo = materialise(B.consolidate_geo(src["geolocation"]), "geo")
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/colocated-{uuid.uuid4().hex}"
+    orders, customers = colocate(src["orders"], src["customers"], base, COLOCATED_BUCKETS)
+    return _bronze_view(B.enrich(orders, customers, geo, mode="strict"))
+
+
 def bronze_lineage(spark, sf):
     b = B.add_lineage(_bronze(spark, sf), R)
     return b.select("order_id", "data_source", F.col("ingestion_timestamp").isNotNull().alias("has_ingestion_time"))
@@ -483,6 +496,14 @@ def silver_incremental(spark, sf):
     return _silver_view(spark.read.parquet(_Grown(spark, sf).path))
 
 
+def silver_clustered(spark, sf):
+    """Silver in files clustered by state and day, then compacted, as read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}/silver"
+    write_clustered(_silver(spark, sf), path, file_rows=CLUSTERED_FILE_ROWS)
+    compact(spark, path)
+    return _silver_view(spark.read.parquet(path))
+
+
 def silver_changed_months(spark, sf):
     """The months that the refresh rebuilt, with their rows before and after."""
     grown = _Grown(spark, sf)
@@ -624,5 +645,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         schema_findings_failing,
         harmonize_and_recheck,
         run_audit,
+        bronze_colocated,
+        silver_clustered,
     )
 }

@@ -456,6 +456,7 @@ FROM geo_cons""",
         "orders_customers": _q(OC, select="SELECT * FROM oc"),
         "bronze_enriched": _q(GEO_CONS, OC, BRONZE_C, select=_bronze_select("bronze_c")),
         "bronze_enriched_strict": _q(GEO_CONS, OC, BRONZE_S, select=_bronze_select("bronze_s")),
+        "bronze_colocated": _q(GEO_CONS, OC, BRONZE_S, select=_bronze_select("bronze_s")),
         "bronze_lineage": _q(
             GEO_CONS,
             OC,
@@ -734,6 +735,7 @@ UNION ALL SELECT 'after', true, '', left_unique_keys, right_unique_keys, matchin
 UNION ALL SELECT 'run-2', step, 'skipped', rows FROM steps""",
         ),
         "silver_incremental": _q(*SILVER_CTES, select=_silver_select("silver")),
+        "silver_clustered": _q(*SILVER_CTES, select=_silver_select("silver")),
         "silver_changed_months": _q(
             *SILVER_CTES,
             select=f"""SELECT order_year, order_month,

@@ -95,3 +95,12 @@ class Store:
         if len(found) != len(wanted):
             raise FileNotFoundError(f"{len(wanted) - len(found)} input files are not there any more")
         return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+    def sizes(self, path: str) -> list[tuple[str, int]]:
+        """Names and lengths of the files below a folder."""
+        fs, p = self._at(path)
+        files, found = fs.listFiles(p, True), []
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().getName(), f.getLen()))
+        return found

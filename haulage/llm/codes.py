@@ -272,3 +272,51 @@ def with_label_error(coded: DataFrame) -> DataFrame:
     sums = scratch_table(sums, "label-sums")
     capped = F.least(F.col("_sum"), F.lit(LONG_MAX).cast("decimal(38,0)")).cast("long")
     return rows.join(sums, F.col("label").eqNullSafe(F.col("_label"))).withColumn("label_error", capped).drop("_label", "_sum")
+
+
+def oracle_sql() -> str:
+    """The query's rows as DuckDB SQL, for vectors of one width: distances by dot products of whole numbers in doubles."""
+    distance = "xx + ee - 2 * list_dot_product(x, y)"
+
+    def assigned(k: int) -> str:
+        return f"""
+assigned{k} AS (
+  SELECT rid, p, min(struct_pack(d := {distance}, e := e)) AS best FROM parts JOIN books{k} USING (p) GROUP BY rid, p
+)"""
+
+    def updated(k: int) -> str:
+        return f"""
+means{k} AS (
+  SELECT p, e, list(m ORDER BY pos) AS y FROM (
+    SELECT p, a.best.e AS e, pos, floor(sum(x[pos]) / count(*)) AS m
+    FROM assigned{k - 1} a JOIN parts USING (rid, p), positions GROUP BY ALL) GROUP BY p, e
+),
+books{k} AS (
+  SELECT p, e, y, list_dot_product(y, y) AS ee
+  FROM (SELECT b.p, b.e, coalesce(m.y, b.y) AS y FROM books{k - 1} b LEFT JOIN means{k} m ON b.p = m.p AND b.e = m.e)
+)"""
+
+    steps = ",".join(assigned(k) + "," + updated(k + 1) for k in range(ROUNDS))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({int(SCALE)} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+numbered AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rid, *, len(v) // {PARTS} AS width FROM kept),
+parts AS (
+  SELECT rid, p, x, list_dot_product(x, x) AS xx
+  FROM (SELECT rid, p, v[p * width + 1 : (p + 1) * width] AS x FROM numbered, range({PARTS}) t(p))
+),
+positions AS (SELECT pos + 1 AS pos FROM range((SELECT max(width) FROM numbered)) t(pos)),
+books0 AS (SELECT p, rid - 1 AS e, x AS y, xx AS ee FROM parts WHERE rid <= {ENTRIES}),{steps},{assigned(ROUNDS)},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM assigned{ROUNDS} GROUP BY rid
+),
+digest AS (
+  SELECT sha256(string_agg(CAST(CAST(y[pos] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, pos)) AS codebooks_sha256
+  FROM books{ROUNDS}, positions
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN numbered USING (rid), digest""".strip()

@@ -139,4 +139,6 @@ ORACLES = {
     "op2_near_dedup": neardup.oracle_sql(),
     "op5_license_scan": license.oracle_sql(),
     "op10_mixing": mixing.ORACLE,
+    "op11_importance_resampling": resample.oracle_sql(),
+    "op13_vector_codes": codes.oracle_sql(),
 }

@@ -339,3 +339,71 @@ def resample(
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     scored = weigh(narrow, gains).withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
     return draw_highest(scratch_table(scored, "scored"), F.col("n_words") >= min_words, share)
+
+
+def oracle_sql() -> str:
+    """The query's rows as DuckDB SQL; the checksums come from a table of (distance from the end, byte) as well."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE
+texts AS (
+  SELECT true AS doc, row_number() OVER () AS rid, doc_id, text FROM documents
+  UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark
+),
+worded AS (
+  SELECT doc, rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM texts
+),
+features AS (
+  SELECT doc, rid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM worded
+),
+names AS (SELECT f, octet_length(encode(f)) AS size, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+bits(b, k, v) AS (
+  SELECT CAST(i AS BIGINT), 0, CAST(i AS BIGINT) FROM range(256) t(i)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+),
+step AS (SELECT b, v FROM bits WHERE k = 8),
+longest AS (SELECT coalesce(max(size), 0) AS n FROM names),
+places(d, b, v) AS (
+  SELECT CAST(0 AS BIGINT), b, v FROM step
+  UNION ALL SELECT d + 1, p.b, xor(p.v >> 8, s.v) FROM places p JOIN step s ON s.b = p.v & 255 WHERE d < (SELECT n FROM longest)
+),
+lengths(n, v) AS (
+  SELECT CAST(0 AS BIGINT), CAST(4294967295 AS BIGINT)
+  UNION ALL SELECT n + 1, xor(l.v >> 8, s.v) FROM lengths l JOIN step s ON s.b = l.v & 255 WHERE n < (SELECT n FROM longest)
+),
+bytes AS (
+  SELECT f, size, size - 1 - i AS d, CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT) AS b
+  FROM (SELECT f, size, h, unnest(range(size)) AS i FROM names)
+),
+linear AS (SELECT f, any_value(size) AS size, bit_xor(p.v) AS v FROM bytes JOIN places p USING (d, b) GROUP BY f),
+buckets AS (SELECT f, xor(xor(l.v, c.v), 4294967295) % {BUCKETS} AS bucket FROM linear l JOIN lengths c ON c.n = l.size),
+placed AS (SELECT doc, rid, bucket FROM features JOIN buckets USING (f)),
+counts AS (
+  SELECT b.bucket, count(*) FILTER (WHERE doc) AS s, count(*) FILTER (WHERE NOT doc) AS t
+  FROM range({BUCKETS}) b(bucket) JOIN placed USING (bucket) GROUP BY 1
+),
+totals AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(c.t + 1 AS DOUBLE) * CAST(a.s + {BUCKETS} AS DOUBLE)
+         / (CAST(c.s + 1 AS DOUBLE) * CAST(a.t + {BUCKETS} AS DOUBLE)))) AS BIGINT) AS gain
+  FROM counts c, totals a
+),
+weights AS (
+  SELECT rid, count(*) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM placed JOIN gains USING (bucket) WHERE doc GROUP BY rid
+),
+scored AS (
+  SELECT w.rid, doc_id, len(w.w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(
+           sha256('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM worded w LEFT JOIN weights USING (rid) WHERE w.doc
+),
+ranked AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_words, n_features, weight) AS rank
+  FROM scored WHERE n_words >= {MIN_WORDS}
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= {SHARE} * (SELECT count(*) FROM ranked) // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (rid)""".strip()

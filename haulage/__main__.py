@@ -32,6 +32,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--mode", choices=("strict", "compat"), default="strict")
     ap.add_argument("--null-value", default=None, help="extra text treated as NULL in CSV sources")
     ap.add_argument("--no-csv", action="store_true", help="write gold as Parquet only")
+    ap.add_argument("--incremental", action="store_true", help="rewrite only the silver months that changed; KPIs from deltas")
     ap.add_argument("--force", action="store_true", help="run steps that an earlier run completed as well")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     return ap.parse_args(argv)
@@ -48,7 +49,7 @@ def main(argv=None, spark=None) -> int:
     try:
         pipe = Pipeline.from_csv(
             spark, paths, args.out, steps=steps, null_value=args.null_value, base_dir=args.base, mode=args.mode,
-            gold_csv=not args.no_csv,
+            gold_csv=not args.no_csv, incremental=args.incremental,
         )
         for a in pipe.run(steps, force=args.force):
             print(json.dumps({"step": a.step, "status": a.status, "rows": a.rows, "seconds": round(a.seconds, 3)}))

@@ -33,6 +33,9 @@ from haulage.sinks.store import Store
 
 MONTH = ("order_year", "order_month")
 LINEAGE = ("ingestion_timestamp",)
+# Means are summed in whatever order tasks finish, so the last bits of a coordinate differ between two builds of the
+# same rows.  Digests see coordinates on a binary grid of 2**-30 degrees (0.1 mm).
+GRID = float(2**30)
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: how Hive-style folders name a NULL
 
 
@@ -58,6 +61,8 @@ def partition_values(name: str) -> tuple:
 def month_digests(silver: DataFrame, ignore: Sequence[str] = LINEAGE) -> dict[str, list]:
     """Digest of every month by partition name (one small row a month reaches the driver)."""
     columns = sorted(c for c in silver.columns if c not in ignore)
+    measured = [c for c, kind in silver.dtypes if kind in ("double", "float") and c in columns]
+    silver = silver.withColumns({c: F.round(F.col(c) * F.lit(GRID)) + F.lit(0.0) for c in measured})
     rows = silver.groupBy(*MONTH).agg(*content_sums(columns)).collect()
     return {partition_name([r[k] for k in MONTH]): [r["n"], r["a"], r["b"]] for r in rows}
 

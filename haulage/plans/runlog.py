@@ -3,15 +3,17 @@
 A manifest says from which inputs (a fingerprint) a step was last completed
 and what its outputs looked like then.  A step whose inputs and outputs still
 look so has nothing to do.  The fingerprint covers the files that a frame
-reads (names, lengths, change times; no data is read), its columns, and the
-settings that change results.  A frame that reads no files is fingerprinted by
-its content: row count and order-free sums of row hashes, in one pass.
+reads (names, lengths, change times; no data is read), its plan over them, and
+the settings that change results.  A frame that reads anything but files is
+fingerprinted by its content: row count and order-free sums of row hashes, in
+one pass.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from dataclasses import asdict
 
@@ -36,11 +38,24 @@ def content_fingerprint(df: DataFrame) -> str:
     return digest("content", sorted(df.dtypes), *df.agg(*content_sums(sorted(df.columns))).first())
 
 
+def plan_text(df: DataFrame) -> str:
+    """The analysed plan in full, without the numbers that a session gives its columns."""
+    conf, limit = df.sparkSession.conf, "spark.sql.debug.maxToStringFields"
+    before = conf.get(limit)
+    conf.set(limit, "1000000")  # otherwise long lists are cut short
+    try:
+        plan = df._jdf.queryExecution().analyzed().treeString()
+    finally:
+        conf.set(limit, before)
+    return re.sub(r"#\d+L?", "", plan)
+
+
 def frame_fingerprint(store: Store, df: DataFrame) -> str:
-    files = df.inputFiles()
-    if not files:
+    """Digest of the files that a frame reads and of what it does with them; of its content if it reads anything else."""
+    files, plan = df.inputFiles(), plan_text(df)
+    if not files or re.search(r"LocalRelation|LogicalRDD|ExternalRDD|InMemoryRelation|\bRange \(", plan):
         return content_fingerprint(df)
-    return digest("files", df.dtypes, store.listed(files))
+    return digest("files", df.dtypes, plan, store.listed(files))
 
 
 class RunLog:

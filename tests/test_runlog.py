@@ -98,3 +98,28 @@ def test_frames_without_files_are_fingerprinted_by_content(spark):
     assert content_fingerprint(a) == content_fingerprint(b)
     for other in ([(1, "x"), (2, None)], [(1, "x"), (2, None), (2, "")], [(1, None), (2, "x"), (2, None)], []):
         assert content_fingerprint(spark.createDataFrame(other, "k long, v string")) != content_fingerprint(a)
+
+
+def test_other_plans_over_the_same_files_are_other_inputs(spark, tmp_out):
+    from pyspark.sql import functions as F
+
+    from haulage.plans.runlog import frame_fingerprint
+    from haulage.sinks.store import Store
+
+    store = Store(spark)
+    orders = source_frames(spark, SF)["orders"]
+    known = frame_fingerprint(store, orders)
+    assert known == frame_fingerprint(store, source_frames(spark, SF)["orders"])
+    for other in (
+        orders.where("order_id > '5'"),
+        orders.where("order_id > '6'"),
+        orders.withColumn("order_status", F.lit("x")),
+        orders.withColumn("order_status", F.lit("y")),
+        orders.unionByName(spark.createDataFrame([orders.first()], orders.schema)),
+    ):
+        assert frame_fingerprint(store, other) != known
+    some = orders.where("order_id > '5'")
+    assert frame_fingerprint(store, some) != frame_fingerprint(store, orders.where("order_id > '6'"))
+    # Rows of the session itself are told apart by what they hold.
+    added = [orders.unionByName(spark.createDataFrame([(str(i),) + tuple(orders.first())[1:]], orders.schema)) for i in (1, 2)]
+    assert frame_fingerprint(store, added[0]) != frame_fingerprint(store, added[1])

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import count_where
+from haulage.plans.materialise import materialise
 from haulage.rules import DEFAULT_RULES, Rules
 from haulage.schemas import BRONZE_COLUMNS
 
@@ -62,6 +63,97 @@ def consolidate_geo(
     return cons.select(*cols)
 
 
+CITY_BITS = 16
+
+
+def city_summary(
+    geo: DataFrame,
+    zip_col: str = "geolocation_zip_code_prefix",
+    state_col: str = "geolocation_state",
+    city_col: str = "geolocation_city",
+    bits: int = CITY_BITS,
+) -> DataFrame:
+    """Rows per (zip, state) and hash bucket of the city: at most 2**bits rows a group, however many cities it has.
+
+    Summaries of parts of the data are merged by adding their counts.  A
+    bucket's count is an upper bound for each of its cities.
+    """
+    return (
+        geo.where(F.col(city_col).isNotNull())
+        .groupBy(F.col(zip_col).alias("_zip"), F.col(state_col).alias("_state"), _city_bucket(city_col, bits).alias("_bucket"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+
+
+def _city_bucket(city_col: str, bits: int):
+    return F.pmod(F.xxhash64(city_col), F.lit(1 << bits).cast("bigint"))
+
+
+def most_common_city(
+    geo: DataFrame,
+    zip_col: str = "geolocation_zip_code_prefix",
+    state_col: str = "geolocation_state",
+    city_col: str = "geolocation_city",
+    bits: int = CITY_BITS,
+) -> DataFrame:
+    """``_zip, _state, city``: the most common city of each group (ties: smallest name), from a bounded summary.
+
+    The cities of each group's fullest bucket are counted exactly; the best of
+    them is a lower bound for the winner.  Only buckets that hold at least as
+    many rows can hold a better or equal city, and their cities are counted in
+    a second pass.  Cities of all other buckets are never grouped by name, so
+    a zip with a million rare cities and a common one costs its bucket counts.
+    Exact for every distribution; where no city stands out, most buckets
+    stay candidates and all names are counted.
+    """
+    keys = ["_zip", "_state", "_bucket"]
+    summary = materialise(city_summary(geo, zip_col, state_col, city_col, bits), "city-summary")
+    fullest = F.max_by("_bucket", F.struct("_rows", (-F.col("_bucket")).alias("b"))).alias("_bucket")
+    top = summary.groupBy("_zip", "_state").agg(fullest)
+    named = geo.where(F.col(city_col).isNotNull()).select(
+        F.col(zip_col).alias("_zip"), F.col(state_col).alias("_state"), F.col(city_col).alias("city"),
+        _city_bucket(city_col, bits).alias("_bucket"),
+    )
+
+    def counted(buckets: DataFrame) -> DataFrame:
+        wanted = buckets.select(*[F.col(k).alias(f"{k}_w") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"{k}_w")) for k in keys]
+        rows = named.join(wanted, same[0] & same[1] & same[2], "left_semi")
+        return rows.groupBy(*keys, "city").agg(F.count(F.lit(1)).alias("_n"))
+
+    first = materialise(counted(top), "city-first")
+    least = first.groupBy(F.col("_zip").alias("_z"), F.col("_state").alias("_s")).agg(
+        F.max("_n").alias("_least"), F.first("_bucket").alias("_done")
+    )
+    group = F.col("_zip").eqNullSafe(F.col("_z")) & F.col("_state").eqNullSafe(F.col("_s"))
+    others = summary.join(least, group).where((F.col("_rows") >= F.col("_least")) & (F.col("_bucket") != F.col("_done")))
+    second = counted(materialise(others.select(*keys), "city-candidates"))
+    best = F.min_by("city", F.struct((-F.col("_n")).alias("n"), F.col("city")))
+    return first.unionByName(second).groupBy("_zip", "_state").agg(best.alias("city"))
+
+
+def consolidate_geo_bounded(
+    geo: DataFrame,
+    zip_col: str = "geolocation_zip_code_prefix",
+    state_col: str = "geolocation_state",
+    lat_col: str = "geolocation_lat",
+    lng_col: str = "geolocation_lng",
+    city_col: str = "geolocation_city",
+    bits: int = CITY_BITS,
+) -> DataFrame:
+    """``consolidate_geo`` for sources with unbounded city names: the same rows, with ``most_common_city``.
+
+    Reads the source four times (means, summary, two passes over candidates)
+    and shuffles no row a distinct city.
+    """
+    means = geo.groupBy(F.col(zip_col).alias("zip_code"), F.col(state_col).alias("geolocation_state")).agg(
+        F.avg(lat_col).alias("lat"), F.avg(lng_col).alias("lng")
+    )
+    cities = most_common_city(geo, zip_col, state_col, city_col, bits)
+    group = F.col("zip_code").eqNullSafe(F.col("_zip")) & F.col("geolocation_state").eqNullSafe(F.col("_state"))
+    return means.join(cities, group, "left").select("zip_code", "geolocation_state", "lat", "lng", "city")
+
+
 def geo_dedup_report(geo_with_counts: DataFrame) -> DataFrame:
     """Rows before / after consolidation, rows removed, % removed (one row).
 

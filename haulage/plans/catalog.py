@@ -279,6 +279,12 @@ def geo_consolidated(spark, sf):
     return cons.select("zip_code", "geolocation_state", coord("lat"), coord("lng"), "city")
 
 
+def geo_consolidated_bounded(spark, sf):
+    """Consolidation with the city from a bounded summary and exact passes over its candidates."""
+    cons = B.consolidate_geo_bounded(_src(spark, sf)["geolocation"])
+    return cons.select("zip_code", "geolocation_state", coord("lat"), coord("lng"), "city")
+
+
 def geo_dedup_report(spark, sf):
     return B.geo_dedup_report(B.consolidate_geo(_src(spark, sf)["geolocation"], with_row_counts=True))
 
@@ -647,5 +653,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         run_audit,
         bronze_colocated,
         silver_clustered,
+        geo_consolidated_bounded,
     )
 }

@@ -446,6 +446,9 @@ FROM nr""",
         "geo_consolidated": _q(
             GEO_CONS, select=f"SELECT zip_code, geolocation_state, {_coord('lat')}, {_coord('lng')}, city FROM geo_cons"
         ),
+        "geo_consolidated_bounded": _q(
+            GEO_CONS, select=f"SELECT zip_code, geolocation_state, {_coord('lat')}, {_coord('lng')}, city FROM geo_cons"
+        ),
         "geo_dedup_report": _q(
             GEO_CONS,
             select="""SELECT CAST(sum(n_rows) AS BIGINT) AS rows_before, count(*) AS rows_after,

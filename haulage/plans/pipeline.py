@@ -113,6 +113,7 @@ class Pipeline:
         self.connections: dict[str, Connection] = {}
         self.audit: list[StepAudit] = []
         self.log = RunLog(spark, self.paths.base, run_id)
+        self._prints: dict[str, str] = {}
 
     @classmethod
     def from_csv(
@@ -283,16 +284,23 @@ class Pipeline:
         if step in below:
             inputs = self.log.store.fingerprint(below[step])
         else:
-            inputs = {n: frame_fingerprint(self.log.store, df) for n, df in sorted(self._need(step).items())}
+            inputs = {n: self._source_print(n) for n in sorted(self._need(step))}
         options = {"mode": self.mode, "gold_csv": self.gold_csv, "exact_contracts": self.exact_contracts}
         return digest(step, inputs, self.log.settings(self.rules, **options))
 
+    def _source_print(self, name: str) -> str:
+        """A source's fingerprint, taken once a run."""
+        if name not in self._prints:
+            self._prints[name] = frame_fingerprint(self.log.store, self.sources[name])
+        return self._prints[name]
+
     def run(self, steps=STEPS, force: bool = False) -> list[StepAudit]:
         """Run the steps in order; those completed before from the same inputs are skipped unless ``force``."""
         steps = list(STEPS) if steps in ("all", None) else [steps] if isinstance(steps, str) else list(steps)
         unknown = [s for s in steps if s not in STEPS]
         if unknown:
             raise ValueError(f"unknown steps {unknown}; choose from {STEPS}")
+        self._prints = {}
         for step in steps:
             started, t0 = time.time(), time.perf_counter()
             for table in self._outputs(step) if step in ("bronze", "silver") else ():

@@ -40,6 +40,7 @@ MIN_ORDERS = 100
 SCORECARD_STATES = ("NATION_3", "NATION_12", "NATION_20")
 COLOCATED_BUCKETS = 8
 CLUSTERED_FILE_ROWS = 1000
+CLUSTERED_MONTH_FILES = 16
 LOOKUP_METRICS = ("total_orders", "on_time_orders")
 
 
@@ -505,7 +506,7 @@ def silver_incremental(spark, sf):
 def silver_clustered(spark, sf):
     """Silver in files clustered by state and day, then compacted, as read back."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}/silver"
-    write_clustered(_silver(spark, sf), path, file_rows=CLUSTERED_FILE_ROWS)
+    write_clustered(_silver(spark, sf), path, file_rows=CLUSTERED_FILE_ROWS, month_files=CLUSTERED_MONTH_FILES)
     compact(spark, path)
     return _silver_view(spark.read.parquet(path))
 

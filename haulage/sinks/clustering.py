@@ -69,9 +69,14 @@ def write_clustered(
     row_group_bytes: int | None = None,
     state: str = "customer_state",
     time: str = "order_purchase_timestamp",
+    month_files: int | None = None,
 ) -> None:
     """Partitioned Parquet at ``path`` with clustered files of about ``file_rows`` rows.
 
+    With ``month_files`` (a power of two) a month is cut into at most about so
+    many files, larger ones where it has more rows, so that their number
+    depends on the months and not on the rows.
+
     A slot is the key's highest bits, as many as its month needs.  Slots are
     dealt out with a rebalance, so a slot that is still too large (all orders
     of a month in one state on one day) is split over tasks; where small slots
@@ -80,8 +85,12 @@ def write_clustered(
     keys = list(partition_by)
     keyed = with_cluster_key(df, state, time)
     months = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    months = materialise(months.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], "_rows"), "month-rows")
+    if month_files is not None:
+        largest = months.agg(F.max("_rows")).first()[0] or 0
+        file_rows = max(file_rows, -(-largest // month_files))
     cuts = F.greatest(F.lit(0), F.ceil(F.log2(F.col("_rows") / F.lit(float(file_rows))))).cast("int")
-    months = materialise(months.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], cuts.alias("_cuts")), "month-cuts")
+    months = months.withColumn("_cuts", cuts).drop("_rows")
     same = [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(keys)]
     condition = same[0]
     for c in same[1:]:
@@ -97,13 +106,17 @@ def write_clustered(
 
 
 def fragmented(spark: SparkSession, path: str, depth: int = 2, file_bytes: int = FILE_BYTES) -> list[str]:
-    """Partitions of several files that would fit into at most half as many of ``file_bytes``."""
-    store, found = Store(spark), []
-    for part in staged_partitions(store, path, depth):
-        sizes = [n for f, n in store.sizes(f"{path}/{part}") if f.endswith(".parquet")]
-        if len(sizes) > 1 and max(1, -(-sum(sizes) // file_bytes)) * 2 <= len(sizes):
-            found.append(part)
-    return found
+    """Partitions of several files that would fit into at most half as many of ``file_bytes``.
+
+    Spark lists the files and counts them; a row a partition reaches the driver.
+    """
+    parts = staged_partitions(Store(spark), path, depth)
+    if not parts:
+        return []
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", recursiveFileLookup="true").load(path)
+    part = F.array_join(F.slice(F.split("path", "/"), -1 - depth, depth), "/").alias("part")
+    sizes = {r["part"]: r for r in files.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total")).collect()}
+    return [p for p in parts if p in sizes and max(1, -(-sizes[p]["total"] // file_bytes)) * 2 <= sizes[p]["n"]]
 
 
 def compact(

@@ -145,3 +145,15 @@ def test_null_states_days_and_months(spark, tmp_out):
     clustering.write_clustered(rows, f"{tmp_out}/n")
     assert sorted(r["order_id"] for r in spark.read.parquet(f"{tmp_out}/n").collect()) == ["a", "b", "c"]
     clustering.write_clustered(rows.limit(0), f"{tmp_out}/e")
+
+
+def test_files_of_a_month_do_not_grow_with_its_rows(spark, tmp_out):
+    rows = clustering.materialise(silver_like(spark), "rows")
+    clustering.write_clustered(rows, f"{tmp_out}/few", file_rows=100, month_files=4)
+    month = "order_year=2017/order_month=1"
+    counts = [n for _, _, n in groups(f"{tmp_out}/few/{month}")]
+    assert sum(counts) == 36_000 and 2 <= len(counts) <= 12
+    same = spark.read.parquet(f"{tmp_out}/few")
+    assert same.exceptAll(rows.select(*same.columns)).isEmpty() and same.count() == 40_000
+    assert month in clustering.fragmented(spark, f"{tmp_out}/few")
+    assert clustering.fragmented(spark, f"{tmp_out}/missing") == []

@@ -288,6 +288,23 @@ def test_suffix_tree_matches_direct_walk(docs):
     assert lm.score_documents(docs([]), held_out=F.lit(False)).count() == 0
 
 
+def test_code_points_beyond_the_alphabet_keep_their_own_counts(docs):
+    from pyspark.sql import functions as F
+
+    frequent = "".join(chr(0x100 + i) for i in range(lm.OTHER))
+    rest = [chr(0x4E00 + i) for i in range(70)]  # more than one digit can number
+    rows = [(i, frequent * 3) for i in range(20)] + [(100 + i, c) for i, c in enumerate(rest)]
+    rows += [(200 + i, rest[68] + rest[3]) for i in range(30)]
+    tests = [(900, rest[68] + rest[3]), (901, rest[3] + rest[68]), (902, rest[68] + rest[5]), (903, rest[68] + chr(0x9000))]
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(docs(rows + tests), F.col("doc_id") >= 900, min_gain=1e-6).collect()}
+    assert got[900] > got[901] + 0.5 and got[900] > got[902] + 0.5 and got[902] > got[903] + 0.5
+    assert got[100 + 68] > got[100 + 5]
+    lookup = lm._lookup([ord(c) for c in frequent], [ord(c) for c in rest])
+    spelled = [tuple(lm._symbols(c.encode(), lookup)[lm.DEPTH : -1]) for c in [*frequent, *rest, chr(0x9000)]]
+    assert len(set(spelled)) == len(spelled) and {len(x) for x in spelled[lm.OTHER :]} == {3}
+    assert (lm._lookup([97]) == lm._lookup([97], [])).all() and lm._symbols(b"az", lm._lookup([97]))[-3:].tolist() == [0, lm.OTHER, lm.END]
+
+
 # Neighbours ----------------------------------------------------------------------------------------------------------
 
 

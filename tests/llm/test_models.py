@@ -305,6 +305,102 @@ def test_code_points_beyond_the_alphabet_keep_their_own_counts(docs):
     assert (lm._lookup([97]) == lm._lookup([97], [])).all() and lm._symbols(b"az", lm._lookup([97]))[-3:].tolist() == [0, lm.OTHER, lm.END]
 
 
+def _contexts_by_hand(texts, alphabet, least):
+    """Every context, of any length, that gains ``least`` nats over its suffix, with its suffixes: last symbol first."""
+    symbol = {chr(p): i for i, p in enumerate(alphabet)}
+    counts = {}
+    for text in texts:
+        seq = [lm.END] + [symbol[c] for c in text] + [lm.END]
+        for t in range(1, len(seq)):
+            for d in range(t + 1):
+                counts.setdefault(tuple(seq[t - d : t][::-1]), Counter())[seq[t]] += 1
+    kept = set()
+    for path, here in counts.items():
+        if path:
+            up, n = counts[path[:-1]], sum(here.values())
+            if sum(c * math.log(c / n / (up[s] / sum(up.values()))) for s, c in here.items()) >= least:
+                kept.update(path[:k] for k in range(len(path) + 1))
+    return kept | {()}, counts
+
+
+@pytest.mark.parametrize("part", [4_000_000, 300])
+def test_contexts_of_any_length_match_a_direct_count(docs, monkeypatch, part):
+    """Long contexts, through several passes, with parts that hold one context's extensions only in part."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(lm, "PART", part)
+    rng = random.Random(5)
+    middle = "".join(rng.choice("cdefgh ") for _ in range(45))
+    texts = [a + rng.choice(["", "z", "zz"]) + middle + b for a, b in ("ax", "by") for _ in range(60)]
+    texts += ["".join(rng.choice("ab") for _ in range(rng.randrange(30))) for _ in range(80)] + ["", "x", "xyxy" * 9]
+    rows = list(enumerate(texts)) + [(900, "a" + middle + "x"), (901, "a" + middle + "y"), (902, "cb" + middle + "y"), (903, "qq")]
+    df = docs(rows)
+    points = Counter(ord(c) for t in texts for c in t)
+    table = df.sparkSession.createDataFrame([(str(p), n) for p, n in points.items()], "item string, n long")
+    size = sum(len(t) + 1 for t in texts)
+    tree = lm.fit_tree(df.where("doc_id < 900").select("text"), table, 3.0 / size)
+    kept, counts = _contexts_by_hand(texts, tree.alphabet, 3.0)
+    path = lambda d, c: tuple(int(c) // 64**k % 64 for k in range(d))
+    rows_of = {path(int(d), c): i for i, (d, c) in enumerate(zip(tree.depth, tree.context))}
+    assert set(rows_of) == kept and max(map(len, kept)) >= 46
+
+    probs = {}
+    for p in sorted(kept, key=len):
+        n = np.zeros(64)
+        n[list(counts[p])] = list(counts[p].values())
+        probs[p] = (n + 0.5) / (n.sum() + 32) if not p else (n + 10 * probs[p[:-1]]) / (n.sum() + 10)
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(df, F.col("doc_id") >= 900, min_gain=3.0 / size).collect()}
+    symbol = {chr(p): i for i, p in enumerate(tree.alphabet)}
+    for i, text in rows[:900:7] + rows[-4:]:
+        seq, want = [lm.END] + [symbol.get(c, lm.OTHER) for c in text] + [lm.END], 0.0
+        for t in range(1, len(seq)):
+            before = tuple(seq[:t][::-1])
+            p = next(before[:k] for k in range(len(before), -1, -1) if before[:k] in kept)
+            want += math.log10(probs[p][seq[t]]) - (seq[t] == lm.OTHER) * math.log10(lm.CODE_POINTS - len(symbol))
+        assert got[i] == pytest.approx(want)
+    assert got[900] > got[901] + 0.5
+
+
+def test_a_context_stays_when_other_text_is_added(docs):
+    def tree(rows):
+        df = docs(rows).select("text")
+        points = Counter(ord(c) for _, t in rows for c in t)
+        return lm.fit_tree(df, df.sparkSession.createDataFrame([(str(p), n) for p, n in points.items()], "item string, n long"))
+
+    def kept(tree):
+        digit = {i: chr(p) for i, p in enumerate(tree.alphabet)}
+        return {"".join(digit.get(int(c) // 64**k % 64, "?") for k in reversed(range(d))) for d, c in zip(tree.depth.tolist(), tree.context)}
+
+    rng = random.Random(3)
+    own = [(i, rng.choice(["cabbaged", "rabbagef"]) * 6) for i in range(200)]
+    other = [(1000 + i, "".join(rng.choices("0123456789", k=3000))) for i in range(1000)]
+    assert {"cabbage", "rabbage"} <= kept(tree(own)) & kept(tree(own + other))
+
+
+def test_least_gain_grows_as_a_log():
+    assert lm.least_gain(1000) == 1000 * lm.MIN_GAIN and lm.least_gain(0) == 0
+    assert lm.least_gain(10**12) == pytest.approx(1.5 * lm.least_gain(10**8))
+
+
+def test_numbers_and_blocks_come_back():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 60, 3000))
+    found = lm._Numbers(keys).find(np.r_[keys, keys + 1])
+    assert (found[: len(keys)] == np.arange(len(keys))).all() and (found[len(keys) :][~np.isin(keys + 1, keys)] == -1).all()
+    assert (lm._Numbers(keys[:0]).find(keys) == -1).all()
+    for numbers in (keys, keys[:1], keys[::-1], np.arange(1, 400), np.full(5, 7)):
+        assert (lm._unpacked(lm._packed(numbers), len(numbers)) == numbers).all()
+
+
+def test_symbols_of_any_text_are_read_alike():
+    lookup = lm._lookup([ord(c) for c in "abcé"], [ord("~"), 0x4E00, ord("ö")])
+    for table in (lookup, lm._lookup([97, 98]), lm._lookup([]), lm._lookup([97, 0x4E00])):
+        read = lm._reader(table)
+        for text in ("", "abc", "é~ö", "a一b", "\xff", "😀", "zzz"):
+            assert read(text.encode()).tolist() == lm._symbols(text.encode(), table).tolist()
+        assert read(b"a\xff\xfeb").tolist() == lm._symbols(b"a\xff\xfeb", table).tolist()
+
+
 # Neighbours ----------------------------------------------------------------------------------------------------------
 
 
